@@ -16,7 +16,7 @@ _DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "su
 
 # Text each parse directive accepts. A one-digit day may be padded with a blank.
 _PARSE = {
-    "Y": r"(\d{4})",
+    "Y": r"((?!0000)\d{4})",
     "y": r"(\d{2})",
     "m": r"(1[0-2]|0?[1-9])",
     "d": r"(?: (?=[1-9](?:\D|\z)))?(3[01]|[12]\d|0?[1-9])",
@@ -57,16 +57,8 @@ def _tokens(expression: str):
             i = end
 
 
-def parse_date(text: Column, expression: str) -> Column:
-    """`text` read with a strptime expression, as a zone-free timestamp; null if it fails.
-
-    One pattern both checks the text and rewrites it to ISO form, whose cast
-    rejects impossible days. Text that does not match takes the catch-all
-    branch, leaves every group empty and so fails the cast.
-
-    Two-digit years: 69-99 are 19yy and the rest 20yy, except that `%m/%d/%y`
-    reads 50-68 as 19yy too.
-    """
+def _pattern(expression: str, **override: str) -> tuple[str, dict[str, int]]:
+    """Regular expression of a strptime expression, and the group of each directive."""
     pattern, groups = [], {}
     for is_directive, token in _tokens(expression):
         if not is_directive:
@@ -77,30 +69,41 @@ def parse_date(text: Column, expression: str) -> Column:
             raise ConfigError(f"date directive %{token} is not supported: {expression!r}")
         if token in groups:
             raise ConfigError(f"date directive %{token} is repeated: {expression!r}")
-        pattern.append(_PARSE[token])
+        pattern.append(override.get(token, _PARSE[token]))
         if token not in _SILENT:
             groups[token] = len(groups) + 1
+    return "".join(pattern), groups
+
+
+def parse_date(text: Column, expression: str) -> Column:
+    """`text` read with a strptime expression, as a zone-free timestamp; null if it fails.
+
+    One pattern both checks the text and rewrites it to ISO form, whose cast
+    rejects impossible days. Text that does not match takes the catch-all
+    branch, leaves every group empty and so fails the cast.
+
+    Two-digit years: 69-99 are 19yy and the rest 20yy, except that `%m/%d/%y`
+    reads 50-68 as 19yy too.
+    """
+    pattern, groups = _pattern(expression)
 
     def part(default: str, *names: str) -> str:
         return next((f"${groups[n]}" for n in names if n in groups), default)
 
-    # A digit may not directly follow a group reference, hence the separators.
-    year = part("1900", "Y") if "Y" in groups else ("20" + part("", "y") if "y" in groups else "1900")
+    year = part("20" + part("", "y") if "y" in groups else "1900", "Y")
     template = (f"{year}-{part('1', 'm', 'b', 'B')}-{part('1', 'd')} "
                 f"{part('0', 'H', 'I')}:{part('0', 'M')}:{part('0', 'S')}.{part('0', 'f')}")
     clock12 = "I" in groups and "H" not in groups
     if clock12:
         template += f"|{part('am', 'p')}"
-    iso = F.regexp_replace(text, r"\A(?:" + "".join(pattern) + r")\z|\A(?s:.*)\z", template)
+    iso = F.regexp_replace(text, rf"\A(?:{pattern})\z|\A(?s:.*)\z", template)
+    if "y" in groups and "Y" not in groups:
+        late = r"[5-9]\d" if expression == "%m/%d/%y" else r"69|[7-9]\d"
+        iso = F.regexp_replace(iso, rf"\A20({late})-", "19$1-")
     if "m" not in groups and ("b" in groups or "B" in groups):
         iso = reduce(lambda acc, m: F.regexp_replace(acc, f"(?i)-{m[1][:3]}[a-z]*-", f"-{m[0]}-"),
                      enumerate(_MONTHS, 1), iso)
     moment = (F.substring_index(iso, "|", 1) if clock12 else iso).try_cast("timestamp_ntz")
-    if "Y" in groups:
-        moment = F.when(F.year(moment) > 0, moment)
-    elif "y" in groups:
-        pivot = 2050 if expression == "%m/%d/%y" else 2069
-        moment = F.when(F.year(moment) >= pivot, moment - F.expr("interval '100' year")).otherwise(moment)
     if clock12:
         half_day = F.expr("interval '12' hour")
         moment = F.when(F.hour(moment) == 12, moment - half_day).otherwise(moment)
@@ -122,8 +125,12 @@ def spark_date_pattern(expression: str) -> str:
 
 
 def is_date(text: Column, expression: str) -> Column:
-    """True when the text parses with the expression."""
-    return parse_date(text, expression).isNotNull()
+    """True when the text parses with the expression.
+
+    Every month has 28 days, so up to there the pattern alone decides.
+    """
+    early, _ = _pattern(expression, d=r"(?: (?=[1-9](?:\D|\z)))?(2[0-8]|1\d|0?[1-9])")
+    return text.rlike(rf"\A(?:{early})\z") | parse_date(text, expression).isNotNull()
 
 
 def reformat_date(text: Column, in_expression: str, out_expression: str) -> Column:

@@ -108,20 +108,23 @@ def regex_search(text: Column, expression: str) -> Column:
     return text.rlike(java_regex(expression))
 
 
-# Number grammar of Python's int() and float(): no suffixes, no hexadecimal.
-_INT = r"[+-]?\p{Nd}+"
-_FLOAT = (r"[+-]?(?:(?:\p{Nd}+(?:\.\p{Nd}*)?|\.\p{Nd}+)(?:[eE][+-]?\p{Nd}+)?"
-          r"|(?i:inf(?:inity)?|nan))")
+# Number grammar of Python's int() and float(): no suffixes, no hexadecimal. The
+# plain ASCII form comes first, because nearly every value has it.
+_INTEGER = rf"\A(?:[+-]?[0-9]+|{WS_CLASS}*[+-]?\p{{Nd}}+{WS_CLASS}*)\z"
+_DECIMAL = (
+    rf"\A(?:[+-]?[0-9]+(?:\.[0-9]*)?"
+    rf"|{WS_CLASS}*[+-]?(?:(?:\p{{Nd}}+(?:\.\p{{Nd}}*)?|\.\p{{Nd}}+)(?:[eE][+-]?\p{{Nd}}+)?"
+    rf"|(?i:inf(?:inity)?|nan)){WS_CLASS}*)\z")
 
 
 def is_integer(text: Column) -> Column:
     """True for text int() accepts, of any size."""
-    return text.rlike(rf"\A{WS_CLASS}*{_INT}{WS_CLASS}*\z")
+    return text.rlike(_INTEGER)
 
 
 def is_decimal(text: Column) -> Column:
     """True for text float() accepts."""
-    return text.rlike(rf"\A{WS_CLASS}*{_FLOAT}{WS_CLASS}*\z")
+    return text.rlike(_DECIMAL)
 
 
 def without_commas(text: Column) -> Column:

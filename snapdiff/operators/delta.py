@@ -1,13 +1,12 @@
 """Snapshot comparison.
 
-Two forms of the same set difference:
-
-* `snapshot_delta` answers one question (what is in A but not in B) with an
-  anti-join. A's records and only B's fingerprints cross the network.
-* `compare` answers all of them (inserts, deletes, bad records, counts) with
-  one aggregation over both snapshots. Each snapshot is scanned once and each
-  distinct record crosses the network once per map task that holds it; there
-  is no join, and nothing is sorted or broadcast.
+* `compare` answers everything at once (inserts, deletes, bad records, counts).
+* `snapshot_delta` answers one question: what is in A but not in B.
+* `snapshot_delta_wide` answers the same for wide records.
+
+The first two are one hash aggregation over both snapshots. Each snapshot is
+scanned once, a record crosses the network once per map task that holds it
+however many copies there are, and nothing is joined, sorted or broadcast.
 """
 
 from __future__ import annotations
@@ -20,20 +19,38 @@ from .validation import Quality, status
 INSERT, DELETE, BAD = "insert", "delete", "bad"
 
 
+def _of_quality(df: DataFrame, quality: Quality, delimiter: str, bad: bool) -> DataFrame:
+    is_bad = F.col("is_bad")
+    return quality.mark(df, delimiter).where(is_bad if bad else ~is_bad)
+
+
 def snapshot_delta(left: DataFrame, right: DataFrame, quality: Quality, delimiter: str,
                    bad: bool = False) -> DataFrame:
     """Distinct records of `left`, of the given quality, that `right` lacks.
 
-    Both sides are reduced to one row per fingerprint before the join, so a
-    record copied any number of times is one row when it is shuffled, and the
-    join reuses the partitioning of that reduction.
+    Quality is a function of the record, so it is judged last, on the few
+    records only one side holds.
+    """
+    both = left.select("record", F.lit(False).alias("known")).unionAll(
+        right.select("record", F.lit(True).alias("known")))
+    only_left = both.groupBy("record").agg(F.max("known").alias("known")).where(~F.col("known"))
+    return with_fingerprint(_of_quality(only_left.select("record"), quality, delimiter, bad)).select(
+        "record", "hash", F.lit(str(bad)).alias("bad"))
+
+
+def snapshot_delta_wide(left: DataFrame, right: DataFrame, quality: Quality, delimiter: str,
+                        bad: bool = False) -> DataFrame:
+    """`snapshot_delta` that sends only fingerprints of the right side over the network.
+
+    An anti-join on the fingerprint. It sorts, so it pays off once records are
+    much wider than a fingerprint. Both sides are reduced to one row per
+    fingerprint before the shuffle, and the join reuses the partitioning of
+    that reduction.
     """
-    wanted = quality.mark(left.select("record"), delimiter).where(
-        F.col("is_bad") if bad else ~F.col("is_bad"))
-    first = with_fingerprint(wanted.select("record")).where(F.col("hash").isNotNull()).dropDuplicates(["hash"])
+    wanted = _of_quality(left.select("record"), quality, delimiter, bad).select("record")
+    first = with_fingerprint(wanted).where(F.col("hash").isNotNull()).dropDuplicates(["hash"])
     second = with_fingerprint(right.select("record")).select("hash").distinct()
-    return first.join(second, "hash", "left_anti").select(
-        "record", "hash", F.lit("True" if bad else "False").alias("bad"))
+    return first.join(second, "hash", "left_anti").select("record", "hash", F.lit(str(bad)).alias("bad"))
 
 
 def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter: str) -> DataFrame:

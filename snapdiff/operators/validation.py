@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as tx
-from ..functions.dates import parse_date
+from ..functions.dates import is_date
 from ..functions.patterns import anchored, java_regex
 from ..model import ConfigError, FeedSpec, ValidationRule, validation_rules
 from .records import with_fields, with_fingerprint
@@ -21,7 +21,7 @@ from .records import with_fields, with_fingerprint
 SENTINEL = "?"  # the feeds' own null mark, exempt from every field rule
 
 _FIELD_TESTS = {
-    "date": lambda f, rule: parse_date(f, rule.expression).isNull(),
+    "date": lambda f, rule: ~is_date(f, rule.expression),
     "decimal": lambda f, rule: ~tx.is_decimal(tx.without_commas(f)),
     "integer": lambda f, rule: ~tx.is_integer(tx.without_commas(f)),
     "string": lambda f, rule: F.length(f) > rule.length,
@@ -37,8 +37,9 @@ def rule_fails(fields: Column, rule: ValidationRule) -> Column:
     test = _FIELD_TESTS.get(rule.data_type)
     if test is None:  # unknown types pass, but their field must exist
         return value.isNull()
-    applies = (value != SENTINEL) & ~tx.is_blank(value)
-    return F.coalesce(value.isNull() | (applies & test(value, rule)), F.lit(True))
+    # The test comes first: few records fail it, and only those need the exemptions.
+    fails = test(value, rule) & (value != SENTINEL) & ~tx.is_blank(value)
+    return F.coalesce(value.isNull() | fails, F.lit(True))
 
 
 def record_regex_fails(record: Column, expression: str) -> Column:
@@ -72,8 +73,17 @@ class Quality:
         return [(rule.rule_id, rule_fails(F.col("fields"), rule)) for rule in self.rules]
 
     def is_bad(self) -> Column:
-        """Over the columns `record` and `fields`."""
-        return reduce(Column.__or__, [fails for _, fails in self._failures()], F.lit(False))
+        """Over the columns `record` and `fields`.
+
+        A filter on this flag would be pushed below the projection that splits
+        the record, and there split it again for every use of a field. Tying
+        the flag to the partition id, which is never negative, keeps the
+        filter above, so each record is split and judged once.
+        """
+        failures = [fails for _, fails in self._failures()]
+        if not failures:
+            return F.lit(False)
+        return reduce(Column.__or__, failures) & (F.spark_partition_id() >= 0)
 
     def failed_rules(self) -> Column:
         """Names of the rules a record breaks, over `record` and `fields`."""

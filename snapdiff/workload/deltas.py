@@ -52,6 +52,21 @@ def delta_new_bad(spark: SparkSession, sf: str) -> DataFrame:
     return delta.snapshot_delta(current, previous, PRICES, "|", bad=True)
 
 
+@query(f"""with {fx.SQL_DOCS} select record, md5(record) as hash, 'False' as bad from docs_now
+where record not in (select record from docs_before)""")
+def delta_inserts_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents as records, matched by fingerprint."""
+    previous, current = fx.document_lines(spark, sf)
+    return delta.snapshot_delta_wide(current, previous, Quality(), "|")
+
+
+@query(f"""with {fx.SQL_DOCS} select record, md5(record) as hash, 'False' as bad from docs_before
+where record not in (select record from docs_now)""")
+def delta_deletes_wide(spark: SparkSession, sf: str) -> DataFrame:
+    previous, current = fx.document_lines(spark, sf)
+    return delta.snapshot_delta_wide(previous, current, Quality(), "|")
+
+
 @query(f"""with {fx.SQL_PAIR}
 select 'insert' as op, record, md5(record) as hash, 'False' as bad from ins
 union all select 'delete', record, md5(record), 'False' from del

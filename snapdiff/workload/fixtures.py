@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..model import FeedSpec
+from ..operators.records import canonical_records
 
 RUN_TS = "2018-09-10 06:30:00"
 ADDITIONAL = "AJC|20180910"
@@ -163,3 +164,22 @@ def sql_canonical(columns: tuple[str, ...] = DOC_COLUMNS) -> str:
         f"replace(replace(replace(coalesce(cast({c} as varchar), ''), chr(10), ''), '|', ';'), chr(9), ' ')"
         for c in columns)
     return f"regexp_replace(concat_ws('|', {cells}), '[^\\x00-\\x7F]', '', 'g')"
+
+
+def document_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Documents without one source each, with a changed cell in between."""
+    cells = document_cells(spark, sf)
+    changed = F.when(F.col("lang") == "de", F.concat("n_chars", F.lit("+"))).otherwise(F.col("n_chars"))
+    return (cells.where(F.col("source") != "src0"),
+            cells.where(F.col("source") != "src1").withColumn("n_chars", changed))
+
+
+def document_lines(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    previous, current = document_pair(spark, sf)
+    return canonical_records(previous, "|"), canonical_records(current, "|")
+
+
+_CHANGED = ("doc_id", "text", "lang", "source",
+            "case when lang = 'de' then n_chars || '+' else cast(n_chars as varchar) end")
+SQL_DOCS = f"""docs_before as (select distinct {sql_canonical()} as record from documents where source <> 'src0'),
+docs_now as (select distinct {sql_canonical(_CHANGED)} as record from documents where source <> 'src1')"""

@@ -38,20 +38,11 @@ def full_delta_text(spark: SparkSession, sf: str) -> DataFrame:
     return result.rows.select(*DELTA_COLUMNS)
 
 
-def document_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Documents without one source each, with a changed cell in between."""
-    cells = fx.document_cells(spark, sf)
-    changed = F.when(F.col("lang") == "de", F.concat("n_chars", F.lit("+"))).otherwise(F.col("n_chars"))
-    return (cells.where(F.col("source") != "src0"),
-            cells.where(F.col("source") != "src1").withColumn("n_chars", changed))
-
-
-_CHANGED = ("doc_id", "text", "lang", "source", "case when lang = 'de' then n_chars || '+' else cast(n_chars as varchar) end")
-SQL_DOCS = f"""prev as (select distinct {fx.sql_canonical()} as record from documents where source <> 'src0'),
-cur as (select distinct {fx.sql_canonical(_CHANGED)} as record from documents where source <> 'src1'),
-marked as (select record, ends_with(record, '+') as is_bad from cur),
+SQL_DOCS = f"""{fx.SQL_DOCS},
+prev as (select record from docs_before),
+marked as (select record, ends_with(record, '+') as is_bad from docs_now),
 ins as (select record from marked where not is_bad and record not in (select record from prev)),
-del as (select record from prev where record not in (select record from cur)),
+del as (select record from prev where record not in (select record from marked)),
 bad as (select record from marked where is_bad)"""
 
 DOC_RULES = ('{"validates":[{"validation_type":"record","column_count":5},'
@@ -61,7 +52,7 @@ DOC_RULES = ('{"validates":[{"validation_type":"record","column_count":5},'
 @query(f"with {SQL_DOCS} {_sql_job()}")
 def full_delta_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The same for CSV extracts with newlines, quotes and accents in cells."""
-    previous, current = (write_csv(spark, s, True, "csv") for s in document_pair(spark, sf))
+    previous, current = (write_csv(spark, s, True, "csv") for s in fx.document_pair(spark, sf))
     path = scratch_path(spark, "config")
     spark.createDataFrame([('{"filename":"documents",' + DOC_RULES[1:],)], "value string").write.text(path)
     spec = replace(CSV_FEED, previous_path=previous, current_path=current, feed="documents", validate=True,
