@@ -6,6 +6,7 @@ the caller decides what a failure leaves behind.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
@@ -15,9 +16,14 @@ from .patterns import WHITESPACE, WS_CLASS
 from .text import without_commas
 
 _NUMBER = rf"\A{WS_CLASS}*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?{WS_CLASS}*\z"
-# Plain numbers: no exponent, and not so small that the text turns scientific.
-_PLAIN = rf"\A{WS_CLASS}*[+-]?(?!0*\.0{{6}})(?:\d+(?:\.\d*)?|\.\d+){WS_CLASS}*\z"
-_WHOLE = rf"\A{WS_CLASS}*[+-]?\d+{WS_CLASS}*\z"
+_BARE_NUMBER = r"\A[+-]?(?:\d+(?:\.\d*)?|\.\d+)\z"
+_WHOLE = rf"\A{WS_CLASS}*(?:\+|(-))?0*([1-9]\d*){WS_CLASS}*\z"
+
+# Decimal text that is canonical already, and text that only has a plus sign,
+# leading zeros, a final point or blanks to lose. Neither covers exponents or
+# numbers so small that their text turns scientific.
+_CANONICAL = r"\A-?(?:0(?!\.0{6})|[1-9]\d*)(?:\.\d+)?\z"
+_PLAIN = rf"\A{WS_CLASS}*(?:\+|(-))?(?!0+\.0{{6}})0*(\d+)(\.\d+)?\.?{WS_CLASS}*\z"
 
 # 20 whole digits and 18 decimals; wider numbers count as failures.
 _WORKING = "decimal(38,18)"
@@ -37,29 +43,44 @@ def _sign(number: Column) -> Column:
 
 def decimal_text(text: Column) -> Column:
     """Canonical text of a decimal number of any size; the scale is kept."""
-    number = _stripped(text)
-    plain = F.regexp_replace(
-        F.regexp_replace(number, r"\A([+-]?)\.", "$10."),
-        r"\A(?:\+|(-))?0*(\d+)(\.\d+)?\.?\z", "$1$2$3")
-    return F.when(text.rlike(_PLAIN), plain).when(text.rlike(_NUMBER), _scientific(number))
+    return (
+        F.when(text.rlike(_CANONICAL), text)
+        .when(text.rlike(_PLAIN), F.regexp_replace(text, _PLAIN, "$1$2$3"))
+        .when(text.rlike(_NUMBER), _scientific(_stripped(text)))
+    )
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` over a value computed once.
+
+    Also keeps a rarely taken branch out of the generated code, where it would
+    push the method past the size the JVM compiles.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _scientific(number: Column) -> Column:
-    """Text of a number with an exponent or many leading decimal zeros."""
+    """Text of any number, the long way."""
     mantissa = F.regexp_extract(number, r"\A[+-]?([\d.]*)", 1)
     exponent = F.coalesce(F.regexp_extract(number, r"[eE]([+-]?\d+)\z", 1).try_cast("int"), F.lit(0))
-    fraction = F.when(F.contains(mantissa, F.lit(".")), F.substring_index(mantissa, ".", -1)).otherwise("")
-    unpadded = F.ltrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
-    digits = F.when(unpadded == "", "0").otherwise(unpadded)
-    scale = exponent - F.length(fraction)
-    adjusted = scale + F.length(digits) - 1
-    padded = F.lpad(digits, F.greatest(F.length(digits), F.lit(1) - scale), F.lit("0"))
+    fraction = F.regexp_extract(number, r"\.(\d*)", 1)
+    digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"\A0+(?=\d)", "")
+    parts = F.struct(_sign(number).alias("sign"), digits.alias("digits"),
+                     (exponent - F.length(fraction)).alias("scale"))
+    return _let(parts, _from_parts)
+
+
+def _from_parts(parts: Column) -> Column:
+    sign, digits, scale = (parts.getField(n) for n in ("sign", "digits", "scale"))
+    size = F.length(digits)
+    power = scale + size - 1
+    padded = F.lpad(digits, F.greatest(size, F.lit(1) - scale), F.lit("0"))
     fixed = F.when(scale == 0, digits).otherwise(F.concat(
         F.substring(padded, F.lit(1), F.length(padded) + scale), F.lit("."), F.right(padded, -scale)))
-    point = F.when(F.length(digits) > 1, ".").otherwise("")
-    power = F.concat(F.lit("E"), F.when(adjusted < 0, "").otherwise("+"), adjusted.cast("string"))
-    spread = F.concat(F.left(digits, F.lit(1)), point, F.substring(digits, F.lit(2), F.length(digits)), power)
-    return F.concat(_sign(number), F.when((scale <= 0) & (adjusted >= -6), fixed).otherwise(spread))
+    spread = F.concat(
+        F.left(digits, F.lit(1)), F.when(size > 1, ".").otherwise(""), F.substring(digits, F.lit(2), size),
+        F.lit("E"), F.when(power < 0, "").otherwise("+"), power.cast("string"))
+    return F.concat(sign, F.when((scale <= 0) & (power >= -6), fixed).otherwise(spread))
 
 
 def parse_decimal(text: Column) -> Column:
@@ -70,21 +91,30 @@ def parse_decimal(text: Column) -> Column:
 def parse_number(text: Column) -> Column:
     """As `parse_decimal`, for whole numbers only."""
     bare = without_commas(without_dollar(text))
-    signless = F.regexp_replace(_stripped(bare), r"\A[+-]?0*(\d+)\z", "$1")
-    negative = _stripped(bare).startswith("-") & (signless != "0")
-    return F.when(bare.rlike(_WHOLE), F.concat(F.when(negative, "-").otherwise(""), signless))
+    return (
+        F.when(bare.rlike(r"\A(?:0|-?[1-9]\d*)\z"), bare)
+        .when(bare.rlike(rf"\A{WS_CLASS}*[+-]?0+{WS_CLASS}*\z"), "0")
+        .when(bare.rlike(_WHOLE), F.regexp_replace(bare, _WHOLE, "$1$2"))
+    )
+
+
+def _grouped(bare: Column, pattern: str) -> Column:
+    """A number printed with a pattern, half-even; null if it is none.
+
+    The sign is taken from the text, because a decimal has no negative zero.
+    """
+    number = F.when(bare.rlike(_BARE_NUMBER), bare).when(bare.rlike(_NUMBER), _stripped(bare))
 
+    def shown(value: Column) -> Column:
+        return F.call_function("format_number", value, F.lit(pattern))
 
-def _grouped(text: Column, pattern: str) -> Column:
-    """`text` printed with a number pattern, half-even, without its sign."""
-    value = F.when(text.rlike(_NUMBER), _stripped(text)).try_cast(_WORKING)
-    return F.call_function("format_number", F.abs(value), F.lit(pattern))
+    value = number.try_cast(_WORKING)
+    return F.when(F.trim(bare).startswith("-"), F.concat(F.lit("-"), shown(F.abs(value)))).otherwise(shown(value))
 
 
 def format_decimal(text: Column) -> Column:
     """Dollar signs removed; thousands grouped, at most three decimals."""
-    bare = without_dollar(text)
-    return F.concat(_sign(_stripped(bare)), _grouped(bare, "#,##0.###"))
+    return _grouped(without_dollar(text), "#,##0.###")
 
 
 format_number = format_decimal  # same pattern
@@ -92,8 +122,7 @@ format_number = format_decimal  # same pattern
 
 def format_currency(text: Column) -> Column:
     """Dollar signs removed; printed as US dollars."""
-    bare = without_dollar(text)
-    return F.concat(_sign(_stripped(bare)), _grouped(bare, "$#,##0.00"))
+    return _grouped(without_dollar(text), "$#,##0.00")
 
 
 @dataclass(frozen=True)
@@ -128,15 +157,17 @@ def currency(text: Column, locale: str = "en_US", code: str = "USD", format_type
     if rules.decimal != ".":
         # A point that is not the group separator is no part of a number here.
         bare = F.when(~F.contains(bare, F.lit(".")), F.replace(bare, F.lit(rules.decimal), F.lit(".")))
+    # Every format prints the sign first; the symbol goes behind it, or the
+    # whole amount into parentheses.
     amount = _grouped(bare, "#,##0" if code in _WHOLE_UNITS else "#,##0.00")
     if rules.decimal != ".":
         amount = F.translate(amount, ",.", rules.group + rules.decimal)
-    symbol = F.lit(rules.symbols[code])
-    shown = F.concat(symbol, amount) if rules.prefix else F.concat(amount, F.lit("\xa0"), symbol)
-    negative = _stripped(bare).startswith("-")
+    symbol = rules.symbols[code].replace("$", r"\$")
+    shown = f"{symbol}$2" if rules.prefix else f"$2\xa0{symbol}"
     if format_type == "accounting" and rules.parentheses:
-        return F.when(negative, F.concat(F.lit("("), shown, F.lit(")"))).otherwise(shown)
-    return F.concat(F.when(negative, "-").otherwise(""), shown)
+        amount = F.regexp_replace(amount, r"\A(-)(.*)\z", f"({shown})")
+        return F.regexp_replace(amount, r"\A()([^(].*)\z", shown)
+    return F.regexp_replace(amount, r"\A(-?)(.*)\z", f"$1{shown}")
 
 
 def json_number(value: Column) -> Column:

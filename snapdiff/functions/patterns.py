@@ -8,6 +8,7 @@ the driver; a pattern that cannot be carried over raises.
 from __future__ import annotations
 
 import re
+import warnings
 
 from ..model import ConfigError
 
@@ -27,7 +28,9 @@ _ESCAPES = {"Z": r"\z", "v": r"\x0B", "0": r"\x00"}
 
 def _checked(expression: str) -> re.Pattern[str]:
     try:
-        return re.compile(expression)
+        with warnings.catch_warnings():  # of class syntax that is escaped below
+            warnings.simplefilter("ignore", FutureWarning)
+            return re.compile(expression)
     except (re.error, RecursionError, OverflowError) as err:
         raise ConfigError(f"invalid regular expression {expression!r}: {err}") from err
 

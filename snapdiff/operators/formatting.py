@@ -22,58 +22,58 @@ _FORMATS = {
 }
 
 
-def _applies(cell: Column, rule: FormatRule) -> Column:
-    skipped = (cell == SENTINEL) | (cell == "")
-    if rule.format_type == "date":  # dates also let blanks through
-        skipped = skipped | is_blank(cell)
-    return ~skipped
+def _formatted(cell: Column, rule: FormatRule) -> Column:
+    """The re-formatted cell; null where it is empty, marked missing or no such value."""
+    return F.when((cell != SENTINEL) & (cell != ""), _FORMATS[rule.format_type](cell, rule))
 
 
-def format_cell(cell: Column, rule: FormatRule) -> Column:
-    """The re-formatted cell, or the cell as it is where the rule cannot be applied."""
-    formatted = _FORMATS.get(rule.format_type)
-    if formatted is None:
-        return cell
-    return F.when(_applies(cell, rule), F.coalesce(formatted(cell, rule), cell)).otherwise(cell)
+def _failed(cell: Column, formatted: Column, rule: FormatRule) -> Column:
+    """The rule's position if it could not be applied. Blank dates are let through."""
+    failed = formatted.isNull() & (cell != SENTINEL) & (cell != "")
+    if rule.format_type == "date":
+        failed = failed & ~is_blank(cell)
+    return F.when(failed, F.lit(rule.column_index))
 
 
-def format_fields(fields: Column, rules: Sequence[FormatRule], delimiter: str) -> Column:
-    """Fields re-joined with each rule applied to its position, in rule order.
+def format_records(df: DataFrame, rules: Sequence[FormatRule], delimiter: str) -> DataFrame:
+    """Re-format fields of `record` in rule order and add `format_errors`.
 
-    Positions past the end of a short record come out null, and `concat_ws`
-    leaves nulls out, so ragged records re-join to what they were.
+    `format_errors` lists the positions whose text could not be re-formatted;
+    they keep it. Formatted cells are columns of their own, so that the record
+    and its errors share them. Positions past the end of a short record come
+    out null, and `concat_ws` leaves nulls out, so ragged records re-join to
+    what they were.
     """
-    if any(rule.column_index < 0 for rule in rules):
-        return F.concat_ws(delimiter, _format_by_position(fields, rules))
-    width = max(rule.column_index for rule in rules) + 1
-    cells = [F.get(fields, F.lit(i)) for i in range(width)]
-    for rule in rules:
-        cells[rule.column_index] = format_cell(cells[rule.column_index], rule)
-    rest = F.slice(fields, width + 1, F.greatest(F.size(fields) - width, F.lit(0)))
-    return F.concat_ws(delimiter, *cells, rest)
-
-
-def _format_by_position(fields: Column, rules: Sequence[FormatRule]) -> Column:
-    """For rules that count from the end, whose position depends on the record."""
-    def cell(value: Column, i: Column) -> Column:
-        for rule in rules:
-            k = rule.column_index
-            at = F.lit(k) if k >= 0 else F.size(fields) + k
-            value = F.when(i == at, format_cell(value, rule)).otherwise(value)
-        return value
-
-    return F.transform(fields, cell)
-
-
-def format_errors(fields: Column, rules: Sequence[FormatRule]) -> Column:
-    """Positions whose text a rule could not re-format."""
-    def failed(rule: FormatRule) -> Column:
-        cell, make = field_at(fields, rule.column_index), _FORMATS.get(rule.format_type)
-        if make is None:
-            return F.lit(None).cast("int")
-        return F.when(_applies(cell, rule) & make(cell, rule).isNull(), F.lit(rule.column_index))
-
-    return F.array_distinct(F.array_compact(F.array(*[failed(rule) for rule in rules])))
+    df = df.withColumn("fields", split_fields(F.col("record"), delimiter))
+    fields, helpers, errors, cells = F.col("fields"), [], [], {}
+    from_end = any(rule.column_index < 0 for rule in rules)
+    for n, rule in enumerate(rules):
+        if rule.format_type not in _FORMATS:
+            continue
+        k, name = rule.column_index, f"_formatted{n}"
+        cell = cells.get(k, field_at(fields, k))
+        df = df.withColumn(name, _formatted(cell, rule))
+        helpers.append(name)
+        errors.append((_failed(cell, F.col(name), rule), f"_failed{n}"))
+        if from_end:
+            # Two positions can name one field, so each rule updates the fields.
+            df = df.withColumn(errors[-1][1], errors[-1][0]).withColumn("fields", _with_field(fields, k, F.col(name)))
+        else:
+            cells[k] = F.coalesce(F.col(name), cell)
+    failures = [F.col(name) if from_end else failed for failed, name in errors]
+    width = max(cells, default=-1) + 1
+    head = [cells.get(i, F.get(fields, F.lit(i))) for i in range(width)]
+    rest = F.slice(fields, width + 1, F.greatest(F.size(fields) - width, F.lit(0))) if width else fields
+    return df.withColumns({
+        "record": F.concat_ws(delimiter, *head, rest),
+        "format_errors": F.array_distinct(F.array_compact(F.array(*failures).cast("array<int>"))),
+    }).drop("fields", *helpers, *(name for _, name in errors))
+
+
+def _with_field(fields: Column, index: int, value: Column) -> Column:
+    """Fields with one of them replaced, unless the new value is null."""
+    at = F.lit(index) if index >= 0 else F.size(fields) + index
+    return F.transform(fields, lambda x, i: F.when(i == at, F.coalesce(value, x)).otherwise(x))
 
 
 @dataclass(frozen=True)
@@ -108,10 +108,4 @@ class Cleaning:
         df = reduce(lambda acc, step: acc.withColumn("record", step(F.col("record"))), steps, df)
         if not self.format:
             return df.withColumn("format_errors", F.array().cast("array<int>"))
-        fields = F.col("fields")
-        return (
-            df.withColumn("fields", split_fields(F.col("record"), self.delimiter))
-            .withColumn("format_errors", format_errors(fields, self.format))
-            .withColumn("record", format_fields(fields, self.format, self.delimiter))
-            .drop("fields")
-        )
+        return format_records(df, self.format, self.delimiter)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import text as tx
 from ..model import format_rules, replacements
@@ -126,10 +126,8 @@ def format_record(spark: SparkSession, sf: str) -> DataFrame:
         "format_errors", F.array_join(F.col("format_errors").cast("array<string>"), ","))
 
 
-def _negative_rule(fields: Column) -> Column:
-    rules = format_rules('{"formats":[{"column_index":"-2","format_type":"date",'
-                         '"in_expression":"%m/%d/%y","out_expression":"%Y%m%d"}]}')
-    return formatting.format_fields(fields, rules, "|")
+FROM_END = format_rules('{"formats":[{"column_index":"-2","format_type":"date",'
+                        '"in_expression":"%m/%d/%y","out_expression":"%Y%m%d"}]}')
 
 
 @query(f"""with r as (select {fx.SQL_ORDER} as record, o_orderdate from orders)
@@ -137,5 +135,6 @@ select record, concat_ws('|', string_split(record, '|')[1], string_split(record,
     string_split(record, '|')[3], string_split(record, '|')[4], strftime(o_orderdate, '%Y%m%d'),
     string_split(record, '|')[6]) as formatted from r""")
 def format_from_end(spark: SparkSession, sf: str) -> DataFrame:
-    return records.with_fields(fx.order_records(spark, sf), "|").select(
-        "record", _negative_rule(F.col("fields")).alias("formatted"))
+    lines = fx.order_records(spark, sf).withColumn("original", F.col("record"))
+    return formatting.format_records(lines, FROM_END, "|").select(
+        F.col("original").alias("record"), F.col("record").alias("formatted"))

@@ -58,11 +58,14 @@ def format_datetime(spark, sf):
         F.date_format(moment, dt.spark_date_pattern("%d %B %Y, %I:%M %p")).alias("long_form"))
 
 
+LINE = ("l_orderkey", "l_linenumber")
+
+
 @query("""select l_orderkey, l_linenumber, cast(cast(l_extendedprice as decimal(18,2)) as varchar) as parsed
 from lineitem""")
 def parse_decimal(spark, sf):
     text = F.concat(F.lit("$0"), F.format_number(F.col("l_extendedprice").cast("decimal(18,2)"), 2))
-    return _lines(spark, sf, parsed=nm.parse_decimal(text))
+    return _lines(spark, sf, text=text).select(*LINE, nm.parse_decimal(F.col("text")).alias("parsed"))
 
 
 @query("""with v as (select l_orderkey, l_linenumber,
@@ -82,12 +85,13 @@ def format_decimal(spark, sf):
 @query("""select l_orderkey, l_linenumber, cast(l_orderkey * 997 as varchar) as parsed from lineitem""")
 def parse_number(spark, sf):
     text = F.concat(F.lit("$"), F.format_number(F.col("l_orderkey") * 997, 0))
-    return _lines(spark, sf, parsed=nm.parse_number(text))
+    return _lines(spark, sf, text=text).select(*LINE, nm.parse_number(F.col("text")).alias("parsed"))
 
 
 @query("""select l_orderkey, l_linenumber, format('{:,}', l_orderkey * 997) as formatted from lineitem""")
 def format_number(spark, sf):
-    return _lines(spark, sf, formatted=nm.format_number((F.col("l_orderkey") * 997).cast("string")))
+    return _lines(spark, sf, text=(F.col("l_orderkey") * 997).cast("string")).select(
+        *LINE, nm.format_number(F.col("text")).alias("formatted"))
 
 
 _SQL_AMOUNT = "format('{:,.2f}', abs(cast(c_acctbal as decimal(18,2))))"
@@ -97,13 +101,17 @@ _SQL_MINUS = "case when c_acctbal < 0 then '-' else '' end"
 @query("""select l_orderkey, l_linenumber,
   '$' || format('{:,.2f}', cast(l_extendedprice as decimal(18,2))) as formatted from lineitem""")
 def format_currency(spark, sf):
-    return _lines(spark, sf, formatted=nm.format_currency(fx.money("l_extendedprice")))
+    return _lines(spark, sf, text=fx.money("l_extendedprice")).select(
+        *LINE, nm.format_currency(F.col("text")).alias("formatted"))
+
+
+def _balances(spark: SparkSession, sf: str) -> DataFrame:
+    return fx.table(spark, sf, "customer").select("c_custkey", fx.money("c_acctbal").alias("balance"))
 
 
 @query(f"select c_custkey, {_SQL_MINUS} || '$' || {_SQL_AMOUNT} as formatted from customer")
 def format_currency_signed(spark, sf):
-    return fx.table(spark, sf, "customer").select(
-        "c_custkey", nm.format_currency(fx.money("c_acctbal")).alias("formatted"))
+    return _balances(spark, sf).select("c_custkey", nm.format_currency(F.col("balance")).alias("formatted"))
 
 
 @query(f"""select c_custkey, {_SQL_MINUS} || '£' || {_SQL_AMOUNT} as pounds,
@@ -111,18 +119,15 @@ def format_currency_signed(spark, sf):
   {_SQL_MINUS} || translate({_SQL_AMOUNT}, ',.', '.,') || chr(160) || '€' as euros
 from customer""")
 def currency_locale(spark, sf):
-    balance = fx.money("c_acctbal")
+    balance = F.col("balance")
     comma = F.replace(balance, F.lit("."), F.lit(","))
-    return fx.table(spark, sf, "customer").select(
+    return _balances(spark, sf).select(
         "c_custkey",
         nm.currency(balance, "en_GB", "GBP").alias("pounds"),
         nm.currency(balance, "en_US", "USD", "accounting").alias("accounting"),
         nm.currency(comma, "de_DE", "EUR").alias("euros"))
 
 
-_WORD = r"(\w+)@(\w+)\.(com|org|net)"
-
-
 @query(r"""select doc_id, regexp_replace(regexp_replace(text, '\s+$', ''), '(\w+)\s+(the|of)\b', '\2:\1$', 'g') as text
 from documents""")
 def regex_replace(spark, sf):
