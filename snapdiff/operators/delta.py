@@ -45,12 +45,13 @@ def snapshot_delta_wide(left: DataFrame, right: DataFrame, quality: Quality, del
     An anti-join on the fingerprint. It sorts, so it pays off once records are
     much wider than a fingerprint. Both sides are reduced to one row per
     fingerprint before the shuffle, and the join reuses the partitioning of
-    that reduction.
+    that reduction. The merge hint keeps it that way: fingerprints grow with
+    the snapshot, so they are never broadcast on an estimate.
     """
     wanted = _of_quality(left.select("record"), quality, delimiter, bad).select("record")
     first = with_fingerprint(wanted).where(F.col("hash").isNotNull()).dropDuplicates(["hash"])
     second = with_fingerprint(right.select("record")).select("hash").distinct()
-    return first.join(second, "hash", "left_anti").select("record", "hash", F.lit(str(bad)).alias("bad"))
+    return first.join(second.hint("merge"), "hash", "left_anti").select("record", "hash", F.lit(str(bad)).alias("bad"))
 
 
 def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -11,7 +12,7 @@ from ..model import ConfigError, FeedSpec
 from ..operators import audit as au, delta as dl
 from ..operators.formatting import Cleaning
 from ..operators.validation import Quality
-from ..session import remove_path, scratch_path
+from ..session import folder_size, remove_path, scratch_path
 from ..sinks import text as sink
 from ..sources.config import resolve_rules
 from ..sources.snapshots import read_pair
@@ -93,6 +94,19 @@ def stage(spark: SparkSession, compared: DataFrame, path: str) -> dict[str, int]
 
 
 STAGED = "record string, hash string, bad string, op string"
+# Most an output file should hold: staged bytes (the text is some three times
+# that), and rows, in case they compress unusually well.
+FILE_BYTES, FILE_ROWS = 32 << 20, 2_000_000
+
+
+def output_files(size: int, staged_files: int, rows: int) -> int | None:
+    """How many files an output should have: one if it is small, else as many as it takes.
+
+    None when the staged files are large enough to be written as they are.
+    """
+    if staged_files and size >= staged_files * FILE_BYTES:
+        return None
+    return max(1, math.ceil(size / FILE_BYTES), math.ceil(rows / FILE_ROWS))
 
 
 def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) -> dict[str, int]:
@@ -110,10 +124,14 @@ def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) -> d
         counts = stage(spark, compared, staged)
         changed = spark.read.schema(STAGED).parquet(staged)
         result = results(changed, au.counts_frame(spark, counts), spec, run_ts)
-        sink.write_delta(result.inserts, spec.inserts_path, spec)
-        sink.write_delta(result.deletes, spec.deletes_path, spec)
+
+        def files(op: str, rows: int) -> int | None:
+            return output_files(*folder_size(spark, f"{staged}/op={op}"), rows)
+
+        sink.write_delta(result.inserts, spec.inserts_path, spec, files(dl.INSERT, counts["inserted"]))
+        sink.write_delta(result.deletes, spec.deletes_path, spec, files(dl.DELETE, counts["deleted"]))
         if counts["bad"]:
-            sink.write_bad(result.bad, spec.bad_path, spec)
+            sink.write_bad(result.bad, spec.bad_path, spec, files(dl.BAD, counts["bad"]))
         elif spec.delete_before_write:
             remove_path(spark, spec.bad_path)
         if spec.audit_path:

@@ -15,25 +15,24 @@ def line(columns: tuple[str, ...], delimiter: str) -> Column:
     return F.concat_ws(delimiter, *[F.coalesce(F.col(c), F.lit("")) for c in columns])
 
 
-def write_lines(lines: DataFrame, path: str, overwrite: bool) -> None:
-    """Write a one-column string frame as text.
+def write_lines(lines: DataFrame, path: str, overwrite: bool, files: int | None = None) -> None:
+    """Write a one-column string frame as text, in that many files if a number is given.
 
-    The rebalance hint sizes the files: a small delta is one file, a large one
-    as many as it takes, and no task ever writes more than an advisory
-    partition's worth.
+    The redistribution comes last, so everything before it stays parallel.
     """
-    lines.hint("rebalance").write.mode("overwrite" if overwrite else "errorifexists").text(path)
+    lines = lines.repartition(files) if files else lines
+    lines.write.mode("overwrite" if overwrite else "errorifexists").text(path)
 
 
-def write_delta(rows: DataFrame, path: str, spec: FeedSpec) -> None:
+def write_delta(rows: DataFrame, path: str, spec: FeedSpec, files: int | None = None) -> None:
     write_lines(rows.select(line(DELTA_COLUMNS, spec.output_char).alias("value")),
-                path, spec.delete_before_write)
+                path, spec.delete_before_write, files)
 
 
-def write_bad(rows: DataFrame, path: str, spec: FeedSpec) -> None:
+def write_bad(rows: DataFrame, path: str, spec: FeedSpec, files: int | None = None) -> None:
     write_lines(rows.select(line(BAD_COLUMNS, spec.output_char).alias("value")),
-                path, spec.delete_before_write)
+                path, spec.delete_before_write, files)
 
 
 def append_audit(lines: DataFrame, path: str) -> None:
-    lines.write.mode("append").text(path)
+    lines.coalesce(1).write.mode("append").text(path)  # one row

@@ -5,6 +5,7 @@ import pytest
 
 from snapdiff import ConfigError, FeedSpec, run_feeds, run_job
 from snapdiff.model import ARGUMENTS
+from snapdiff.plans.delta_job import output_files
 from snapdiff.session import scratch_path
 from snapdiff.sources import config, properties, snapshots
 from snapdiff.workload.jobs import _property_row
@@ -58,7 +59,17 @@ def test_job_files(spark, feed, tmp_path):
 
 def test_small_outputs_are_one_file(spark, feed, tmp_path):
     run_job(spark, feed, TS)
-    assert len(list((tmp_path / "out/deletes").glob("part-*"))) == 1
+    for folder in ("inserts", "deletes", "bad", "audit"):
+        assert len(list((tmp_path / "out" / folder).glob("part-*"))) == 1
+
+
+def test_output_files_are_bounded():
+    mb = 1 << 20
+    assert output_files(0, 0, 0) == 1
+    assert output_files(5 * mb, 100, 1000) == 1
+    assert output_files(100 * mb, 100, 1000) == 4
+    assert output_files(5 * mb, 100, 9_000_000) == 5
+    assert output_files(100 * 64 * mb, 100, 10**9) is None
 
 
 def test_overwrite_flag(spark, feed, tmp_path):
