@@ -12,9 +12,8 @@ DECIMALS = ["1234.50", "+5", "007.50", "-0.00", "1e5", "1E+5", ".5", "5.", " 5 "
             "0e-9", "10e2", "1e0"]
 
 
-@pytest.mark.parametrize("text", DECIMALS)
-def test_decimal_text(values, text):
-    assert values(nm.parse_decimal, text) == [str(Decimal(text.strip()))]
+def test_decimal_text(values):
+    assert values(nm.parse_decimal, *DECIMALS) == [str(Decimal(text.strip())) for text in DECIMALS]
 
 
 def test_decimal_text_property(spark):
@@ -45,22 +44,27 @@ def test_parse_number(values):
         "1234", "0", "7", "5", None, None, "9" * 41, None]
 
 
-@pytest.mark.parametrize("text, expected", [
+GROUPED = [
     ("1234.5", "1,234.5"), ("$1234.5678", "1,234.568"), ("0.0005", "0"), ("0.0015", "0.002"), ("0.0025", "0.002"),
     ("-1234567", "-1,234,567"), ("12", "12"), ("1e3", "1,000"), ("1,234.50", None), ("n/a", None), (".5", "0.5"),
     ("-0.0001", "-0"), ("12345678901234567890.5", "12,345,678,901,234,567,890.5"),
-])
-def test_format_decimal(values, text, expected):
-    assert values(nm.format_decimal, text) == [expected]
-    assert values(nm.format_number, text) == [expected]
-
+]
 
-@pytest.mark.parametrize("text, expected", [
+MONEY = [
     ("1234.5", "$1,234.50"), ("-1234.5", "-$1,234.50"), ("$5", "$5.00"), ("2.665", "$2.66"), ("2.675", "$2.68"),
     ("-0.001", "-$0.00"), ("1,234.50", None), ("x", None), ("", None),
-])
-def test_format_currency(values, text, expected):
-    assert values(nm.format_currency, text) == [expected]
+]
+
+
+def test_format_decimal(values):
+    texts = [text for text, _ in GROUPED]
+    assert list(zip(texts, values(nm.format_decimal, *texts))) == GROUPED
+    assert list(zip(texts, values(nm.format_number, *texts))) == GROUPED
+
+
+def test_format_currency(values):
+    texts = [text for text, _ in MONEY]
+    assert list(zip(texts, values(nm.format_currency, *texts))) == MONEY
 
 
 @pytest.mark.parametrize("text, args, expected", [

@@ -87,28 +87,36 @@ def test_empty_find_is_refused():
         Replacement.of({"find": "", "replace": "x"})
 
 
-@pytest.mark.parametrize("text, whole, number", [
+NUMBER_GRAMMAR = [
     ("12", True, True), (" 12 ", True, True), ("+5", True, True), ("-5", True, True), ("1.5", False, True),
     (".5", False, True), ("5.", False, True), ("1e5", False, True), ("1E+05", False, True), ("inf", False, True),
     ("-Infinity", False, True), ("NaN", False, True), ("1f", False, False), ("1d", False, False),
     ("0x1p3", False, False), ("1_000", False, False), ("", False, False), (".", False, False),
     ("e5", False, False), ("1 2", False, False), ("99999999999999999999999", True, True),
     ("١٢", True, True), ("\x001", False, False), ("12\n", True, True), ("--1", False, False),
-])
-def test_number_grammar(values, text, whole, number):
-    assert values(tx.is_integer, text) == [whole]
-    assert values(tx.is_decimal, text) == [number]
+]
+
+
+def test_number_grammar(values):
+    texts, whole, number = map(list, zip(*NUMBER_GRAMMAR))
+    assert list(zip(texts, values(tx.is_integer, *texts))) == list(zip(texts, whole))
+    assert list(zip(texts, values(tx.is_decimal, *texts))) == list(zip(texts, number))
 
 
-@pytest.mark.parametrize("expression, text, found", [
+SEARCHES = [
     (r"^a$", "a\n", True), (r"^a\Z", "a\n", False), (r"a.b", "a\rb", True), (r"a.b", "a\nb", False),
     (r"[[a]", "[", True), (r"[]a]+", "]", True), (r"[^]a]", "]", False), (r"[a&&b]", "&", True),
     (r"(?P<x>a)(?P=x)", "aa", True), (r"(?P<x_y>a)b", "ab", True), (r"a{,2}b", "aab", True),
     (r"x{y", "x{y", True), (r"\d", "١", False), (r"(?i)ABC", "abc", True), (r"\v", "\x0b", True),
     (r"[\]x]", "]", True), (r"a|b", "zb", True), (r"\\", "\\", True), (r"[\w.-]+@", "a.b-c@", True),
-])
-def test_regex_translation(values, expression, text, found):
-    assert values(lambda c: tx.regex_search(c, expression), text) == [found]
+]
+
+
+def test_regex_translation(spark):
+    row = spark.range(1).select(*[
+        tx.regex_search(F.lit(text), expression).alias(f"s{i}")
+        for i, (expression, text, _) in enumerate(SEARCHES)]).first()
+    assert [(e, t, got) for (e, t, _), got in zip(SEARCHES, row)] == SEARCHES
 
 
 @pytest.mark.parametrize("expression", ["(", "[a", "(?(1)a|b)", "(a)(?(1)b|c)", "*a"])
