@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,13 +36,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder named by `spark.checkpoint.dir`.
 
     Staged data must outlive any one executor, so a cluster has to name the
-    folder; only a local session may fall back to a temporary directory.
+    folder. Only a local session (one process, not `local-cluster`) may fall
+    back to the warehouse folder, which every session has.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ConfigError("spark.checkpoint.dir must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="snapdiff-")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/snapdiff-{label}-{uuid.uuid4().hex}"
 
 
