@@ -52,6 +52,16 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write one new file on whatever file system `path` names."""
+    fs, target = _file_system(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete `path` on whatever file system it names; False if it was not there."""
     fs, target = _file_system(spark, path)
