@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules
+from . import bpe, mixing, quality_rules, simhash
 from .common import documents
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -44,6 +44,15 @@ copied AS (
 OP2_SQL = MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM copied"
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(documents(spark, sf_dir), keep_ids=False)
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(documents(spark, sf_dir)).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -89,5 +98,7 @@ FROM judged
 
 QUERIES = {
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
+    "op4_bpe": (op4_bpe, None),
+    "op5_simhash": (op5_simhash, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
