@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import small, staged
@@ -12,6 +12,13 @@ from .common import small, staged
 BLOCK_ROWS = 1024
 
 
+def block_pairs(member: str) -> Column:
+    """The pairs of blocks that a row takes part in; `_b` holds its key's blocks, null for one."""
+    own = F.pmod(F.xxhash64(member), F.col("_b")).cast("int")
+    return F.when(F.col("_b").isNull(), F.array(F.struct(F.lit(0).alias("lo"), F.lit(0).alias("hi")))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("_b") - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi"))))
+
+
 def grouped(rows: DataFrame, keys: Sequence[str], member: str, bound: int = BLOCK_ROWS) -> DataFrame:
     """Rows `keys, lo, hi, members`: any two members of a key meet in one of its groups.
 
@@ -22,9 +29,6 @@ def grouped(rows: DataFrame, keys: Sequence[str], member: str, bound: int = BLOC
     """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = staged(counts.where(F.col("_n") > bound).select(*keys, F.ceil(F.col("_n") / bound).cast("int").alias("_b")), "hot-keys")
-    own = F.pmod(F.xxhash64(member), F.col("_b")).cast("int")
-    pairs = F.when(F.col("_b").isNull(), F.array(F.struct(F.lit(0).alias("lo"), F.lit(0).alias("hi")))).otherwise(
-        F.transform(F.sequence(F.lit(0), F.col("_b") - 1), lambda j: F.struct(F.least(own, j).alias("lo"), F.greatest(own, j).alias("hi"))))
-    dealt = rows.join(small(hot), list(keys), "left").select(*keys, member, F.inline(pairs))
+    dealt = rows.join(small(hot), list(keys), "left").select(*keys, member, F.inline(block_pairs(member)))
     return (dealt.groupBy(*keys, "lo", "hi").agg(F.collect_list(member).alias("members"))
             .where(F.size("members") > 1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality_rules, simhash
+from . import bpe, line_dedup, mixing, quality_rules, simhash
 from .common import documents
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -53,6 +53,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_removed", "text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -100,5 +104,6 @@ QUERIES = {
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
     "op4_bpe": (op4_bpe, None),
     "op5_simhash": (op5_simhash, None),
+    "op6_line_dedup": (op6_line_dedup, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
