@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, pii, quality_rules, simhash
+from . import bpe, html_text, line_dedup, mixing, pii, quality_rules, secrets, simhash
 from .common import documents
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -44,6 +44,17 @@ copied AS (
 OP2_SQL = MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM copied"
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+    return secrets.find_secrets(documents(spark, sf_dir)).select(
+        "doc_id", *map(_count, secrets.KINDS[:3]), F.sha2(pii.span_text(base), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), keep_ids=False)
 
@@ -57,14 +68,14 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_removed", "text")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s["kind"] != "term")
-
-    def count(kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-
-    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *map(_count, pii.KINDS), F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,9 +123,11 @@ FROM judged
 
 QUERIES = {
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
+    "op3_secrets": (op3_secrets, None),
     "op4_bpe": (op4_bpe, None),
     "op5_simhash": (op5_simhash, None),
     "op6_line_dedup": (op6_line_dedup, None),
+    "op8_html_text": (op8_html_text, None),
     "op9_pii": (op9_pii, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
