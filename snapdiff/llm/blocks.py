@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +34,24 @@ def grouped(rows: DataFrame, keys: Sequence[str], member: str, bound: int = BLOC
     dealt = rows.join(small(hot), list(keys), "left").select(*keys, member, F.inline(block_pairs(member)))
     return (dealt.groupBy(*keys, "lo", "hi").agg(F.collect_list(member).alias("members"))
             .where(F.size("members") > 1))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Tables that end where a group ends; rows arrive sorted by integer keys without nulls."""
+    held: list[pa.RecordBatch] = []
+    open_key: list[int] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch[k][-1].as_py() for k in keys]
+        same = np.all([batch[k].to_numpy() == v for k, v in zip(keys, last)], axis=0)
+        cut = int(np.argmax(same))  # rows before `cut` belong to groups that are whole
+        if held and (cut or open_key != last):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+        open_key = last
+    if held:
+        yield pa.Table.from_batches(held)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, line_dedup, mixing, pii, quality_rules, secrets, simhash
+from . import bpe, html_text, line_dedup, mixing, neighbours, pii, quality_rules, secrets, simhash
 from .common import documents
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -68,6 +68,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_removed", "text")
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -127,6 +131,7 @@ QUERIES = {
     "op4_bpe": (op4_bpe, None),
     "op5_simhash": (op5_simhash, None),
     "op6_line_dedup": (op6_line_dedup, None),
+    "op7_neighbours": (op7_neighbours, None),
     "op8_html_text": (op8_html_text, None),
     "op9_pii": (op9_pii, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
