@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, line_dedup, mixing, neighbours, pii, quality_rules, secrets, simhash
+from . import bpe, html_text, line_dedup, mixing, neighbours, perplexity, pii, quality_rules, secrets, simhash
 from .common import documents
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
 
+def op1_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", "taken", "copies")
@@ -126,6 +130,7 @@ FROM judged
 """
 
 QUERIES = {
+    "op1_perplexity": (op1_perplexity, None),
     "op2_mix_sources": (op2_mix_sources, OP2_SQL),
     "op3_secrets": (op3_secrets, None),
     "op4_bpe": (op4_bpe, None),
