@@ -16,7 +16,6 @@ from .patterns import WHITESPACE, WS_CLASS
 from .text import without_commas
 
 _NUMBER = rf"\A{WS_CLASS}*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?{WS_CLASS}*\z"
-_BARE_NUMBER = r"\A[+-]?(?:\d+(?:\.\d*)?|\.\d+)\z"
 _WHOLE = rf"\A{WS_CLASS}*(?:\+|(-))?0*([1-9]\d*){WS_CLASS}*\z"
 
 # Decimal text that is canonical already, and text that only has a plus sign,
@@ -25,8 +24,14 @@ _WHOLE = rf"\A{WS_CLASS}*(?:\+|(-))?0*([1-9]\d*){WS_CLASS}*\z"
 _CANONICAL = r"\A-?(?:0(?!\.0{6})|[1-9]\d*)(?:\.\d+)?\z"
 _PLAIN = rf"\A{WS_CLASS}*(?:\+|(-))?(?!0+\.0{{6}})0*(\d+)(\.\d+)?\.?{WS_CLASS}*\z"
 
-# 20 whole digits and 18 decimals; wider numbers count as failures.
+# Text that fits this type exactly is printed by way of it; any other, digit by digit.
 _WORKING = "decimal(38,18)"
+_FITS = r"\A[+-]?(?:\d{1,20}(?:\.\d{0,18})?|\.\d{1,18})\z"
+
+# An exponent of any text is computed in this type; one beyond it counts as no number.
+_EXPONENT = "decimal(38,0)"
+# Whole digits a printed number may have: 1e2147483647 is a number, but no text can hold it.
+MOST_DIGITS = 10_000
 
 
 def without_dollar(text: Column) -> Column:
@@ -59,28 +64,80 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _scientific(number: Column) -> Column:
-    """Text of any number, the long way."""
+def _parts(number: Column) -> Column:
+    """Sign, digits without leading zeros, and the power of ten of the last digit.
+
+    Null if the power is beyond 38 digits.
+    """
     mantissa = F.regexp_extract(number, r"\A[+-]?([\d.]*)", 1)
-    exponent = F.coalesce(F.regexp_extract(number, r"[eE]([+-]?\d+)\z", 1).try_cast("int"), F.lit(0))
+    written = F.regexp_extract(number, r"[eE]([+-]?\d+)\z", 1)
+    exponent = F.when(written == "", F.lit(0).cast(_EXPONENT)).otherwise(written.try_cast(_EXPONENT))
     fraction = F.regexp_extract(number, r"\.(\d*)", 1)
     digits = F.regexp_replace(F.replace(mantissa, F.lit("."), F.lit("")), r"\A0+(?=\d)", "")
-    parts = F.struct(_sign(number).alias("sign"), digits.alias("digits"),
-                     (exponent - F.length(fraction)).alias("scale"))
-    return _let(parts, _from_parts)
+    scale = F.try_subtract(exponent, F.length(fraction).cast(_EXPONENT)).try_cast(_EXPONENT)
+    return F.when(scale.isNotNull(), F.struct(_sign(number).alias("sign"), digits.alias("digits"), scale.alias("scale")))
+
+
+def _scientific(number: Column) -> Column:
+    """Text of any number, the long way."""
+    return _let(_parts(number), _from_parts)
+
+
+def _shifted(digits: Column, scale: Column) -> Column:
+    """Whole digits and decimals of `digits` with its point moved, for scales below a text's size."""
+    size = F.length(digits)
+    padded = F.lpad(digits, F.greatest(size, F.lit(1) - scale), F.lit("0"))
+    return F.when(scale >= 0, F.struct(F.concat(digits, F.repeat(F.lit("0"), scale)).alias("whole"), F.lit("").alias("decimals"))).otherwise(
+        F.struct(F.left(padded, F.length(padded) + scale).alias("whole"), F.right(padded, -scale).alias("decimals")))
 
 
 def _from_parts(parts: Column) -> Column:
     sign, digits, scale = (parts.getField(n) for n in ("sign", "digits", "scale"))
     size = F.length(digits)
-    power = scale + size - 1
-    padded = F.lpad(digits, F.greatest(size, F.lit(1) - scale), F.lit("0"))
-    fixed = F.when(scale == 0, digits).otherwise(F.concat(
-        F.substring(padded, F.lit(1), F.length(padded) + scale), F.lit("."), F.right(padded, -scale)))
+    power = F.try_add(scale, (size - 1).cast(_EXPONENT))
+    plain = (scale <= 0) & (power >= -6)  # the scale is then no larger than the text
+    fixed = _let(_shifted(digits, scale.try_cast("int")), lambda x: F.concat(
+        x["whole"], F.when(x["decimals"] == "", "").otherwise(F.concat(F.lit("."), x["decimals"]))))
     spread = F.concat(
         F.left(digits, F.lit(1)), F.when(size > 1, ".").otherwise(""), F.substring(digits, F.lit(2), size),
         F.lit("E"), F.when(power < 0, "").otherwise("+"), power.cast("string"))
-    return F.concat(sign, F.when((scale <= 0) & (power >= -6), fixed).otherwise(spread))
+    return F.concat(sign, F.when(plain, fixed).otherwise(spread))
+
+
+def _increased(digits: Column) -> Column:
+    """A whole number's digits plus one."""
+    nines = F.length(F.regexp_extract(digits, "(9*)\\z", 1))
+    head = F.left(digits, F.length(digits) - nines)
+    raised = F.when(head == "", "1").otherwise(F.concat(
+        F.left(head, F.length(head) - 1), F.translate(F.right(head, F.lit(1)), "012345678", "123456789")))
+    return F.concat(raised, F.repeat(F.lit("0"), nines))
+
+
+def _printed(parts: Column, prefix: str, least: int, most: int) -> Column:
+    """Any number with thousands grouped and `least` to `most` decimals, ties to even."""
+    sign, digits, scale = (parts.getField(n) for n in ("sign", "digits", "scale"))
+    point = F.try_add(scale, F.length(digits).cast(_EXPONENT))  # whole digits, negative below 0.1
+    zero = (digits == "0") | (point < -most)                    # nothing of it reaches the last decimal
+    near = F.when(zero, F.struct(F.lit("0").alias("whole"), F.lit("").alias("decimals"))).otherwise(
+        _shifted(digits, scale.try_cast("int")))
+
+    def rounded(x: Column) -> Column:
+        kept = F.concat(x["whole"], F.left(F.rpad(x["decimals"], F.lit(most), F.lit("0")), F.lit(most)))
+        rest = F.substring(x["decimals"], F.lit(most + 1), F.length(x["decimals"]))
+        up = rest.rlike(r"\A(?:[6-9]|50*[1-9])") | (rest.rlike(r"\A50*\z") & kept.rlike(r"[13579]\z"))
+        return F.when(up, _increased(kept)).otherwise(kept)
+
+    def shown(kept: Column) -> Column:
+        whole = F.left(kept, F.length(kept) - most)
+        grouped = F.reverse(F.regexp_replace(F.reverse(whole), r"(\d{3})(?=\d)", "$1,"))
+        if not most:
+            return F.concat(sign, F.lit(prefix), grouped)
+        decimals = F.right(kept, F.lit(most))
+        if least < most:
+            decimals = F.rpad(F.regexp_replace(decimals, r"0+\z", ""), F.greatest(F.lit(least), F.length(F.regexp_replace(decimals, r"0+\z", ""))), F.lit("0"))
+        return F.concat(sign, F.lit(prefix), grouped, F.when(decimals == "", "").otherwise(F.concat(F.lit("."), decimals)))
+
+    return F.when(zero | (point <= MOST_DIGITS), _let(_let(near, rounded), shown))
 
 
 def parse_decimal(text: Column) -> Column:
@@ -98,23 +155,26 @@ def parse_number(text: Column) -> Column:
     )
 
 
-def _grouped(bare: Column, pattern: str) -> Column:
-    """A number printed with a pattern, half-even; null if it is none.
+def _grouped(bare: Column, prefix: str, least: int, most: int) -> Column:
+    """A number with thousands grouped and `least` to `most` decimals; null if it is none.
 
-    The sign is taken from the text, because a decimal has no negative zero.
+    Ties go to the even digit. The sign is taken from the text, because a decimal
+    has no negative zero.
     """
-    number = F.when(bare.rlike(_BARE_NUMBER), bare).when(bare.rlike(_NUMBER), _stripped(bare))
+    pattern = f"{prefix}#,##0{'.' if most else ''}{'0' * least}{'#' * (most - least)}"
 
     def shown(value: Column) -> Column:
         return F.call_function("format_number", value, F.lit(pattern))
 
-    value = number.try_cast(_WORKING)
-    return F.when(F.trim(bare).startswith("-"), F.concat(F.lit("-"), shown(F.abs(value)))).otherwise(shown(value))
+    value = bare.try_cast(_WORKING)
+    short = F.when(bare.startswith("-"), F.concat(F.lit("-"), shown(F.abs(value)))).otherwise(shown(value))
+    long = _let(_parts(_stripped(bare)), lambda parts: _printed(parts, prefix, least, most))
+    return F.when(bare.rlike(_FITS), short).when(bare.rlike(_NUMBER), long)
 
 
 def format_decimal(text: Column) -> Column:
     """Dollar signs removed; thousands grouped, at most three decimals."""
-    return _grouped(without_dollar(text), "#,##0.###")
+    return _grouped(without_dollar(text), "", 0, 3)
 
 
 format_number = format_decimal  # same pattern
@@ -122,7 +182,7 @@ format_number = format_decimal  # same pattern
 
 def format_currency(text: Column) -> Column:
     """Dollar signs removed; printed as US dollars."""
-    return _grouped(without_dollar(text), "$#,##0.00")
+    return _grouped(without_dollar(text), "$", 2, 2)
 
 
 @dataclass(frozen=True)
@@ -159,7 +219,8 @@ def currency(text: Column, locale: str = "en_US", code: str = "USD", format_type
         bare = F.when(~F.contains(bare, F.lit(".")), F.replace(bare, F.lit(rules.decimal), F.lit(".")))
     # Every format prints the sign first; the symbol goes behind it, or the
     # whole amount into parentheses.
-    amount = _grouped(bare, "#,##0" if code in _WHOLE_UNITS else "#,##0.00")
+    decimals = 0 if code in _WHOLE_UNITS else 2
+    amount = _grouped(bare, "", decimals, decimals)
     if rules.decimal != ".":
         amount = F.translate(amount, ",.", rules.group + rules.decimal)
     symbol = rules.symbols[code].replace("$", r"\$")
@@ -171,7 +232,18 @@ def currency(text: Column, locale: str = "en_US", code: str = "USD", format_type
 
 
 def json_number(value: Column) -> Column:
-    """Decimal value as JSON number text: whole values print without a fraction."""
-    whole = value == F.floor(value)
-    return F.when(whole, value.cast("decimal(38,0)").cast("string")).otherwise(
-        value.cast("double").cast("string"))
+    """Decimal value as JSON number text: plain digits, without trailing zeros."""
+    text = value.cast("string")
+    plain = F.when(text.rlike("[eE]"), decimal_plain(text)).otherwise(text)
+    return F.when(value.isNotNull(), F.regexp_replace(plain, r"(?:(\.\d*[1-9])0+|\.0*)\z", "$1"))
+
+
+def decimal_plain(text: Column) -> Column:
+    """Any number's text without an exponent; null if it is longer than a text should be."""
+    def spelled(parts: Column) -> Column:
+        x = _shifted(parts["digits"], parts["scale"].try_cast("int"))
+        bounded = F.abs(parts["scale"]) <= MOST_DIGITS
+        return F.when(bounded, _let(x, lambda y: F.concat(
+            parts["sign"], y["whole"], F.when(y["decimals"] == "", "").otherwise(F.concat(F.lit("."), y["decimals"])))))
+
+    return _let(_parts(text), spelled)

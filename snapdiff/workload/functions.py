@@ -82,6 +82,19 @@ def format_decimal(spark, sf):
         "formatted", nm.format_decimal(F.col("text")))
 
 
+@query("""with v as (select l_orderkey, l_linenumber, '1' || lpad(cast(l_orderkey as varchar), 29, '0') as whole,
+    lpad(cast(l_partkey * 10 + l_linenumber as varchar), 22, '0') as small from lineitem)
+select l_orderkey, l_linenumber, whole || '.000' || small as text,
+  rtrim(regexp_replace(whole, '(\\d{3})', '\\1,', 'g'), ',') as formatted,
+  '$' || rtrim(regexp_replace(whole, '(\\d{3})', '\\1,', 'g'), ',') || '.00' as money from v""")
+def format_wide_number(spark, sf):
+    """Thirty whole digits and 25 decimals."""
+    whole = F.concat(F.lit("1"), F.lpad(F.col("l_orderkey").cast("string"), 29, "0"))
+    small = F.lpad((F.col("l_partkey") * 10 + F.col("l_linenumber")).cast("string"), 22, "0")
+    return _lines(spark, sf, text=F.concat(whole, F.lit(".000"), small)).withColumns({
+        "formatted": nm.format_decimal(F.col("text")), "money": nm.format_currency(F.col("text"))})
+
+
 @query("""select l_orderkey, l_linenumber, cast(l_orderkey * 997 as varchar) as parsed from lineitem""")
 def parse_number(spark, sf):
     text = F.concat(F.lit("$"), F.format_number(F.col("l_orderkey") * 997, 0))
@@ -194,14 +207,18 @@ def json_roundtrip(spark, sf):
 
 
 @query("""with v as (select event_id, cast(json_extract(props, '$.k') as bigint) - 50 as k from events)
-select event_id, case when k % 4 = 0 then cast(k // 4 as varchar) else cast(k / 4.0 as varchar) end as number
-from v""")
+select event_id, case when k % 4 = 0 then cast(k // 4 as varchar) else cast(k / 4.0 as varchar) end as number,
+  case when k = 0 then '0' else rtrim(cast(cast(k as decimal(18,0)) / 100000 as decimal(38,5))::varchar, '0') end as small,
+  cast(20000000 + event_id as varchar) || '.5' as large from v""")
 def json_numeric(spark, sf):
     """Quarters of a whole number, negative ones too: only real fractions print one."""
     k = typed.json_decode(F.col("props"), _PROPS).getField("k")
     quarter = ((k - 50).cast("decimal(18,0)") / F.lit(4).cast("decimal(18,0)")).cast("decimal(18,4)")
-    return fx.table(spark, sf, "events").select("event_id", quarter.alias("v")).select(
-        "event_id", nm.json_number(F.col("v")).alias("number"))
+    small = (k - 50).cast("decimal(38,5)") / F.lit(100000).cast("decimal(18,0)")
+    large = (F.col("event_id") + 20000000).cast("decimal(18,1)") + F.lit("0.5").cast("decimal(2,1)")
+    return fx.table(spark, sf, "events").select("event_id", quarter.alias("v"), small.alias("s"), large.alias("l")).select(
+        "event_id", nm.json_number(F.col("v")).alias("number"), nm.json_number(F.col("s")).alias("small"),
+        nm.json_number(F.col("l")).alias("large"))
 
 
 @query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as run_ts from events")
@@ -219,10 +236,10 @@ def days_ago(spark, sf):
 
 @query("""select o_orderkey, 's3://feeds/raw/orders/' || strftime(o_orderdate, '%Y/%m/%d') || '/' as current_path,
   's3://feeds/raw/orders/' || strftime(o_orderdate - interval 1 day, '%Y/%m/%d') || '/' as previous_path,
-  'FDW_' || strftime(o_orderdate, '%Y-%m-%d') as file_name from orders""")
+  'feed_' || strftime(o_orderdate, '%Y-%m-%d') as file_name from orders""")
 def dated_paths(spark, sf):
     day = F.col("o_orderdate").cast("date")
     return _orders(spark, sf,
                    current_path=dt.dated_path("s3://feeds/", "raw/orders/", day),
                    previous_path=dt.dated_path("s3://feeds/", "raw/orders/", dt.days_ago(day, 1)),
-                   file_name=dt.dated_text("FDW_{0}-{1}-{2}", day))
+                   file_name=dt.dated_text("feed_{0}-{1}-{2}", day))

@@ -85,6 +85,6 @@ def test_dated_columns(spark):
     day = F.lit(date(2018, 9, 10))
     row = spark.range(1).select(
         dt.dated_path("s3://b/", "raw/", dt.days_ago(day, 10)).alias("p"),
-        dt.dated_text("FDW_{0}-{1}-{2}.csv", day).alias("n"),
+        dt.dated_text("feed_{0}-{1}-{2}.csv", day).alias("n"),
         dt.timestamp_text(F.lit(datetime(2018, 9, 10, 6, 5, 4))).alias("t")).first()
-    assert tuple(row) == ("s3://b/raw/2018/08/31/", "FDW_2018-09-10.csv", "2018-09-10 06:05:04")
+    assert tuple(row) == ("s3://b/raw/2018/08/31/", "feed_2018-09-10.csv", "2018-09-10 06:05:04")

@@ -1,4 +1,4 @@
-from decimal import Decimal
+from decimal import MAX_EMAX, MIN_EMIN, ROUND_HALF_EVEN, Context, Decimal, localcontext
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -34,6 +34,56 @@ def test_decimal_text_property(spark):
     check()
 
 
+WIDE = ["123456789012345678901234.5", "1e25", "0.0005000000000000000001", "2.6650000000000000001", "1e99999999999",
+        "1e-9999999999", "15e2147483647", "1.5e-2147483648", "1e" + "9" * 50, "-0.0001", "0e5", "999.9995",
+        "9999999999999999999999.9995", "-" + "9" * 40 + ".9996", "-0", "1e9999", "1e10000", "1.0005", "1.0015",
+        "12345678901234567890.1234567890123456785", "0.00000000000000000000000000000000049"]
+
+
+def printed(text, least, most, prefix=""):
+    """What a number prints as, by exact decimal arithmetic; None if no text could hold it."""
+    with localcontext(Context(prec=12_000, Emax=MAX_EMAX, Emin=MIN_EMIN, traps=[])):
+        number = Decimal(text)
+        if not number.is_finite() or (number and number.adjusted() + 1 > nm.MOST_DIGITS):
+            return None
+        unit = Decimal(1).scaleb(-most)
+        small = not number or number.adjusted() < -most - 1
+        whole, _, decimals = format(abs(Decimal(0) if small else number).quantize(unit, ROUND_HALF_EVEN), ",f").partition(".")
+    decimals = decimals.rstrip("0").ljust(least, "0") if least < most else decimals
+    return ("-" if text.startswith("-") else "") + prefix + whole + ("." + decimals if decimals else "")
+
+
+def test_wide_numbers(values):
+    """Any number prints exactly, whatever its digits, and none raises."""
+    assert values(nm.format_decimal, *WIDE) == [printed(t, 0, 3) for t in WIDE]
+    assert values(nm.format_currency, *WIDE) == [printed(t, 2, 2, "$") for t in WIDE]
+    with localcontext(Context(prec=100, Emax=MAX_EMAX, Emin=MIN_EMIN, traps=[])):
+        assert values(nm.parse_decimal, *WIDE) == [str(Decimal(t)) if Decimal(t).is_finite() else None for t in WIDE]
+
+
+def test_wide_numbers_property(spark):
+    digits = st.text("0123456789", min_size=1, max_size=32)
+    ties = st.builds("{}.{}{}".format, digits, st.text("0159", min_size=2, max_size=4), st.sampled_from(["5", "50" * 9, "5" + "0" * 20 + "1"]))
+    plain = st.builds("{}{}.{}{}".format, st.sampled_from(["", "-"]), digits, digits, st.sampled_from(["", "e20", "E-7", "e-30"]))
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.one_of(ties, plain), min_size=100, max_size=100))
+    def check(texts):
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        rows = df.select("t", nm.format_decimal(F.col("t")).alias("d"), nm.format_currency(F.col("t")).alias("c")).collect()
+        assert {(r.t, r.d, r.c) for r in rows} == {(t, printed(t, 0, 3), printed(t, 2, 2, "$")) for t in texts}
+
+    check()
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("10000000.5", "10000000.5"), ("0.0001", "0.0001"), ("-3", "-3"), ("-0.2500", "-0.25"), ("0.0000000001", "0.0000000001"),
+    ("0", "0"), ("100", "100"), ("12345678901234567890123456.75", "12345678901234567890123456.75")])
+def test_json_number(spark, text, expected):
+    value = F.lit(text).cast("decimal(38,10)")
+    assert spark.range(1).select(nm.json_number(value)).first()[0] == expected
+
+
 def test_parse_decimal(values):
     assert values(nm.parse_decimal, "$1,234.50", "-$5", "$-1,000", "n/a", "", "1.2.3", "$") == [
         "1234.50", "-5", "-1000", None, None, None, None]
