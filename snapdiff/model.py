@@ -161,7 +161,7 @@ SCHEMA_CONFIG = T.StructType([
 
 RECORD_SCHEMA = T.StructType([T.StructField("record", T.StringType())])
 
-# The job arguments in submit order.
+# The job arguments in submit order.
 ARGUMENTS = (
     "app_name", "previous_path", "current_path", "inserts_path", "deletes_path", "bad_path",
     "audit_path", "config_path", "output_delimiter", "source_delimiter", "additional_output",
@@ -175,6 +175,9 @@ _INT_FLAGS = {"reseed", "format_data", "formats_from_argument", "validate", "reg
 _TEXT_FLAGS = {"csv_header", "delete_before_write"}  # on only when exactly "1"
 
 
+COMPARISONS = ("record", "fingerprint")
+
+
 @dataclass(frozen=True)
 class FeedSpec:
     """Everything one delta run needs; the first 34 fields are the job arguments."""
@@ -213,9 +216,19 @@ class FeedSpec:
     bad_prefix: str = ""
     output_bucket: str = ""
     bad_bucket: str = ""
-    # Reader options beyond the argument list.
+    # Beyond the argument list.
     multi_line: bool = True
     csv_options: Mapping[str, str] = field(default_factory=dict)
+    output_files: int = 1       # files per output; 0: as many as tasks write
+    rows_per_file: int = 0      # most rows in a file; 0: no limit
+    comparison: str = "record"  # or "fingerprint", for records much wider than one
+    on_failure: str = "CONTINUE"  # what a run over several feeds does after this one fails
+
+    def __post_init__(self) -> None:
+        if self.comparison not in COMPARISONS:
+            raise ConfigError(f"comparison must be one of {COMPARISONS}: {self.comparison!r}")
+        if self.output_files < 0 or self.rows_per_file < 0:
+            raise ConfigError("numbers of files and rows must not be negative")
 
     @classmethod
     def from_args(cls, args: Sequence[str]) -> "FeedSpec":

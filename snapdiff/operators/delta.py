@@ -2,18 +2,20 @@
 
 * `compare` answers everything at once (inserts, deletes, bad records, counts).
 * `snapshot_delta` answers one question: what is in A but not in B.
-* `snapshot_delta_wide` answers the same for wide records.
+* `compare_wide` and `snapshot_delta_wide` answer the same for wide records.
 
 The first two are one hash aggregation over both snapshots. Each snapshot is
 scanned once, a record crosses the network once per map task that holds it
 however many copies there are, and nothing is joined, sorted or broadcast.
+The wide forms aggregate 16-byte fingerprints instead, again once per map task,
+and read the text of the few records that are written in a second scan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .records import with_fingerprint
+from .records import fingerprint, with_fingerprint
 from .validation import Quality, status
 
 INSERT, DELETE, BAD = "insert", "delete", "bad"
@@ -38,20 +40,63 @@ def snapshot_delta(left: DataFrame, right: DataFrame, quality: Quality, delimite
         "record", "hash", F.lit(str(bad)).alias("bad"))
 
 
+def _keyed(df: DataFrame, *more: Column) -> DataFrame:
+    return df.select(F.unhex(fingerprint(F.col("record"))).alias("key"), *more)
+
+
+def _texts(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """`key, record`, once each, for the given keys, by a second scan."""
+    found = _keyed(df, F.col("record")).join(keys, "key", "left_semi")
+    return found.groupBy("key").agg(F.first("record").alias("record"))
+
+
 def snapshot_delta_wide(left: DataFrame, right: DataFrame, quality: Quality, delimiter: str,
                         bad: bool = False) -> DataFrame:
-    """`snapshot_delta` that sends only fingerprints of the right side over the network.
+    """`snapshot_delta` by fingerprints: no text crosses the network but that of the result.
 
-    An anti-join on the fingerprint. It sorts, so it pays off once records are
-    much wider than a fingerprint. Both sides are reduced to one row per
-    fingerprint before the shuffle, and the join reuses the partitioning of
-    that reduction. The merge hint keeps it that way: fingerprints grow with
-    the snapshot, so they are never broadcast on an estimate.
+    Copies collapse to one row per fingerprint and task below the only exchange
+    of the first step, whatever the other side's size. Quality is judged last.
     """
-    wanted = _of_quality(left.select("record"), quality, delimiter, bad).select("record")
-    first = with_fingerprint(wanted).where(F.col("hash").isNotNull()).dropDuplicates(["hash"])
-    second = with_fingerprint(right.select("record")).select("hash").distinct()
-    return first.join(second.hint("merge"), "hash", "left_anti").select("record", "hash", F.lit(str(bad)).alias("bad"))
+    both = _keyed(left, F.lit(False).alias("known")).unionAll(_keyed(right, F.lit(True).alias("known")))
+    only_left = both.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("known").alias("known")).where(~F.col("known"))
+    records = _texts(left, only_left.select("key")).select("record")
+    return with_fingerprint(_of_quality(records, quality, delimiter, bad)).select(
+        "record", "hash", F.lit(str(bad)).alias("bad"))
+
+
+def compare_wide(previous: DataFrame, current: DataFrame, quality: Quality, delimiter: str) -> DataFrame:
+    """`compare` by fingerprints: (key, previous_rows, current_rows, is_bad, op).
+
+    A record is judged where it is read, since its text goes no further.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def side(df: DataFrame, p: Column, c: Column) -> DataFrame:
+        return _keyed(quality.mark(df.select("record"), delimiter), p.alias("p"), c.alias("c"), F.col("is_bad"))
+
+    both = side(previous, one, none).unionAll(side(current, none, one))
+    present = both.groupBy("key").agg(
+        F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"), F.max("is_bad").alias("is_bad"))
+    return present.withColumn("op", _op())
+
+
+def changes_wide(compared: DataFrame, previous: DataFrame, current: DataFrame) -> DataFrame:
+    """`changes` of a comparison by fingerprints, whose texts are read again."""
+    wanted = compared.where(F.col("op").isNotNull()).select("key", "op", "is_bad")
+    of_previous = F.col("op") == DELETE
+    gone, here = wanted.where(of_previous), wanted.where(~of_previous)
+    found = [w.join(_texts(df, w.select("key")), "key") for w, df in ((gone, previous), (here, current))]
+    return found[0].unionAll(found[1]).select(
+        "op", "record", F.lower(F.hex("key")).alias("hash"), status(F.col("is_bad")).alias("bad"))
+
+
+def _op() -> Column:
+    in_previous, in_current = F.col("previous_rows") > 0, F.col("current_rows") > 0
+    return (
+        F.when(F.col("is_bad"), F.when(in_current, BAD))
+        .when(~in_previous, INSERT)
+        .when(~in_current, DELETE)
+    )
 
 
 def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter: str) -> DataFrame:
@@ -67,13 +112,7 @@ def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter
         current.select("record", none.alias("p"), one.alias("c")))
     present = both.groupBy("record").agg(
         F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"))
-    in_previous, in_current = F.col("previous_rows") > 0, F.col("current_rows") > 0
-    op = (
-        F.when(F.col("is_bad"), F.when(in_current, BAD))
-        .when(~in_previous, INSERT)
-        .when(~in_current, DELETE)
-    )
-    return quality.mark(present, delimiter).withColumn("op", op)
+    return quality.mark(present, delimiter).withColumn("op", _op())
 
 
 def changes(compared: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -12,7 +12,7 @@ from ..model import ConfigError, FeedSpec
 from ..operators import audit as au, delta as dl
 from ..operators.formatting import Cleaning
 from ..operators.validation import Quality
-from ..session import folder_size, remove_path, scratch_path
+from ..session import remove_path, scratch_path
 from ..sinks import text as sink
 from ..sources.config import resolve_rules
 from ..sources.snapshots import read_pair
@@ -20,7 +20,10 @@ from ..sources.snapshots import read_pair
 
 @dataclass(frozen=True)
 class DeltaResult:
-    """Frames of one run. All are lazy and come from one comparison of the snapshots."""
+    """Frames of one run, lazy over one plan: each action compares the snapshots again.
+
+    `run_job` stages the comparison instead and reads it for every output.
+    """
 
     rows: DataFrame     # every written row: op, record, hash, bad, run_ts, additional, format_errors
     inserts: DataFrame  # the rows of one op
@@ -56,8 +59,19 @@ def results(changed: DataFrame, counts: DataFrame, spec: FeedSpec, run_ts: str)
 
 def delta_of(previous: DataFrame, current: DataFrame, spec: FeedSpec, run_ts: str | None = None) -> DeltaResult:
     """The delta between two record frames; rules must already be in the spec."""
-    compared = dl.compare(previous, current, Quality.of(spec), spec.record_char)
-    return results(dl.changes(compared), au.audit_counts(compared), spec, run_ts or run_timestamp())
+    compared = compared_by(spec, previous, current)
+    return results(changed_by(spec, compared, previous, current), au.audit_counts(compared), spec, run_ts or run_timestamp())
+
+
+def compared_by(spec: FeedSpec, previous: DataFrame, current: DataFrame) -> DataFrame:
+    """The comparison a feed asks for."""
+    compare = dl.compare_wide if spec.comparison == "fingerprint" else dl.compare
+    return compare(previous, current, Quality.of(spec), spec.record_char)
+
+
+def changed_by(spec: FeedSpec, compared: DataFrame, previous: DataFrame, current: DataFrame) -> DataFrame:
+    """The changed rows of that comparison."""
+    return dl.changes_wide(compared, previous, current) if spec.comparison == "fingerprint" else dl.changes(compared)
 
 
 def run_delta(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) -> DeltaResult:
@@ -66,12 +80,18 @@ def run_delta(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) ->
     return delta_of(*read_pair(spark, spec), spec, run_ts)
 
 
+def _plain(path: str) -> str:
+    """A folder's path without what may be written in several ways."""
+    return re.sub(r"/+", "/", re.sub(r"^file:/*", "/", path.strip())).rstrip("/") + "/"
+
+
 def _check_paths(spec: FeedSpec) -> None:
+    """No output may hold, or lie in, another output or an input."""
     outputs = [spec.inserts_path, spec.deletes_path, spec.bad_path]
     if not all(outputs):
         raise ConfigError("inserts, deletes and bad paths are required")
-    paths = [p.rstrip("/") + "/" for p in outputs]
-    inputs = [p.rstrip("/") + "/" for p in (spec.previous_path, spec.current_path) if p]
+    paths = [_plain(p) for p in (*outputs, spec.audit_path) if p]
+    inputs = [_plain(p) for p in (spec.previous_path, spec.current_path, spec.config_path) if p]
     for i, out in enumerate(paths):
         others = inputs + paths[:i] + paths[i + 1:]
         clash = next((o for o in others if o.startswith(out) or out.startswith(o)), None)
@@ -79,63 +99,58 @@ def _check_paths(spec: FeedSpec) -> None:
             raise ConfigError(f"output path {out} overlaps {clash}")
 
 
-def stage(spark: SparkSession, compared: DataFrame, path: str) -> dict[str, int]:
+def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) -> dict[str, int]:
     """Write the changed rows below `path`, one folder per op, and return the counts.
 
-    This one job is the only pass over the snapshots. The counts are observed
-    in its last stage, whose tasks each count once however often they are
-    retried, and the sinks read the staged rows, so a lost executor never
-    brings the comparison back.
+    Compared by record, this one job is the only pass over the snapshots. The
+    counts are observed in its last stage, whose tasks each count once however
+    often they are retried, and the sinks read the staged rows, so a lost
+    executor never brings the comparison back. Compared by fingerprint, the
+    comparison itself is staged first, and the texts of its changes are read after.
     """
     seen = Observation()
-    observed = compared.observe(seen, *au.count_columns())
-    dl.changes(observed).write.partitionBy("op").parquet(path)
+    observed = compared_by(spec, previous, current).observe(seen, *au.count_columns())
+    if spec.comparison == "fingerprint":
+        observed.write.parquet(f"{path}/compared")
+        observed = previous.sparkSession.read.schema(observed.schema).parquet(f"{path}/compared")
+    changed_by(spec, observed, previous, current).write.partitionBy("op").parquet(f"{path}/changed")
     return seen.get
 
 
 STAGED = "record string, hash string, bad string, op string"
-# Most an output file should hold: staged bytes (the text is some three times
-# that), and rows, in case they compress unusually well.
-FILE_BYTES, FILE_ROWS = 32 << 20, 2_000_000
-
-
-def output_files(size: int, staged_files: int, rows: int) -> int | None:
-    """How many files an output should have: one if it is small, else as many as it takes.
-
-    None when the staged files are large enough to be written as they are.
-    """
-    if staged_files and size >= staged_files * FILE_BYTES:
-        return None
-    return max(1, math.ceil(size / FILE_BYTES), math.ceil(rows / FILE_ROWS))
 
 
 def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) -> dict[str, int]:
     """Run a feed end to end and return its counts.
 
     Outputs are written only after the comparison has succeeded, so a failed
-    run leaves the previous outputs in place.
+    run leaves the previous outputs in place. `format_failures` counts the written
+    rows that kept a field which no format could be applied to.
     """
     _check_paths(spec)
     spec = resolve_rules(spark, spec)
     run_ts = run_ts or run_timestamp()
-    compared = dl.compare(*read_pair(spark, spec), Quality.of(spec), spec.record_char)
+    previous, current = read_pair(spark, spec)
     staged = scratch_path(spark, "changes")
-    try:
-        counts = stage(spark, compared, staged)
-        changed = spark.read.schema(STAGED).parquet(staged)
-        result = results(changed, au.counts_frame(spark, counts), spec, run_ts)
+    failures = []
 
-        def files(op: str, rows: int) -> int | None:
-            return output_files(*folder_size(spark, f"{staged}/op={op}"), rows)
+    def counted(rows: DataFrame) -> DataFrame:
+        failures.append(Observation())
+        return rows.observe(failures[-1], F.count_if(F.size("format_errors") > 0).alias("rows"))
 
-        sink.write_delta(result.inserts, spec.inserts_path, spec, files(dl.INSERT, counts["inserted"]))
-        sink.write_delta(result.deletes, spec.deletes_path, spec, files(dl.DELETE, counts["deleted"]))
+    try:
+        counts = stage(spec, previous, current, staged)
+        changed = spark.read.schema(STAGED).parquet(f"{staged}/changed")
+        result = results(changed, au.counts_frame(spark, counts), spec, run_ts)
+        sink.write_delta(counted(result.inserts), spec.inserts_path, spec)
+        sink.write_delta(counted(result.deletes), spec.deletes_path, spec)
         if counts["bad"]:
-            sink.write_bad(result.bad, spec.bad_path, spec, files(dl.BAD, counts["bad"]))
+            sink.write_bad(result.bad, spec.bad_path, spec)
         elif spec.delete_before_write:
             remove_path(spark, spec.bad_path)
         if spec.audit_path:
             sink.append_audit(au.audit_line(result.audit), spec.audit_path)
     finally:
         remove_path(spark, staged)
-    return {**counts, "changed": counts["inserted"] + counts["deleted"]}
+    return {**counts, "changed": counts["inserted"] + counts["deleted"],
+            "format_failures": sum(f.get["rows"] for f in failures)}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -13,17 +15,45 @@ from ..sources.properties import feed_specs
 from .delta_job import DeltaResult, run_job
 
 
-def run_feeds(spark: SparkSession, specs: Iterable[FeedSpec], run_ts: str | None = None) -> dict[str, dict[str, int]]:
-    """One delta job per feed; counts by application name."""
-    return {spec.app_name: run_job(spark, spec, run_ts) for spec in specs}
+@dataclass(frozen=True)
+class FeedRun:
+    """What became of one feed: its counts, its error, or neither if it was not started."""
+
+    spec: FeedSpec
+    counts: dict[str, int] | None = None
+    error: Exception | None = None
+
+
+def run_feeds(spark: SparkSession, specs: Iterable[FeedSpec], run_ts: str | None = None,
+              parallel: int = 1) -> list[FeedRun]:
+    """One delta job per feed, and one result per feed in the same order.
+
+    A feed that fails is reported and the others go on, unless its `on_failure`
+    is anything but CONTINUE: then feeds that have not started are left out. Up to
+    `parallel` feeds share the session at a time.
+    """
+    stopped = False
+
+    def run(spec: FeedSpec) -> FeedRun:
+        nonlocal stopped
+        if stopped:
+            return FeedRun(spec)
+        try:
+            return FeedRun(spec, run_job(spark, spec, run_ts))
+        except Exception as error:  # reported with its feed
+            stopped = stopped or spec.on_failure.upper() != "CONTINUE"
+            return FeedRun(spec, error=error)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return list(pool.map(run, specs))
 
 
 def run_workflow(spark: SparkSession, properties: DataFrame, workflow: str, business_property: str,
                  run_date: date, current_days: int = 0, previous_days: int = 1,
-                 run_ts: str | None = None) -> dict[str, dict[str, int]]:
+                 run_ts: str | None = None, parallel: int = 1) -> list[FeedRun]:
     """Run every feed the property table lists for a workflow on a date."""
     specs = feed_specs(properties, workflow, business_property, run_date, current_days, previous_days)
-    return run_feeds(spark, specs, run_ts)
+    return run_feeds(spark, specs, run_ts, parallel)
 
 
 def combined(results: Mapping[str, DeltaResult]) -> DataFrame:

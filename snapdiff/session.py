@@ -66,12 +66,3 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete `path` on whatever file system it names; False if it was not there."""
     fs, target = _file_system(spark, path)
     return fs.delete(target, True) if fs.exists(target) else False
-
-
-def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Bytes and number of files below `path`; zeros if it is not there."""
-    fs, target = _file_system(spark, path)
-    if not fs.exists(target):
-        return 0, 0
-    summary = fs.getContentSummary(target)
-    return summary.getLength(), summary.getFileCount()

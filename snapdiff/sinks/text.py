@@ -15,23 +15,22 @@ def line(columns: tuple[str, ...], delimiter: str) -> Column:
     return F.concat_ws(delimiter, *[F.coalesce(F.col(c), F.lit("")) for c in columns])
 
 
-def write_lines(lines: DataFrame, path: str, overwrite: bool, files: int | None = None) -> None:
-    """Write a one-column string frame as text, in that many files if a number is given.
+def write_lines(lines: DataFrame, path: str, spec: FeedSpec) -> None:
+    """Write a one-column string frame as text, in as many files as the feed asks for.
 
     The redistribution comes last, so everything before it stays parallel.
     """
-    lines = lines.repartition(files) if files else lines
-    lines.write.mode("overwrite" if overwrite else "errorifexists").text(path)
+    lines = lines.repartition(spec.output_files) if spec.output_files else lines
+    writer = lines.write.mode("overwrite" if spec.delete_before_write else "errorifexists")
+    writer.option("maxRecordsPerFile", spec.rows_per_file).text(path)
 
 
-def write_delta(rows: DataFrame, path: str, spec: FeedSpec, files: int | None = None) -> None:
-    write_lines(rows.select(line(DELTA_COLUMNS, spec.output_char).alias("value")),
-                path, spec.delete_before_write, files)
+def write_delta(rows: DataFrame, path: str, spec: FeedSpec) -> None:
+    write_lines(rows.select(line(DELTA_COLUMNS, spec.output_char).alias("value")), path, spec)
 
 
-def write_bad(rows: DataFrame, path: str, spec: FeedSpec, files: int | None = None) -> None:
-    write_lines(rows.select(line(BAD_COLUMNS, spec.output_char).alias("value")),
-                path, spec.delete_before_write, files)
+def write_bad(rows: DataFrame, path: str, spec: FeedSpec) -> None:
+    write_lines(rows.select(line(BAD_COLUMNS, spec.output_char).alias("value")), path, spec)
 
 
 def append_audit(lines: DataFrame, path: str) -> None:

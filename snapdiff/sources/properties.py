@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date
 
 from pyspark.sql import DataFrame, Row, functions as F, types as T
@@ -36,6 +37,14 @@ _TEXT_FLAGS = {
     "csv_header": "sparkCsvHasHeader",
     "delete_before_write": "sparkBucketDeleteBeforeWrite",
 }
+# Properties of this engine, all optional: reader, output and comparison settings.
+_MORE = {
+    "multi_line": ("sparkCsvMultiLine", lambda v: v != "0"),
+    "csv_options": ("sparkCsvOptions", json.loads),
+    "output_files": ("sparkOutputFiles", int),
+    "rows_per_file": ("sparkRowsPerFile", int),
+    "comparison": ("sparkComparison", str),
+}
 _FOLDERS = (
     "sparkBasePath", "sparkRawPreviousPath", "sparkRawCurrentPath", "sparkDeltaDataPath",
     "sparkBadRecordsPath", "sparkAuditRecordsPath", "sparkConfigurationPath", "sparkFileFormat",
@@ -50,7 +59,8 @@ def _strings(*names: str) -> list[T.StructField]:
 PROPERTY_SCHEMA = T.StructType([
     *_strings("id", "appType", "actionOnFailure", "sparkFileName", "sparkBusinessProperty"),
     T.StructField("sparkCommandLineArguments", T.StructType(
-        _strings(*_FOLDERS, *_TEXT.values(), *_INT_FLAGS.values(), *_TEXT_FLAGS.values()))),
+        _strings(*_FOLDERS, *_TEXT.values(), *_INT_FLAGS.values(), *_TEXT_FLAGS.values(),
+                 *(key for key, _ in _MORE.values())))),
 ])
 
 
@@ -94,6 +104,8 @@ def feed_spec(row: Row, run_date: date, current_days: int, previous_days: int) -
         **{name: p[key] or "" for name, key in _TEXT.items()},
         **flags,
         **{name: p[key] == "1" for name, key in _TEXT_FLAGS.items()},
+        **{name: read(p[key]) for name, (key, read) in _MORE.items() if p.get(key)},
+        **({"on_failure": row["actionOnFailure"]} if row["actionOnFailure"] else {}),
     )
 
 

@@ -87,10 +87,9 @@ def delta_rows(spark: SparkSession, sf: str) -> DataFrame:
     return result.rows.where(F.col("op") != "bad").select(line(DELTA_COLUMNS, "|").alias("value"))
 
 
-@query(f"with {fx.SQL_PAIR} select concat_ws('|', record, md5(record), 'True') as value from bad")
+@query(f"with {fx.SQL_PRICED} select concat_ws('|', record, md5(record), 'True') as value from judged where is_bad")
 def bad_rows(spark: SparkSession, sf: str) -> DataFrame:
-    _, current = fx.order_pair(spark, sf)
-    bad = quarantine(records.distinct_records(current), Quality.of(fx.PRICE_FEED), "|")
+    bad = quarantine(records.distinct_records(fx.priced_orders(spark, sf)), Quality.of(fx.PRICE_FEED), "|")
     return bad.select(line(BAD_COLUMNS, "|").alias("value"))
 
 

@@ -19,11 +19,11 @@ def fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return records.with_fingerprint(fx.order_records(spark, sf))
 
 
-@query(f"""with {fx.SQL_PAIR}
+@query(f"""with {fx.SQL_PRICED}
 select record, md5(record) as hash,
-       case when string_split(record, '|')[4] = 'n/a' then 'True' else 'False' end as bad from cur_raw""")
+       case when string_split(record, '|')[4] = 'n/a' then 'True' else 'False' end as bad from priced""")
 def tagged_records(spark: SparkSession, sf: str) -> DataFrame:
-    return tag(fx.order_pair(spark, sf)[1], PRICES, "|")
+    return tag(fx.priced_orders(spark, sf), PRICES, "|")
 
 
 @query("select distinct text as record, md5(text) as hash from documents")
@@ -77,10 +77,9 @@ def delta_changes(spark: SparkSession, sf: str) -> DataFrame:
     return delta.changes(delta.compare(previous, current, PRICES, "|"))
 
 
-@query(f"with {fx.SQL_PAIR} select record, md5(record) as hash, 'False' as bad from cur where not is_bad")
+@query(f"with {fx.SQL_PRICED} select record, md5(record) as hash, 'False' as bad from judged where not is_bad")
 def reseed(spark: SparkSession, sf: str) -> DataFrame:
-    _, current = fx.order_pair(spark, sf)
-    result = delta_of(empty_snapshot(spark), current, fx.PRICE_FEED, fx.RUN_TS)
+    result = delta_of(empty_snapshot(spark), fx.priced_orders(spark, sf), fx.PRICE_FEED, fx.RUN_TS)
     return result.inserts.select("record", "hash", "bad")
 
 
@@ -100,10 +99,9 @@ def audit_counts(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_counts(delta.compare(previous, current, PRICES, "|"))
 
 
-@query(f"with {fx.SQL_PAIR} select count(*) as bad from bad")
+@query(f"with {fx.SQL_PRICED} select count(*) as bad from judged where is_bad")
 def bad_count(spark: SparkSession, sf: str) -> DataFrame:
-    _, current = fx.order_pair(spark, sf)
-    return quarantine(records.distinct_records(current), PRICES, "|").agg(F.count("*").alias("bad"))
+    return quarantine(records.distinct_records(fx.priced_orders(spark, sf)), PRICES, "|").agg(F.count("*").alias("bad"))
 
 
 @query("select o_orderkey, o_custkey, o_orderstatus from orders order by o_orderkey limit 3")

@@ -15,7 +15,7 @@ from ..model import FeedSpec
 from ..operators.records import canonical_records
 
 RUN_TS = "2018-09-10 06:30:00"
-ADDITIONAL = "AJC|20180910"
+ADDITIONAL = "UNIT|20180910"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -111,6 +111,14 @@ def order_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def priced_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as records, some without a price."""
+    plain = _plain()
+    price = F.when(_key_is(19), "n/a").otherwise(plain.price)
+    return table(spark, sf, "orders").select(
+        OrderParts(plain.custkey, price, plain.date, plain.priority).record().alias("record"))
+
+
 def _sql_snapshot(price: str, where: str) -> str:
     return (f"select concat_ws('|', o_orderkey, o_custkey, o_orderstatus, "
             f"case when o_orderkey % 19 = 0 then 'n/a' else {price} end, {SQL_DATE}, o_orderpriority) "
@@ -127,6 +135,9 @@ ins as (select record from cur where not is_bad and record not in (select record
 del as (select record from prev where not is_bad and record not in (select record from cur)),
 bad as (select record from cur where is_bad)"""
 
+SQL_PRICED = f"""priced as ({_sql_snapshot(SQL_PRICE, "true")}),
+judged as (select distinct record, string_split(record, '|')[4] = 'n/a' as is_bad from priced)"""
+
 PRICE_RULES = '{"validates":[{"validation_type":"field","column_index":"3","data_type":"decimal"}]}'
 ORDER_FORMATS = (
     '{"formats":[{"column_index":"4","format_type":"date","in_expression":"%m/%d/%y",'

@@ -54,30 +54,30 @@ def csv_roundtrip_noheader(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.read_snapshot(spark, path, replace(CSV_FEED, csv_header=False))
 
 
-def _write_config(spark: SparkSession, *documents: str) -> str:
+def write_config(spark: SparkSession, *documents: str) -> str:
     path = scratch_path(spark, "config")
     spark.createDataFrame([(d,) for d in documents], "value string").write.text(path)
     return path
 
 
-@query(f"""with {fx.SQL_PAIR}
-select record, string_split(record, '|')[4] = 'n/a' as is_bad from cur_raw""")
+@query(f"""with {fx.SQL_PRICED}
+select record, string_split(record, '|')[4] = 'n/a' as is_bad from priced""")
 def config_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Orders judged by rules read from a config file of several feeds."""
-    path = _write_config(
+    path = write_config(
         spark, '{"filename":"orders",' + fx.PRICE_RULES[1:],
         '{"filename":"other","validates":[{"validation_type":"record","column_count":1}]}',
         '{"filename":"orders",' + fx.ORDER_FORMATS[1:])
     spec = FeedSpec(feed="orders", validate=True, config_path=path)
     quality = va.Quality.of(config.resolve_rules(spark, spec))
-    return quality.mark(fx.order_pair(spark, sf)[1], "|")
+    return quality.mark(fx.priced_orders(spark, sf), "|")
 
 
 @query(f"""with {fx.SQL_FAULTY}
 select try_cast(f[1] as bigint) as order_key, try_cast(f[2] as bigint) as customer, f[3] as status
 from faulty_fields""")
 def schema_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    path = _write_config(
+    path = write_config(
         spark, '{"filename":"orders","schema":{"fields":[{"name":"order_key","type":"long"},'
         '{"name":"customer","type":"long"},{"name":"status","type":"string"}]}}')
     schema = config.lookup_schema(spark, path, "orders")
@@ -108,6 +108,15 @@ def sink_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path)
 
 
+@query("select count(*) as rows, 7 as files from orders")
+def sink_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders in as many files as the feed asks for."""
+    path = scratch_path(spark, "files")
+    sink.write_lines(fx.order_records(spark, sf).withColumnRenamed("record", "value"), path, FeedSpec(output_files=7))
+    return spark.read.text(path).select(F.input_file_name().alias("file")).agg(
+        F.count("*").alias("rows"), F.countDistinct("file").cast("int").alias("files"))
+
+
 @query(f"""with {fx.SQL_PAIR}
 select concat_ws('|', record, md5(record), 'True') as value from bad""")
 def sink_bad(spark: SparkSession, sf: str) -> DataFrame:

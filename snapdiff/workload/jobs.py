@@ -15,7 +15,7 @@ from ..session import scratch_path
 from ..sinks.text import DELTA_COLUMNS
 from ..sources.properties import PROPERTY_SCHEMA
 from . import fixtures as fx
-from .io import CSV_FEED, write_csv, write_snapshot
+from .io import CSV_FEED, write_config, write_csv, write_snapshot
 from .registry import query
 
 
@@ -86,6 +86,30 @@ def full_job_files(spark: SparkSession, sf: str) -> DataFrame:
         _lines_of(spark, f"{out}/deletes", "delete")).unionAll(_lines_of(spark, f"{out}/bad", "bad"))
 
 
+@query(f"with {SQL_DOCS} {_sql_job()}")
+def full_delta_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents compared by fingerprint: every row a run writes."""
+    spec = FeedSpec(feed="documents", validate=True, validations_json=DOC_RULES, additional_output=fx.ADDITIONAL,
+                    comparison="fingerprint")
+    return delta_of(*fx.document_lines(spark, sf), spec, fx.RUN_TS).rows.select(*DELTA_COLUMNS)
+
+
+@query(f"""with {fx.SQL_PAIR} {_sql_line('insert', 'ins')} union all {_sql_line('delete', 'del')}
+union all select 'bad', concat_ws('|', record, md5(record), 'True') from bad""")
+def job_arguments(spark: SparkSession, sf: str) -> DataFrame:
+    """A job described by its argument list alone."""
+    previous, current = fx.order_pair(spark, sf)
+    out = scratch_path(spark, "out")
+    spec = replace(
+        fx.PRICE_FEED, previous_path=write_snapshot(spark, previous, "previous"),
+        current_path=write_snapshot(spark, current, "current"), config_path=write_config(
+            spark, '{"filename":"orders",' + fx.PRICE_RULES[1:]),
+        inserts_path=f"{out}/inserts", deletes_path=f"{out}/deletes", bad_path=f"{out}/bad")
+    run_job(spark, FeedSpec.from_args(spec.to_args()), fx.RUN_TS)
+    return _lines_of(spark, f"{out}/inserts", "insert").unionAll(
+        _lines_of(spark, f"{out}/deletes", "delete")).unionAll(_lines_of(spark, f"{out}/bad", "bad"))
+
+
 def customer_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Customers without one segment each; the balance of one nation changes."""
     rows = fx.table(spark, sf, "customer")
@@ -145,7 +169,7 @@ def _property_row(base: str, app: str, feed: str, delimiter: str, regex: str) ->
         "sparkFlagReplaceData": "0", "sparkCsvHasHeader": "0", "sparkBucketDeleteBeforeWrite": "1",
     }
     names = PROPERTY_SCHEMA["sparkCommandLineArguments"].dataType.names
-    return (app, "spark", "CONTINUE", "daily", "AJC", tuple(values.get(n) for n in names))
+    return (app, "spark", "CONTINUE", "daily", "UNIT", tuple(values.get(n) for n in names))
 
 
 def _sql_fed(feed: str, op: str, rows: str) -> str:
@@ -163,9 +187,12 @@ def workflow_files(spark: SparkSession, sf: str) -> DataFrame:
         for day, snapshot in zip((date(2018, 9, 9), RUN_DATE), pair):
             snapshot.write.text(snapshot_path(base + "/", f"raw/{feed}/", day))
     properties = spark.createDataFrame(
-        [_property_row(base, "a1", "orders", "PIPE", r"^(?:[^|]*\|){3}-?\d"),
-         _property_row(base, "a2", "customer", "TILDE", "")], PROPERTY_SCHEMA)
-    run_workflow(spark, properties, "daily", "AJC", RUN_DATE, run_ts=fx.RUN_TS)
+        [_property_row(base, "a1", "missing", "PIPE", ""),  # fails, and the others go on
+         _property_row(base, "a1", "orders", "PIPE", r"^(?:[^|]*\|){3}-?\d"),
+         _property_row(base, "a1", "customer", "TILDE", "")], PROPERTY_SCHEMA)
+    runs = run_workflow(spark, properties, "daily", "UNIT", RUN_DATE, run_ts=fx.RUN_TS)
+    if [run.error is None for run in runs] != [False, True, True]:
+        raise RuntimeError(f"unexpected results: {runs}")
     lines = [
         _lines_of(spark, snapshot_path(base + "/", f"processed/{feed}/", RUN_DATE) + folder, op).withColumn(
             "feed", F.lit(feed))

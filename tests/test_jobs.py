@@ -5,7 +5,7 @@ import pytest
 
 from snapdiff import ConfigError, FeedSpec, run_feeds, run_job
 from snapdiff.model import ARGUMENTS
-from snapdiff.plans.delta_job import output_files
+from snapdiff.sinks.text import write_lines
 from snapdiff.session import scratch_path
 from snapdiff.sources import config, properties, snapshots
 from snapdiff.workload.jobs import _property_row
@@ -34,7 +34,7 @@ def md5(text):
 def feed(tmp_path):
     """A feed with rules and formats in config files."""
     return FeedSpec(
-        app_name="t", feed="f1", validate=True, format_data=True, additional_output="AJC|20180910",
+        app_name="t", feed="f1", validate=True, format_data=True, additional_output="UNIT|20180910",
         previous_path=write(tmp_path / "prev", "a|1", "b|2", "c|3", "z|x"),
         current_path=write(tmp_path / "cur", "a|1", "b|2.5", "b|2.5", "é|y"),
         inserts_path=str(tmp_path / "out/inserts"), deletes_path=str(tmp_path / "out/deletes"),
@@ -46,9 +46,9 @@ def feed(tmp_path):
 def test_job_files(spark, feed, tmp_path):
     counts = run_job(spark, feed, TS)
     assert counts == {"raw_previous": 4, "raw_current": 4, "distinct_previous": 4, "distinct_current": 3,
-                      "inserted": 1, "deleted": 2, "bad": 1, "changed": 3}
+                      "inserted": 1, "deleted": 2, "bad": 1, "changed": 3, "format_failures": 0}
     out = tmp_path / "out"
-    tail = f"False|%s|{TS}|AJC|20180910"
+    tail = f"False|%s|{TS}|UNIT|20180910"
     assert lines_of(out / "inserts") == [f"b|$2.50|{md5('b|2.5')}|" + tail % "insert"]
     assert lines_of(out / "deletes") == sorted(
         f"{shown}|{md5(raw)}|" + tail % "delete" for shown, raw in (("b|$2.00", "b|2"), ("c|$3.00", "c|3")))
@@ -63,13 +63,31 @@ def test_small_outputs_are_one_file(spark, feed, tmp_path):
         assert len(list((tmp_path / "out" / folder).glob("part-*"))) == 1
 
 
-def test_output_files_are_bounded():
-    mb = 1 << 20
-    assert output_files(0, 0, 0) == 1
-    assert output_files(5 * mb, 100, 1000) == 1
-    assert output_files(100 * mb, 100, 1000) == 4
-    assert output_files(5 * mb, 100, 9_000_000) == 5
-    assert output_files(100 * 64 * mb, 100, 10**9) is None
+def test_output_files_are_a_parameter(spark, tmp_path):
+    rows = spark.range(100).selectExpr("cast(id as string) as value")
+    for files, rows_per_file, expected in ((1, 0, 1), (4, 0, 4), (1, 30, 4)):
+        path = tmp_path / f"{files}-{rows_per_file}"
+        write_lines(rows, str(path), FeedSpec(output_files=files, rows_per_file=rows_per_file))
+        assert len(list(path.glob("part-*"))) == expected and len(lines_of(path)) == 100
+
+
+def test_format_failures_are_counted(spark, feed, tmp_path):
+    rules = '{"formats":[{"column_index":0,"format_type":"currency"}]}'
+    counts = run_job(spark, replace(feed, formats_from_argument=True, formats_json=rules), TS)
+    assert counts["format_failures"] == counts["changed"] > 0
+
+
+def test_comparison_by_fingerprint(spark, feed, tmp_path):
+    by_record = run_job(spark, feed, TS)
+    before = {f: lines_of(tmp_path / "out" / f) for f in ("inserts", "deletes", "bad")}
+    assert run_job(spark, replace(feed, comparison="fingerprint"), TS) == by_record
+    assert {f: lines_of(tmp_path / "out" / f) for f in before} == before
+
+
+@pytest.mark.parametrize("clash", ["audit_path", "config_path"])
+def test_paths_do_not_overlap(spark, feed, clash):
+    with pytest.raises(ConfigError, match="overlaps"):
+        run_job(spark, replace(feed, **{clash: "file://" + feed.inserts_path}), TS)
 
 
 def test_overwrite_flag(spark, feed, tmp_path):
@@ -201,7 +219,7 @@ def test_arguments_round_trip():
 def test_property_rows(spark):
     rows = [_property_row("s3://b", "a1", "orders", "TILDE", "^x"), _property_row("s3://b", "a2", "other", "PIPE", "")]
     table = spark.createDataFrame(rows, properties.PROPERTY_SCHEMA)
-    specs = properties.feed_specs(table, "daily", "AJC", date(2018, 9, 10), 0, 1)
+    specs = properties.feed_specs(table, "daily", "UNIT", date(2018, 9, 10), 0, 1)
     assert [s.app_name for s in specs] == ["a1", "a2"]
     one = specs[0]
     assert one.previous_path == "s3://b/raw/orders/2018/09/09/" and one.current_path == "s3://b/raw/orders/2018/09/10/"
@@ -212,14 +230,18 @@ def test_property_rows(spark):
     assert one.delta_prefix == "processed/orders/2018/09/10/" and (one.year, one.month, one.day) == ("2018", "09", "10")
     assert one.regex_validation and one.delete_before_write and not one.csv_header
     with pytest.raises(ConfigError):
-        properties.feed_specs(table, "weekly", "AJC", date(2018, 9, 10), 0, 1)
+        properties.feed_specs(table, "weekly", "UNIT", date(2018, 9, 10), 0, 1)
 
 
 def test_run_feeds(spark, feed, tmp_path):
     other = replace(feed, app_name="u", reseed=True, inserts_path=str(tmp_path / "u/i"),
                     deletes_path=str(tmp_path / "u/d"), bad_path=str(tmp_path / "u/b"))
-    counts = run_feeds(spark, [feed, other], TS)
-    assert (counts["t"]["inserted"], counts["u"]["inserted"]) == (1, 2)
+    lost = replace(feed, previous_path=str(tmp_path / "none"))
+    runs = run_feeds(spark, [feed, lost, replace(other, app_name="t")], TS)  # equal names, a failing feed
+    assert [r.error is None for r in runs] == [True, False, True]
+    assert (runs[0].counts["inserted"], runs[2].counts["inserted"]) == (1, 2)
+    runs = run_feeds(spark, [replace(lost, on_failure="TERMINATE"), feed], TS)
+    assert runs[0].error is not None and runs[1].counts is runs[1].error is None
 
 
 def test_scratch_paths_are_new(spark):
