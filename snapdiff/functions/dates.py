@@ -30,9 +30,16 @@ _PARSE = {
     "B": "((?i:" + "|".join(_MONTHS) + "))",
     "a": "(?i:" + "|".join(d[:3] for d in _DAYS) + ")",
     "A": "(?i:" + "|".join(_DAYS) + ")",
+    "j": r"(36[0-6]|3[0-5]\d|[12]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9])",
+    "w": "[0-6]",
+    "U": r"(?:5[0-3]|[0-4]\d|\d)",
+    "W": r"(?:5[0-3]|[0-4]\d|\d)",
+    "z": r"(?:[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|(?-i:Z))",
     "%": "%",
 }
-_SILENT = {"a", "A", "%"}  # matched, but carry no part of the date
+_SILENT = {"a", "A", "w", "U", "W", "z", "%"}  # matched, but carry no part of the date
+# What the composed directives stand for.
+_COMPOSED = {"x": "%m/%d/%y", "X": "%H:%M:%S", "c": "%a %b %e %H:%M:%S %Y"}
 
 # Spark pattern for each format directive.
 _FORMAT = {
@@ -48,7 +55,10 @@ def _tokens(expression: str):
         if expression[i] == "%":
             if i + 1 == len(expression):
                 raise ConfigError(f"stray % at the end of date expression {expression!r}")
-            yield True, expression[i + 1]
+            if expression[i + 1] in _COMPOSED:
+                yield from _tokens(_COMPOSED[expression[i + 1]])
+            else:
+                yield True, expression[i + 1]
             i += 2
         else:
             end = expression.find("%", i)
@@ -65,6 +75,7 @@ def _pattern(expression: str, **override: str) -> tuple[str, dict[str, int]]:
             parts = re.split(r"(\s+)", token)
             pattern.append("".join(r"\s+" if p.isspace() else re.escape(p) for p in parts if p))
             continue
+        token = "d" if token == "e" else token
         if token not in _PARSE:
             raise ConfigError(f"date directive %{token} is not supported: {expression!r}")
         if token in groups:
@@ -91,11 +102,18 @@ def parse_date(text: Column, expression: str) -> Column:
         return next((f"${groups[n]}" for n in names if n in groups), default)
 
     year = part("20" + part("", "y") if "y" in groups else "1900", "Y")
-    template = (f"{year}-{part('1', 'm', 'b', 'B')}-{part('1', 'd')} "
+    of_year = "j" in groups  # goes before a month or day
+    weekday = re.search("%[aAw]", expression) and re.search("%[UW]", expression)
+    if weekday and not groups.keys() & {"j", "m", "d", "b", "B"}:
+        raise ConfigError(f"a date from its week is not supported: {expression!r}")
+    month_day = "1-1" if of_year else f"{part('1', 'm', 'b', 'B')}-{part('1', 'd')}"
+    template = (f"{year}-{month_day} "
                 f"{part('0', 'H', 'I')}:{part('0', 'M')}:{part('0', 'S')}.{part('0', 'f')}")
     clock12 = "I" in groups and "H" not in groups
     if clock12:
         template += f"|{part('am', 'p')}"
+    if of_year:
+        template += f"#{part('1', 'j')}"
     iso = F.regexp_replace(text, rf"\A(?:{pattern})\z|\A(?s:.*)\z", template)
     if "y" in groups and "Y" not in groups:
         late = r"[5-9]\d" if expression == "%m/%d/%y" else r"69|[7-9]\d"
@@ -103,7 +121,11 @@ def parse_date(text: Column, expression: str) -> Column:
     if "m" not in groups and ("b" in groups or "B" in groups):
         iso = reduce(lambda acc, m: F.regexp_replace(acc, f"(?i)-{m[1][:3]}[a-z]*-", f"-{m[0]}-"),
                      enumerate(_MONTHS, 1), iso)
+    days = F.coalesce(F.substring_index(iso, "#", -1).try_cast("int"), F.lit(1)) - 1
+    iso = F.substring_index(iso, "#", 1) if of_year else iso
     moment = (F.substring_index(iso, "|", 1) if clock12 else iso).try_cast("timestamp_ntz")
+    if of_year:
+        moment = moment + F.make_dt_interval(days)
     if clock12:
         half_day = F.expr("interval '12' hour")
         moment = F.when(F.hour(moment) == 12, moment - half_day).otherwise(moment)
@@ -111,6 +133,46 @@ def parse_date(text: Column, expression: str) -> Column:
     return moment
 
 
+def _week(moment: Column, first: int) -> Column:
+    """Week of the year, counted from its first Sunday (0) or Monday (1)."""
+    weekday = F.pmod(F.dayofweek(moment) - 1 - first, F.lit(7))
+    return F.lpad(F.floor((F.dayofyear(moment) + 6 - weekday) / 7).cast("string"), 2, "0")
+
+
+# Directives without a pattern.
+_COMPUTED = {
+    "w": lambda m: (F.dayofweek(m) - 1).cast("string"),
+    "U": lambda m: _week(m, 0),
+    "W": lambda m: _week(m, 1),
+    "e": lambda m: F.lpad(F.dayofmonth(m).cast("string"), 2, " "),
+    "z": lambda m: F.when(m.isNotNull(), ""),  # the timestamps have no zone
+}
+
+
+def format_moment(moment: Column, expression: str) -> Column:
+    """A timestamp printed with a strftime expression."""
+    parts: list[Column] = []
+    pattern = ""
+    for is_directive, token in _tokens(expression):
+        piece = ("%" + token) if is_directive else token.replace("%", "%%")
+        if is_directive and token in _COMPUTED:
+            parts += [F.date_format(moment, spark_date_pattern(pattern))] if pattern else []
+            parts.append(_COMPUTED[token](moment))
+            pattern = ""
+        else:
+            pattern += piece
+    parts += [F.date_format(moment, spark_date_pattern(pattern))] if pattern else []
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def _joined(parts: list[str]) -> str:
+    """Pattern parts in a row; quoted neighbours become one, since '' is a quote itself."""
+    out = ""
+    for part in parts:
+        out = out[:-1] + part[1:] if out.endswith("'") and part.startswith("'") else out + part
+    return out
+
+
 def spark_date_pattern(expression: str) -> str:
     """The `date_format` pattern that prints what a strftime expression prints."""
     out = []
@@ -121,7 +183,7 @@ def spark_date_pattern(expression: str) -> str:
             out.append(_FORMAT[token])
         else:
             out.append("'" + token.replace("'", "''") + "'")
-    return "".join(out)
+    return _joined(out)
 
 
 def is_date(text: Column, expression: str) -> Column:
@@ -135,7 +197,9 @@ def is_date(text: Column, expression: str) -> Column:
 
 def reformat_date(text: Column, in_expression: str, out_expression: str) -> Column:
     """Date text from one expression to another; null if the text does not parse."""
-    return F.date_format(parse_date(text, in_expression), spark_date_pattern(out_expression))
+    if "%z" in in_expression and "%z" in out_expression:
+        raise ConfigError(f"a zone read with %z cannot be printed: {out_expression!r}")
+    return format_moment(parse_date(text, in_expression), out_expression)
 
 
 RUN_TIMESTAMP = "%Y-%m-%d %H:%M:%S"

@@ -221,6 +221,22 @@ def json_numeric(spark, sf):
         nm.json_number(F.col("l")).alias("large"))
 
 
+@query("""select o_orderkey, strftime(o_orderdate, '%Y%j') as text,
+  strftime(o_orderdate, '%a %U %d.%m.%Y') || ' ' || strftime(o_orderdate, '%W %j') as shown from orders""")
+def format_day_of_year(spark, sf):
+    day = F.col("o_orderdate")
+    text = F.concat(F.year(day), F.lpad(F.dayofyear(day).cast("string"), 3, "0"))
+    return _orders(spark, sf, text=text).withColumn(
+        "shown", dt.reformat_date(F.col("text"), "%Y%j", "%a %U %d.%m.%Y %W %j"))
+
+
+@query("""select o_orderkey, not (o_orderkey % 7 = 0) as ok from orders""")
+def validate_day_of_year(spark, sf):
+    """Every seventh date has a day past the end of any year."""
+    day = F.when(F.col("o_orderkey") % 7 == 0, "367").otherwise(F.lpad(F.dayofyear("o_orderdate").cast("string"), 3, "0"))
+    return _orders(spark, sf, ok=dt.is_date(F.concat(F.year("o_orderdate"), day), "%Y%j"))
+
+
 @query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') as run_ts from events")
 def run_timestamp(spark, sf):
     return fx.table(spark, sf, "events").select("event_id", dt.timestamp_text(F.col("ts")).alias("run_ts"))

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def test_prints_like_strftime(spark, expression):
     assert got == moment.strftime(expression)
 
 
-@pytest.mark.parametrize("expression", ["%Q", "%Y %", "%c", "%Y %Y"])
+@pytest.mark.parametrize("expression", ["%Q", "%Y %", "%G", "%Y %Y"])
 def test_unsupported_directives_are_refused(expression):
     with pytest.raises(ConfigError):
         dt.parse_date(F.lit("x"), expression)
@@ -88,3 +88,37 @@ def test_dated_columns(spark):
         dt.dated_text("feed_{0}-{1}-{2}.csv", day).alias("n"),
         dt.timestamp_text(F.lit(datetime(2018, 9, 10, 6, 5, 4))).alias("t")).first()
     assert tuple(row) == ("s3://b/raw/2018/08/31/", "feed_2018-09-10.csv", "2018-09-10 06:05:04")
+
+
+MOMENTS = [datetime(1970, 1, 2) + timedelta(days=41 * n, seconds=7919 * n) for n in range(500)]
+
+
+@pytest.mark.parametrize("expression", [
+    "%Y%j", "%y%j", "%Y%m%d%j", "%j %I:%M %p %Y", "%c", "%x %X", "%Y-%m-%d %H:%M:%S %z", "%w %U %W %Y-%m-%d"])
+def test_directives_as_python_reads_them(spark, expression):
+    texts = [m.strftime(expression.replace("%z", "+0130")) for m in MOMENTS[::10]]
+    texts += ["2019366", "2020366", "2019367", "2019000", "20196", "2018-01-01 00:00:00 Z", "2018-01-01 00:00:00 -01:00:30", "x"]
+
+    def read(text):
+        try:
+            return datetime.strptime(text, expression).replace(tzinfo=None)
+        except ValueError:
+            return None
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(
+        dt.parse_date(F.col("t"), expression), dt.is_date(F.col("t"), expression)).collect()
+    assert [tuple(r) for r in rows] == [(read(t), read(t) is not None) for t in texts]
+
+
+@pytest.mark.parametrize("expression", ["%w %U %W", "%x|%X", "%c", "%j %e%%|", "%Y-%m-%d%z"])
+def test_directives_as_python_prints_them(spark, expression):
+    rows = spark.createDataFrame(list(enumerate(MOMENTS)), "i int, t timestamp_ntz").orderBy("i").select(
+        dt.format_moment(F.col("t"), expression)).collect()
+    assert [r[0] for r in rows] == [m.strftime(expression) for m in MOMENTS]
+
+
+def test_unreadable_combinations():
+    with pytest.raises(ConfigError, match="week"):
+        dt.parse_date(F.lit(""), "%Y %U %a")
+    with pytest.raises(ConfigError, match="zone"):
+        dt.reformat_date(F.lit(""), "%Y %z", "%z")
