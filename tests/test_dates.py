@@ -69,7 +69,7 @@ def test_prints_like_strftime(spark, expression):
 
 
 @pytest.mark.parametrize("expression", ["%Q", "%Y %", "%G", "%Y %Y"])
-def test_unsupported_directives_are_refused(expression):
+def test_unsupported_directives_are_refused(spark, expression):
     with pytest.raises(ConfigError):
         dt.parse_date(F.lit("x"), expression)
 
