@@ -11,7 +11,7 @@ from .common import let, small, staged, words
 
 KINDS = ("email", "ip", "card", "phone")  # fixed by the contract, in this order
 WINDOW = 10         # words on either side of an entity that count as its context
-SUPPORT = 3         # different contexts that must hold entity and term together
+SUPPORT = 3         # different windows that must hold entity and term together
 DISCLOSURE = 0.9    # share of an entity's information that a term may not reveal
 GENERAL = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[TERM]"}
 
@@ -121,26 +121,32 @@ def _entity(match: Column) -> Column:
 def disclosing_terms(docs: DataFrame, matches: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """`entity, term, share` of terms that reveal an entity.
 
-    With p(e) and p(t) from counts over all words of the corpus, and p(e, t) from
-    the windows around entities, the share is PMI(e; t) / -log2 p(e): 1 if the term
-    never occurs apart from the entity. Equal contexts, as in copies, count once.
+    Probabilities are shares of the different texts of the corpus: p(e) and p(t) of
+    those that hold entity and term, p(e, t) of those where the term stands within
+    the entity's window. The share is PMI(e; t) / -log2 p(e): 1 if no text holds the
+    term without the entity. Copies of a text count once, and `support` asks for
+    different windows, so that copies with other surroundings do not suffice either.
     """
-    context = matches.select(F.explode("matches").alias("m")).select(
-        _entity(F.col("m")).alias("entity"), F.col("m.left").alias("left"), F.col("m.right").alias("right")).distinct()
+    context = matches.select("text_key", F.explode("matches").alias("m")).select(
+        "text_key", _entity(F.col("m")).alias("entity"), F.col("m.left").alias("left"), F.col("m.right").alias("right")).distinct()
     nearby = F.regexp_extract_all(F.lower(F.concat_ws(" ", "left", "right")), F.lit(_TERM), F.lit(0))
-    context = staged(context.select("entity", F.array_distinct(nearby).alias("terms")), "contexts")
-    together = context.select("entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
-    together = staged(together.where(F.col("n_et") >= support), "together")
-    wanted = staged(together.select("term").distinct(), "terms")
-    spoken = docs.select(F.explode(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(_TERM), F.lit(0))).alias("term"))
-    n_t = spoken.join(small(wanted), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_e = context.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    total = docs.agg(F.sum(F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"\p{L}+")))).first()[0] or 0
-    # A repeated word of one window counts once, a word of two windows twice.
-    known = F.log2(F.lit(float(total)) / F.col("n_e"))
-    pmi = F.log2(F.least(F.col("n_et"), F.col("n_t")) * float(total) / (F.col("n_e") * F.col("n_t")))
+    window = F.xxhash64("left", "right").alias("window")
+    context = staged(context.select("text_key", "entity", window, F.array_distinct(nearby).alias("terms")), "contexts")
+    pairs = context.select("entity", "window", "text_key", F.explode("terms").alias("term"))
+    windows = pairs.select("entity", "term", "window").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n"))
+    wide = staged(windows.where(F.col("n") >= support).select("entity", "term"), "supported")
+    together = (pairs.select("entity", "term", "text_key").distinct().join(small(wide), ["entity", "term"])
+                .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")))
+    wanted = staged(wide.select("term").distinct(), "terms")
+    text = F.coalesce("text", F.lit(""))
+    spoken = docs.select(F.xxhash64(text).alias("text_key"), F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))).alias("term"))
+    n_t = spoken.join(small(wanted), "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    n_e = context.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    total = float(docs.select(F.xxhash64(text).alias("text_key")).distinct().count())
+    pmi = F.log2(F.col("n_et") * total / (F.col("n_e") * F.col("n_t")))
     return (together.join(n_e, "entity").join(n_t, "term").where(F.col("n_e") < total)
-            .select("entity", "term", (pmi / known).alias("share")).where(F.col("share") >= disclosure))
+            .select("entity", "term", (pmi / F.log2(total / F.col("n_e"))).alias("share")).where(F.col("share") >= disclosure))
 
 
 def find_personal(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
@@ -183,7 +189,7 @@ def redacted(text: Column, spans: Column, general: dict[str, str] = GENERAL) ->
             end = F.array_max(F.transform(s, lambda x: x["end"]))
             return F.concat(F.array_join(each, ""), F.substring(text, (end + 1).cast("int"), F.length(text)))
 
-        return let(_scan(F.transform(s, lambda x: x["end"]), F.greatest), parts)
+        return let(_scan(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b)), parts)
 
     ordered = F.array_sort(spans, lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1)
                            .otherwise((b["end"] - a["end"]).cast("int")))
