@@ -23,15 +23,27 @@ SCOPE = frozenset("article aside body div dl html main ol section table ul td th
 # Parts of a page that are no article, by element, role and words of class and id.
 APART = frozenset("nav footer aside form button select dialog menu object audio video canvas head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment
-comments consent cookie cookies disqus footer gdpr masthead menu menus modal nav navbar navigation newsletter notice
-notification pagination pager popup promo promoted promotion recommended related reply replies search share sharing
-sidebar sidenav signup skip social sponsor sponsored subscribe subscription toolbar topbar widget""".split())
+NAMES = frozenset("""ad ads adv adsense alert banner consent disqus footer gdpr masthead menu menus modal nav navbar
+navigation notice notices notification overlay pagination pager paywall popup promo promoted promotion recommended
+related reply replies responses search share sharing sidenav signup skip social toolbar topbar widget widgets""".split())
+STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor", "subscri")
+KEEPS = frozenset("has no with without".split())       # as in "with-sidebar": the name is about another part
+TITLES = frozenset("article content entry post story".split())  # their headers hold a title
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>""")
 _PLAIN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _MARKS = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_WORDS = re.compile(r"[a-z]+|[0-9]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+
+
+def _named_apart(value: str, in_article: bool) -> bool:
+    """Whether a class or id names a part that is no article."""
+    words = {w.lower() for w in _WORDS.findall(value)}
+    if not KEEPS.isdisjoint(words):
+        return False
+    if "header" in words and not in_article and TITLES.isdisjoint(words):
+        return True
+    return not NAMES.isdisjoint(words) or any(w.startswith(STARTS) and w != "commentary" for w in words)
 
 
 def _apart(name: str, attributes: str, in_article: bool) -> bool:
@@ -41,10 +53,10 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
     if not attributes or name in ("html", "body"):
         return False
     for mark, *values in _MARKS.findall(attributes):
-        mark, value = mark.lower(), "".join(values).lower()
-        if mark == "hidden" or (mark == "aria-hidden" and value == "true") or (mark == "role" and value in ROLES):
+        mark, value = mark.lower(), "".join(values)
+        if mark == "hidden" or (mark == "aria-hidden" and value == "true") or (mark == "role" and value.lower() in ROLES):
             return True
-        if mark in ("class", "id") and name not in ("article", "main") and not NAMES.isdisjoint(_WORDS.findall(value)):
+        if mark in ("class", "id") and name not in ("article", "main") and _named_apart(value, in_article):
             return True
     return False
 
@@ -52,7 +64,8 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
 class Page:
     """The DOM of one page as flat lists; a child always comes after its parent."""
 
-    def __init__(self, html: str) -> None:
+    def __init__(self, html: str, by_name: bool = True) -> None:
+        self._by_name = by_name
         self.names, self.parents, self.apart = ["#"], [-1], [False]
         self.blocks: list[list[tuple[int, str]]] = []
         self._stack, self._open, self._block = [0], Counter({"#": 1}), []
@@ -99,7 +112,7 @@ class Page:
         in_article = bool(self._open["article"] or self._open["main"])
         self.names.append(name)
         self.parents.append(parent)
-        self.apart.append(self.apart[parent] or _apart(name, attributes, in_article))
+        self.apart.append(self.apart[parent] or _apart(name, attributes if self._by_name else "", in_article))
         self._stack.append(len(self.names) - 1)
         self._open[name] += 1
 
@@ -147,6 +160,9 @@ class Page:
             else:
                 self._start(name, found[3])
 
+    def has_text(self) -> bool:
+        return any(text.strip() for block in self.blocks for _, text in block)
+
     def densities(self) -> tuple[list[float], list[float]]:
         """Composite text density of every node, and the sum over its children."""
         n = len(self.names)
@@ -187,13 +203,12 @@ def main_text(html: str | None) -> str:
     outside it must reach to count as well.
     """
     page = Page(html or "")
-    if not page.blocks:
+    if not page.has_text():
+        page = Page(html or "", by_name=False)  # the names were about something else
+    if not page.has_text():
         return ""
     density, total = page.densities()
     n = len(page.names)
-    has_text = {node for block in page.blocks for node, text in block if text.strip()}
-    if not has_text:
-        return ""
     best = max(range(n), key=lambda i: (total[i], i))
     if not total[best]:
         best = 0  # text without elements

@@ -19,6 +19,9 @@ from snapdiff.llm.html_text import main_text
     ("<article><p>Body text that is long enough</p><form><p>Join us</p></form><aside>See also</aside><p>End.</p></article>", "Body text that is long enough\nEnd."),
     ("<script>var t='<p>no</p>';</script><style>p{}</style><!-- <p>no</p> --><p>yes</p>", "yes"),
     ("<div id='sidebar'>menu of many words here</div><div><p>Text one here.</p><p>Text two here.</p></div>", "Text one here.\nText two here."),
+    ("<div class='page with-sidebar'><div class=content><p>Kept text of it.</p><p>More.</p></div><div class='SidebarBox'>other words</div></div>", "Kept text of it.\nMore."),
+    ("<div class=header><p>Site name and slogan</p></div><div class=post><div class=post-header><h1>T</h1></div><p>The post itself.</p></div>", "T\nThe post itself."),
+    ("<div class=commentlist><p>all there is</p></div>", "all there is"), ("<div class='ad'>Buy</div><p>Read</p><div class=adContainer>Buy</div>", "Read"),
     ("<ul><li>a<li>b<ul><li>c</ul></ul>", "a\nb\nc"), ("<div>" * 3000 + "deep", "deep"), ("<p>one</p><p>cut of", "one\ncut of"),
 ])
 def test_main_text(page, text):
