@@ -253,9 +253,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, mos
     scored = staged(scored.withColumn("perplexity", F.when(~F.isnan("perplexity"), F.col("perplexity"))), "scored")
     sample = scored.where("held_out AND perplexity IS NOT NULL")
     cut = F.percentile_approx("perplexity", quantile, 10_000).alias("cut")
-    general = sample.agg(cut).select(F.col("cut").alias("general"))
+    general = F.lit(sample.agg(cut).first()["cut"]).cast("double")
     own = sample.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), cut).where(F.col("rows") >= LEAST_HELD_OUT).select("lang", "cut")
-    judged = scored.join(small(staged(own, "cuts")), "lang", "left").join(F.broadcast(general))  # `general` is one row
-    threshold = F.coalesce("cut", "general")
+    judged = scored.join(small(staged(own, "cuts")), "lang", "left")
+    threshold = F.coalesce("cut", general)
     return judged.select("doc_id", F.nullif("lang", F.lit("")).alias("lang"), F.col("n").alias("n_chars"), "perplexity",
                          threshold.alias("threshold"), (F.coalesce(F.col("perplexity") <= threshold, F.lit(True))).alias("kept"))
