@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapdiff.llm import bpe, line_dedup, mixing, quality_rules, simhash
-from snapdiff.llm.common import documents, staged
+from snapdiff.llm.common import documents, shipping, staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +42,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs).drop("decoded")
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("simhash", near_duplicates),
-          ("mix_sources", mix), ("bpe", encode)]
+STAGES = [(name, shipping(stage)) for name, stage in (
+    ("quality_rules", quality), ("line_dedup", lines), ("simhash", near_duplicates), ("mix_sources", mix), ("bpe", encode))]
 
 #: SQL expresses neither the fingerprints nor the token ids.
 ORACLE_SQL = None

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, write_bytes
+
+_PACKAGE = Path(__file__).resolve().parent.parent
+_shipped: set[str] = set()
 
 SPACE = r"[\x20\x09-\x0D]"  # the white space that separates words
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +23,34 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 1_000_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers of all executors, once per application.
+
+    They need it where it is neither installed nor given by `--py-files`.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped or not _PACKAGE.is_dir():  # a package inside an archive was shipped as such
+        return
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w") as archive:
+        for file in sorted(_PACKAGE.rglob("*.py")):
+            archive.write(file, Path(_PACKAGE.name) / file.relative_to(_PACKAGE))
+    path = f"{scratch_path(spark, 'code')}/{_PACKAGE.name}.zip"
+    write_bytes(spark, path, content.getvalue())
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+def shipping(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """`run(spark, ...)` after `ship(spark)`."""
+    @wraps(run)
+    def call(spark: SparkSession, *args) -> DataFrame:
+        ship(spark)
+        return run(spark, *args)
+
+    return call
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` computed once per row, however often `body` uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, html_text, line_dedup, mixing, neighbours, perplexity, pii, quality_rules, secrets, simhash
-from .common import documents
+from .common import documents, shipping
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
@@ -141,3 +141,4 @@ QUERIES = {
     "op9_pii": (op9_pii, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
+QUERIES = {name: (shipping(run), sql) for name, (run, sql) in QUERIES.items()}
