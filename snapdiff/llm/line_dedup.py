@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,12 +12,11 @@ from pyspark.sql import functions as F
 
 from .blocks import block_pairs
 from .common import let, small, staged
+from .tokens import counts, mix, words
 
 SIMILARITY = 0.8
 RANKED = 1 << 16   # tokens ranked by their counts; a token beyond makes up less than 1 / RANKED of all
-BLOCK_LINES = 1024
-_SLICE = 1 << 20   # tokens worked on together
-
+BLOCK_LINES = 1 << 14
 # A set of tokens is named by a mixed sum of its token hashes and by two words in
 # which each token flips one bit. The flipped words bound the overlap of two sets.
 SET = ["key", "flip1", "flip2"]
@@ -28,34 +26,11 @@ def _hashes(tokens: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
-
-
 def tokens(line: str | None) -> set[bytes]:
     """The tokens of a line: its words, A-Z in lower case."""
     return set((line or "").encode().lower().split())
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[bytes]]]:
-    """Lines with words, in bounded slices: row, line number, count of words, and all words."""
-    rows, numbers, sizes, words = [], [], [], []
-    for row, text in enumerate(texts):
-        for number, line in enumerate(text.encode().lower().split(b"\n")):
-            found = line.split()
-            if found:
-                rows.append(row)
-                numbers.append(number)
-                sizes.append(len(found))
-                words.extend(found)
-        if len(words) >= _SLICE:
-            yield rows, numbers, sizes, words
-            rows, numbers, sizes, words = [], [], [], []
-    if rows:
-        yield rows, numbers, sizes, words
-
-
 def frequent_tokens(docs: DataFrame, ranked: int = RANKED) -> np.ndarray:
     """Hashes of the most frequent tokens, rarest first; at most `ranked`.
 
@@ -64,15 +39,28 @@ def frequent_tokens(docs: DataFrame, ranked: int = RANKED) -> np.ndarray:
     only order the prefixes; any order gives the same matches.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen, n, parts, size = np.empty(0, np.uint64), np.empty(0, np.int64), [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, each = (np.concatenate(x) for x in zip((seen, n), *parts))
+            by = np.argsort(keys)
+            starts = np.flatnonzero(np.r_[True, keys[by][1:] != keys[by][:-1]])
+            keys, each = keys[by][starts], np.add.reduceat(each[by], starts)
+            if len(keys) > 16 * ranked:
+                top = np.argpartition(each, -8 * ranked)[-8 * ranked:]
+                keys, each = keys[top], each[top]
+            return keys, each
+
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                seen.update((text or "").encode().lower().split())
-                if len(seen) > 16 * ranked:
-                    seen = Counter(dict(seen.most_common(8 * ranked)))
-        top = seen.most_common(ranked)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_hashes([t for t, _ in top]).view(np.int64)), pa.array([n for _, n in top], pa.int64())], ["token", "n"])
+            for found in words(batch["text"]):
+                parts.append(counts(found.hash))
+                size += len(parts[-1][0])
+                if size > 32 * ranked:
+                    (seen, n), parts, size = merged(), [], 0
+        if parts:
+            seen, n = merged()
+        top = np.argsort(-n, kind="stable")[:ranked]
+        yield pa.RecordBatch.from_arrays([pa.array(seen[top].view(np.int64)), pa.array(n[top])], ["token", "n"])
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "token").limit(ranked).select("token").toPandas()["token"]  # bounded by `ranked`
@@ -88,47 +76,53 @@ def line_sets(docs: DataFrame, ranked: np.ndarray, similarity: float = SIMILARIT
         sorted_hash = order.value[by_hash]
 
         def rank(h: np.ndarray) -> np.ndarray:  # rare tokens by hash first, ranked ones after
-            at = np.minimum(np.searchsorted(sorted_hash, h), max(len(sorted_hash) - 1, 0))
-            held = sorted_hash[at] == h if len(sorted_hash) else np.zeros(len(h), bool)
-            return np.where(held, (1 << 33) + by_hash[at] if len(by_hash) else 0, (h & np.uint64(0xFFFFFFFF)).astype(np.int64))
+            rare = (h >> np.uint64(64 - _RARE)).astype(np.int64)
+            if not len(by_hash):
+                return rare
+            at = np.minimum(np.searchsorted(sorted_hash, h), len(by_hash) - 1)
+            return np.where(sorted_hash[at] == h, (1 << _RARE) + by_hash[at], rare)
 
         for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            keys = np.array([xxhash.xxh64_intdigest(t.encode(), 42) for t in texts], np.uint64).view(np.int64)
-            for rows, numbers, sizes, words in _slices(texts):
-                code: dict[bytes, int] = {}
-                codes = np.fromiter((code.setdefault(w, len(code)) for w in words), np.int64, len(words))
-                h = _hashes(list(code))
-                ranks = np.empty(len(h), np.int64)  # dense, so that a line and a rank fit one number
-                ranks[np.lexsort((h, rank(h)))] = np.arange(len(h))
-                line = np.repeat(np.arange(len(rows)), sizes)
-                both = np.unique(line << 32 | ranks[codes])  # by line, then by rarity, each token once
-                line = both >> 32
-                by_rank = np.empty(len(h), np.uint64)
-                by_rank[ranks] = h
-                own = by_rank[both & 0xFFFFFFFF]
+            for found in words(batch["text"]):
+                if not len(found.hash):
+                    continue
+                new = np.r_[True, (found.row[1:] != found.row[:-1]) | (found.line[1:] != found.line[:-1])]
+                heads = np.flatnonzero(new)
+                line, ranks = np.cumsum(new) - 1, rank(found.hash)
+                by = np.argsort(line << (_RARE + 1) | ranks) if len(heads) < 1 << (62 - _RARE) else None
+                if by is None or _mixed(line[by], ranks[by], found.hash[by]):
+                    by = np.lexsort((found.hash, ranks, line))
+                line, own = line[by], found.hash[by]
+                once = np.r_[True, (line[1:] != line[:-1]) | (own[1:] != own[:-1])]
+                line, own = line[once], own[once]  # by line, then by rarity, each token once
                 starts = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
                 size = np.diff(np.r_[starts, len(line)])
-                bit = own & np.uint64(127)
-                flip = np.uint64(1) << (bit & np.uint64(63))
-                sets = [np.add.reduceat(_mix(own), starts),
-                        np.bitwise_xor.reduceat(np.where(bit < 64, flip, np.uint64(0)), starts),
-                        np.bitwise_xor.reduceat(np.where(bit >= 64, flip, np.uint64(0)), starts)]
+                flip, high = np.uint64(1) << (own & np.uint64(63)), (own & np.uint64(64)) > 0
+                sets = [np.add.reduceat(mix(own), starts),
+                        np.bitwise_xor.reduceat(np.where(high, np.uint64(0), flip), starts),
+                        np.bitwise_xor.reduceat(np.where(high, flip, np.uint64(0)), starts)]
                 length = size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1
                 at = np.arange(len(line)) - np.repeat(starts, size)
                 prefix = own[at < np.repeat(length, size)].astype(np.uint32).view(np.int32)
-                cuts = np.r_[0, np.cumsum(length)].astype(np.int32)
-                rows = np.array(rows)
+                rows = pa.array(found.row[heads])
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].cast(pa.int64()).take(pa.array(rows)), pa.array(keys[rows]), pa.array(np.array(numbers, np.int32)),
+                    [batch["doc_id"].cast(pa.int64()).take(rows), batch["text_key"].take(rows), pa.array(found.line[heads].astype(np.int32)),
                      *[pa.array(s.view(np.int64)) for s in sets], pa.array(size.astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(prefix))],
+                     pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array(prefix))],
                     ["doc_id", "text_key", "line", *SET, "size", "prefix"])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")).mapInArrow(
         run, "doc_id long, text_key long, line int, key long, flip1 long, flip2 long, size int, prefix array<int>")
 
 
+_RARE = 40  # bits of a rare token's hash that order it
+
+
+def _mixed(line: np.ndarray, ranks: np.ndarray, own: np.ndarray) -> bool:
+    """Whether different tokens of a line share a rank, so that equal ones may lie apart."""
+    return bool(((line[1:] == line[:-1]) & (ranks[1:] == ranks[:-1]) & (own[1:] != own[:-1])).any())
+
+
 def _pairs(first: np.ndarray, second: np.ndarray, c: dict[str, np.ndarray], similarity: float) -> np.ndarray:
     """Which pairs of postings pass the length, positional and bit filters."""
     a, b = c["size"][first], c["size"][second]
@@ -234,11 +228,16 @@ _PAIRS = 1 << 21
 _A, _B = [f"{n}_a" for n in SET], [f"{n}_b" for n in SET]
 
 
-def _postings(sets: DataFrame) -> DataFrame:
-    """A row per set and prefix token; tokens of many sets are dealt into pairs of blocks."""
+def _postings(sets: DataFrame, some: DataFrame | None) -> DataFrame:
+    """A row per set and prefix token; tokens of many sets are dealt into pairs of blocks.
+
+    With `some`, only its tokens are looked at.
+    """
     rows = sets.select(*SET, "doc_id", "line", "size", "open", F.posexplode("prefix").alias("place", "token"))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
-    hot = staged(counts.where(F.col("_n") > BLOCK_LINES).select("token", F.ceil(F.col("_n") / BLOCK_LINES).cast("int").alias("_b")), "hot-tokens")
+    if some is not None:
+        rows = rows.join(small(some), "token")
+    held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
+    hot = staged(held.where(F.col("_n") > BLOCK_LINES).select("token", F.ceil(F.col("_n") / BLOCK_LINES).cast("int").alias("_b")), "hot-tokens")
     dealt = rows.join(small(hot), "token", "left").select("token", *SET, "doc_id", "line", "size", "open", "place", F.inline(block_pairs("key")))
     return dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
 
@@ -274,9 +273,9 @@ def similar_sets(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARIT
     gives links to its first members and not all its pairs. A set whose candidates
     fail comes again with more of them, in the end with all.
     """
-    found, pending = None, sets.withColumn("open", F.lit(True))
+    found, some, pending = None, None, sets.withColumn("open", F.lit(True))
     for limit in (2, 32, 1 << 62):
-        pairs = staged(_search(_postings(pending), similarity, limit).groupBy(*_A, *_B).agg(F.max("more").alias("more")), "pairs")
+        pairs = staged(_search(_postings(pending, some), similarity, limit).groupBy(*_A, *_B).agg(F.max("more").alias("more")), "pairs")
         ends = pairs.select(*[F.col(n).alias(k) for n, k in zip(_A, SET)]).union(pairs.select(*_B)).distinct()
         needed = staged(sets.join(small(staged(ends, "ends")), SET).select(*SET, "doc_id", "text_key", "line"), "needed")
         texts = staged(_tokens_of(docs, needed), "tokens")
@@ -289,6 +288,7 @@ def similar_sets(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARIT
         rest = staged(judged.where("not alike and more").select(*SET), "open")
         if not rest.count():
             break
+        some = staged(sets.join(small(rest), SET).select(F.explode("prefix").alias("token")).distinct(), "open-tokens")
         marked = sets.join(small(rest.withColumn("_open", F.lit(True))), SET, "left")
         pending = marked.withColumn("open", F.coalesce("_open", F.lit(False))).drop("_open")
     return found
