@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import scratch_path, write_bytes
-from .common import words
+from .common import most_frequent, words
 from .transducer import Transducer, build
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k"  # with .json and .tiktoken, at the same place on every node
@@ -74,9 +74,9 @@ def _mapped(path: str) -> Transducer:
 
 
 def lexicon(docs: DataFrame, path: str = VOCABULARY, size: int = LEXICON_WORDS) -> np.ndarray:
-    """The transducer of the `size` most frequent words, counted over all documents."""
-    counted = docs.select(F.explode(words(docs["text"])).alias("word")).groupBy("word").count()
-    frequent = counted.orderBy(F.desc("count"), "word").limit(size).select("word").collect()  # bounded by `size`
+    """The transducer of the most frequent words, at most `size`, counted over all documents."""
+    counted = docs.select(F.explode(words(docs["text"])).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    frequent = most_frequent(counted, size).select("word").collect()  # bounded by `size`
     known = vocabulary(path)
     pieces = {p for r in frequent for p in (*known.split(r.word), *known.split(" " + r.word)) if p not in known.special}
     return build({p.encode(): known.encode(p) for p in pieces})

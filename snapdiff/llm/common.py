@@ -75,3 +75,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a staged side for broadcast only if its counted rows are within the bound."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def most_frequent(counted: DataFrame, size: int) -> DataFrame:
+    """The rows of `counted` with the largest `n`, at most `size`, cut where a class of counts ends.
+
+    Counts fall into classes of a sixteenth of a power of two. A histogram of these
+    classes, a thousand rows at most, gives the cut, so no task sends its own
+    largest rows to the driver.
+    """
+    table = staged(counted.withColumn("_class", F.floor(F.log2("n") * 16).cast("int")), "counted")
+    cut, held = None, 0
+    for row in sorted(table.groupBy("_class").agg(F.count(F.lit(1)).alias("rows")).collect(), reverse=True):
+        held += row.rows
+        if held > size:
+            break
+        cut = row["_class"]
+    return table.where(F.lit(False) if cut is None else F.col("_class") >= cut).drop("_class")

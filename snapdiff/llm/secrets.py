@@ -10,6 +10,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import most_frequent
+
 KINDS = ("assign", "access", "hex", "novel")  # the first three are fixed by the contract, in this order
 NOVELTY = 0.6           # marginal compressed bytes per byte from which a string is reported
 NEARBY = 512            # characters on either side that prime the compressor
@@ -78,9 +80,9 @@ def identifier_dictionary(docs: DataFrame, size: int = IDENTIFIERS) -> bytes:
     pattern = "(?i)" + "|".join(SENSITIVE)
     line = docs.where(F.col("text").rlike(pattern)).select(F.explode(F.split("text", "\n")).alias("line"))
     word = line.where(F.col("line").rlike(pattern)).select(F.explode(F.regexp_extract_all("line", F.lit(r"[A-Za-z_]{3,40}"), F.lit(0))).alias("word"))
-    counted = word.groupBy("word").count().where("count > 1")
-    top = counted.orderBy(F.desc("count"), "word").limit(size).collect()  # bounded by `size`
-    return "\n".join(r.word for r in reversed(top)).encode()
+    counted = word.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    top = most_frequent(counted, size).collect()  # bounded by `size`
+    return "\n".join(r.word for r in sorted(top, key=lambda r: (r.n, r.word))).encode()
 
 
 def find_secrets(docs: DataFrame, novelty: float = NOVELTY) -> DataFrame:
