@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_pairs
+from .blocks import block_pairs, whole_groups
 from .common import let, small, staged
 from .tokens import counts, mix, words
 
@@ -130,6 +130,7 @@ def _pairs(first: np.ndarray, second: np.ndarray, c: dict[str, np.ndarray], simi
     at, to = c["place"][first], c["place"][second]
     fits = np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
     fits &= np.minimum(at, to) + np.minimum(a - at, b - to) >= need
+    fits &= (a != b) | (need < a)  # sets of one size that must share all their tokens would be one set
     fits[fits] = _differ(first[fits], second[fits], c) <= (a + b - 2 * need)[fits]
     return fits
 
@@ -191,7 +192,7 @@ def candidates_in(c: dict[str, np.ndarray], group: np.ndarray, similarity: float
 def _search(postings: DataFrame, similarity: float, limit: int) -> DataFrame:
     """Candidate pairs of sets that share a prefix token: the earlier, the later, and `more`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches):
+        for table in whole_groups(batches, ("token", "lo", "hi")):
             c = {n: table[n].to_numpy() for n in table.column_names}
             group = np.cumsum(np.r_[False, np.any([c[k][1:] != c[k][:-1] for k in ("token", "lo", "hi")], axis=0)])
             by = np.lexsort((c["key"], c["line"], c["doc_id"], group))
@@ -206,23 +207,6 @@ def _search(postings: DataFrame, similarity: float, limit: int) -> DataFrame:
     return postings.mapInArrow(run, ", ".join(f"{n} long" for n in (*_A, *_B)) + ", more boolean")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables that end where a group ends; the rows are sorted by group."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = [batch[k][-1].as_py() for k in ("token", "lo", "hi")]
-        same = np.all([batch[k].to_numpy() == v for k, v in zip(("token", "lo", "hi"), last)], axis=0)
-        cut = int(np.argmax(same))  # rows before `cut` belong to groups that are whole
-        if cut or (held and [held[-1][k][-1].as_py() for k in ("token", "lo", "hi")] != last):
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 _SMALL = 64
 _PAIRS = 1 << 21
 _A, _B = [f"{n}_a" for n in SET], [f"{n}_b" for n in SET]
