@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_pairs, whole_groups
-from .common import let, small, staged
-from .tokens import counts, mix, words
+from .common import let, most_frequent, small, staged
+from .tokens import counts, mix, unmix, words
 
 SIMILARITY = 0.8
 RANKED = 1 << 16   # tokens ranked by their counts; a token beyond makes up less than 1 / RANKED of all
@@ -63,8 +63,9 @@ def frequent_tokens(docs: DataFrame, ranked: int = RANKED) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen[top].view(np.int64)), pa.array(n[top])], ["token", "n"])
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "token").limit(ranked).select("token").toPandas()["token"]  # bounded by `ranked`
-    return top.to_numpy(np.int64)[::-1].view(np.uint64)
+    top = most_frequent(counted, ranked).select("token", "n").toArrow()  # bounded by `ranked`
+    token, n = top["token"].to_numpy(), top["n"].to_numpy()
+    return token[np.lexsort((token, n))].view(np.uint64)
 
 
 def line_sets(docs: DataFrame, ranked: np.ndarray, similarity: float = SIMILARITY) -> DataFrame:
@@ -131,10 +132,23 @@ def _pairs(first: np.ndarray, second: np.ndarray, c: dict[str, np.ndarray], simi
     fits = np.minimum(a, b) >= similarity * np.maximum(a, b) - 1e-9
     fits &= np.minimum(at, to) + np.minimum(a - at, b - to) >= need
     fits &= (a != b) | (need < a)  # sets of one size that must share all their tokens would be one set
-    fits[fits] = _differ(first[fits], second[fits], c) <= (a + b - 2 * need)[fits]
+    spare = (a + b - 2 * need).astype(np.int64)  # tokens that one of the sets may have alone
+    fits[fits] = _differ(first[fits], second[fits], c) <= spare[fits]
+    one = np.flatnonzero(fits & (spare == 1))
+    fits[one] = _by_one(first[one], second[one], a[one] < b[one], c)
     return fits
 
 
+def _by_one(first: np.ndarray, second: np.ndarray, up: np.ndarray, c: dict[str, np.ndarray]) -> np.ndarray:
+    """Whether the larger set can be the smaller one and a token: their sums then give that token's hash."""
+    change = (c["key"][second] - c["key"][first]).view(np.uint64)
+    token = unmix(np.where(up, change, ~change + np.uint64(1)))
+    bit = np.uint64(1) << (token & np.uint64(63))
+    high = (token & np.uint64(64)) > 0
+    flips = [c[f][first] ^ c[f][second] for f in ("flip1", "flip2")]
+    return (flips[0] == np.where(high, np.uint64(0), bit)) & (flips[1] == np.where(high, bit, np.uint64(0)))
+
+
 def _differ(first: np.ndarray, second: np.ndarray, c: dict[str, np.ndarray]) -> np.ndarray:
     """No more than the tokens that one set of the pair has alone."""
     return sum(np.bitwise_count(c[f][first] ^ c[f][second]).astype(np.int64) for f in ("flip1", "flip2"))

@@ -14,6 +14,7 @@ CHUNK_BYTES = 1 << 20  # texts worked on together; a longer text is a chunk of i
 # of an odd base, modulo 2^64: sums over ranges come from one running sum.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_UNDO = np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
 _OF_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _OF_BYTE[ord("A"):ord("Z") + 1] = _OF_BYTE[ord("a"):ord("z") + 1]
 _IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -25,6 +26,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def unmix(x: np.ndarray) -> np.ndarray:
+    """The value that `mix` made `x` of."""
+    x = (x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))) * _UNDO
+    x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * _INVERSE
+    return x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+
+
 class Words(NamedTuple):
     """Every word of the texts of a chunk, in order."""
 
