@@ -395,6 +395,23 @@ def test_perplexity(spark, odd, empty, sf):
     assert perplexity.classify(empty, labels).count() == 0
 
 
+def test_a_language_with_few_trusted_documents_has_its_own_quantile(spark):
+    rng, rows = np.random.default_rng(3), []
+    many, few = (["".join(rng.choice(list(letters), 6)) for _ in range(200)] for letters in ("abcdefgh", "ijklmnopqrstuvwx"))
+    for i in range(700):
+        rows.append((i, " ".join(rng.choice(many[:20], 60)), "en"))
+    for i in range(700, 706):
+        rows.append((i, " ".join(rng.choice(few, 40)), "xx"))
+    rows += [(800 + i, " ".join(rng.choice(few, 40)), "xx") for i in range(20)] + [(900, "lone text", "yy"), (901, "other words", "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.where("doc_id < 800 OR doc_id = 900").selectExpr("doc_id", "1 AS quality")
+    got = {r.doc_id: r for r in perplexity.classify(docs, labels).collect()}
+    assert got[700].threshold > 2 * got[0].threshold and got[901].threshold is None and got[901].kept
+    assert sum(got[800 + i].kept for i in range(20)) >= 18
+    two = docs.where("doc_id IN (700, 701)")  # at least two folds
+    assert all(r.threshold for r in perplexity.classify(two, labels).collect())
+
+
 def test_probabilities_sum_to_one(spark):
     """After any context, over all characters seen, with what is left for unseen ones."""
     text = "abracadabra abracadabra banana bandana cabana"
