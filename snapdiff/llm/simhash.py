@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_ROWS, grouped
@@ -37,14 +37,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(spans), bitorder="little").view("<u8")[0])
 
 
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """`doc_id, fp` of every row; the fingerprint as a signed long."""
+    """`doc_id, text_key, fp` of every row; the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch["text"]), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].cast(pa.int64()), batch["text_key"], pa.array(found.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text", _text_key(docs).alias("text_key")).mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
 def masks(radius: int = RADIUS) -> list[int]:
@@ -100,6 +104,17 @@ def linked(distinct: DataFrame, radius: int = RADIUS, bound: int = BLOCK_ROWS) -
     return components(_links(grouped(distinct.select("fp", F.inline(tables)), ["mask", "key"], "fp", bound), radius))
 
 
+def _labelled(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """`doc_id, text_key, fp, root, component_id` of every row; the root tells components without doc_id apart."""
+    marked = staged(fingerprints(docs, shingle), "fingerprints")
+    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    labels = distinct.join(linked(distinct, radius).withColumnRenamed("node", "fp"), "fp", "left")
+    labels = staged(labels.select("fp", "first", F.coalesce("root", "fp").alias("root")), "labels")
+    least = labels.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = staged(labels.join(least, "root").select("fp", "root", "component_id"), "named")
+    return marked.join(small(named), "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+
+
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """`doc_id, fp, component_id` of every row: the smallest doc_id reachable by links.
 
@@ -107,26 +122,22 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
     other. Texts shorter than a shingle are hashed whole. Repeated rows stay, one
     result each; a component that has no doc_id at all has a null id.
     """
-    marked = staged(fingerprints(docs, shingle), "fingerprints")
-    distinct = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    labels = distinct.join(linked(distinct, radius).withColumnRenamed("node", "fp"), "fp", "left")
-    labels = staged(labels.select("fp", "first", F.coalesce("root", "fp").alias("root")), "labels")
-    least = labels.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = staged(labels.join(least, "root").select("fp", "component_id"), "named")
-    return marked.join(small(named), "fp").select("doc_id", "fp", "component_id")
+    return _labelled(docs, shingle, radius).select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of `docs`, all columns, whose doc_id names their component.
+    """One row of `docs`, all columns, of every component: the smallest doc_id, else a row without one.
 
-    Rows that share such a doc_id are one group too, so one of them stays, and
-    one of the rows without doc_id if their component has no other.
+    Rows of a component with equal doc_id are told apart by their text. Components
+    whose first rows have one doc_id count as one document; those without doc_id do not.
     """
-    marked = staged(simhash_components(docs, shingle, radius), "components")
-    firsts = marked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = staged(firsts.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("_rows")), "firsts")
-    repeated = ids.groupBy("doc_id").agg((F.sum("_rows") > 1).alias("_repeated")).withColumnRenamed("doc_id", "_id")
-    stay = docs.join(small(staged(repeated, "stay")), docs["doc_id"].eqNullSafe(F.col("_id")))
+    marked = staged(_labelled(docs, shingle, radius), "components")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")))
+    firsts = marked.groupBy("root").agg(first.alias("_first")).select("_first._id", "_first._text")
+    firsts = firsts.groupBy("_id", F.when(F.col("_id").isNull(), F.col("_text"))).agg(F.min("_text").alias("_text")).select("_id", "_text")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text"))
+    copies = marked.join(small(staged(firsts, "firsts")), same).groupBy("_id", "_text").agg((F.count(F.lit(1)) > 1).alias("_repeated"))
+    stay = docs.join(small(staged(copies, "stay")), docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_key(docs) == F.col("_text")))
     own = [stay[f"`{c}`"] for c in docs.columns]
     return stay.where(~F.col("_repeated")).select(*own).union(
-        stay.where("_repeated").select(*own).dropDuplicates(["doc_id"]))
+        stay.where("_repeated").dropDuplicates(["_id", "_text"]).select(*own))

@@ -218,6 +218,13 @@ def test_simhash(odd, empty):
     assert simhash.simhash_components(empty).count() == simhash.one_of_each(empty).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    texts = [" ".join(f"{w}{n}" for n in range(60)) for w in ("red", "blue", "green", "gold")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (1, texts[2]), (2, texts[2]), (2, texts[3])]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [rows[0], rows[1], rows[3], rows[5]]))
+
+
 def test_simhash_links_by_blocks(spark):
     """Chains of fingerprints, and a dense group, in buckets far above the block size."""
     rng = np.random.default_rng(5)
