@@ -22,6 +22,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("article aside body div dl html main ol section table ul td th blockquote form".split())
 # Parts of a page that are no article, by element, role and words of class and id.
 APART = frozenset("nav footer aside form button select dialog menu object audio video canvas head".split())
+# Some of them can hold the page itself, as one form around everything does.
+HOLDERS = frozenset("form dialog menu object".split())
+CONTROLS = frozenset("button select audio video canvas head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = frozenset("""ad ads adv adsense alert banner consent disqus footer gdpr masthead menu menus modal nav navbar
 navigation notice notices notification overlay pagination pager paywall popup promo promoted promotion recommended
@@ -47,14 +50,16 @@ def _named_apart(value: str, in_article: bool) -> bool:
 
 
 def _apart(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is a part of the page that is no article."""
-    if name in APART or (name == "header" and not in_article):
+    """Whether an element is a part of the page that is no article, whatever it holds."""
+    if (name in APART and name not in HOLDERS) or (name == "header" and not in_article):
         return True
     if not attributes or name in ("html", "body"):
         return False
     for mark, *values in _MARKS.findall(attributes):
         mark, value = mark.lower(), "".join(values)
-        if mark == "hidden" or (mark == "aria-hidden" and value == "true") or (mark == "role" and value.lower() in ROLES):
+        if mark == "hidden" or (mark == "aria-hidden" and value == "true"):
+            return True
+        if mark == "role" and value.lower() in ROLES and not (name in HOLDERS and value.lower() == name):
             return True
         if mark in ("class", "id") and name not in ("article", "main") and _named_apart(value, in_article):
             return True
@@ -62,15 +67,20 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
 
 
 class Page:
-    """The DOM of one page as flat lists; a child always comes after its parent."""
+    """The DOM of one page as flat lists; a child always comes after its parent.
+
+    `by_name` minds classes, ids and roles, `by_element` the elements that are set
+    apart; without it only controls are.
+    """
 
-    def __init__(self, html: str, by_name: bool = True) -> None:
-        self._by_name = by_name
+    def __init__(self, html: str, by_name: bool = True, by_element: bool = True) -> None:
+        self._by_name, self._by_element = by_name, by_element
         self.names, self.parents, self.apart = ["#"], [-1], [False]
         self.blocks: list[list[tuple[int, str]]] = []
         self._stack, self._open, self._block = [0], Counter({"#": 1}), []
         self._parse(html)
         self._end_block()
+        self._settle()
 
     def _end_block(self) -> None:
         if self._block:
@@ -81,6 +91,30 @@ class Page:
         if text and not self.apart[self._stack[-1]]:
             self._block.append((self._stack[-1], unescape(text) if "&" in text else text))
 
+    def _settle(self) -> None:
+        """Set holders apart, unless one holds the only article or most of the text."""
+        n = len(self.names)
+        if not self._by_element or HOLDERS.isdisjoint(self.names):
+            return
+        chars, articles = [0] * n, [name in ("article", "main") and not part for name, part in zip(self.names, self.apart)]
+        for block in self.blocks:
+            for node, text in block:
+                chars[node] += len(" ".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            chars[self.parents[i]] += chars[i]
+            articles[i] = articles[i] and chars[i] > 0
+        held, free = [False] * n, False
+        for i in range(1, n):
+            held[i] = held[self.parents[i]] or self.names[i] in HOLDERS
+            free = free or (articles[i] and not held[i])
+        for i in range(n - 1, 0, -1):
+            articles[self.parents[i]] |= articles[i]
+        for i in range(1, n):
+            lifted = 2 * chars[i] > chars[0] or (articles[i] and not free)
+            self.apart[i] |= self.apart[self.parents[i]] or (self.names[i] in HOLDERS and not lifted)
+        blocks = ([(node, text) for node, text in block if not self.apart[node]] for block in self.blocks)
+        self.blocks = [block for block in blocks if block]
+
     def _pop(self) -> str:
         name = self.names[self._stack.pop()]
         self._open[name] -= 1
@@ -112,7 +146,8 @@ class Page:
         in_article = bool(self._open["article"] or self._open["main"])
         self.names.append(name)
         self.parents.append(parent)
-        self.apart.append(self.apart[parent] or _apart(name, attributes if self._by_name else "", in_article))
+        own = _apart(name, attributes if self._by_name else "", in_article) if self._by_element else name in CONTROLS
+        self.apart.append(self.apart[parent] or own)
         self._stack.append(len(self.names) - 1)
         self._open[name] += 1
 
@@ -205,6 +240,8 @@ def main_text(html: str | None) -> str:
     page = Page(html or "")
     if not page.has_text():
         page = Page(html or "", by_name=False)  # the names were about something else
+    if not page.has_text():
+        page = Page(html or "", by_name=False, by_element=False)  # and so were the elements
     if not page.has_text():
         return ""
     density, total = page.densities()

@@ -28,6 +28,18 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><form id=aspnetForm><nav>Home</nav><article><h1>T</h1><p>All of the text.</p></article><select><option>x</select></form></body>", "T\nAll of the text."),
+    ("<body><form><div><p>A text without an article element.</p><p>More of it.</p></div><button>Go</button></form><p>Foot</p></body>", "A text without an article element.\nMore of it."),
+    ("<dialog><article><p>Short.</p></article></dialog><p>Some words that stand outside of it</p>", "Short."),
+    ("<object><menu><main><p>Inner text.</p></main></menu></object>", "Inner text."),
+    ("<main><p>The text of the page is this</p></main><dialog><article><p>Not this</p></article></dialog>", "The text of the page is this"),
+    ("<aside><p>all there is</p><button>Go</button></aside>", "all there is"),
+])
+def test_named_parts_that_hold_the_page(page, text):
+    assert text in main_text(page) and not any(w in main_text(page) for w in ("Home", "Go", "Not this"))
+
+
 @pytest.mark.parametrize("page", ["<" * 30_000, "<a " * 30_000, "<b \"" * 20_000, "</x>" * 30_000, "<p " * 9 + ">" * 30_000])
 def test_malformed_pages_end(page):
     assert isinstance(main_text(page), str)
