@@ -118,20 +118,38 @@ def _entity(match: Column) -> Column:
     return F.concat_ws(":", match["kind"], F.when(match["kind"].isin("card", "phone"), _digits(plain)).otherwise(F.lower(plain)))
 
 
+def _classes(match: Column) -> Column:
+    """What an entity shares with others: its kind, and the domain of a mail address."""
+    domain = F.concat(F.lit("domain:"), F.substring_index(F.lower(F.translate(match["value"], _DOT, ".")), "@", -1))
+    return F.filter(F.array(match["kind"], F.when(match["kind"] == "email", domain)), lambda c: c.isNotNull())
+
+
+def _is_class() -> Column:
+    return F.col("entity").isin(*KINDS) | F.col("entity").startswith("domain:")
+
+
+def _nearby(match: Column) -> Column:
+    """The terms in the window of a match."""
+    window = F.lower(F.concat_ws(" ", match["left"], match["right"]))
+    return F.array_distinct(F.regexp_extract_all(window, F.lit(_TERM), F.lit(0)))
+
+
 def disclosing_terms(docs: DataFrame, matches: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """`entity, term, share` of terms that reveal an entity.
+    """`entity, term, share` of terms that reveal an entity, or a class of entities.
 
     Probabilities are shares of the different texts of the corpus: p(e) and p(t) of
     those that hold entity and term, p(e, t) of those where the term stands within
     the entity's window. The share is PMI(e; t) / -log2 p(e): 1 if no text holds the
     term without the entity. Copies of a text count once, and `support` asks for
     different windows, so that copies with other surroundings do not suffice either.
+    Most entities occur once; their kind and mail domain recur and count as
+    entities of their own.
     """
+    m = F.col("m")
     context = matches.select("text_key", F.explode("matches").alias("m")).select(
-        "text_key", _entity(F.col("m")).alias("entity"), F.col("m.left").alias("left"), F.col("m.right").alias("right")).distinct()
-    nearby = F.regexp_extract_all(F.lower(F.concat_ws(" ", "left", "right")), F.lit(_TERM), F.lit(0))
-    window = F.xxhash64("left", "right").alias("window")
-    context = staged(context.select("text_key", "entity", window, F.array_distinct(nearby).alias("terms")), "contexts")
+        "text_key", F.explode(F.concat(F.array(_entity(m)), _classes(m))).alias("entity"),
+        F.xxhash64("m.left", "m.right").alias("window"), _nearby(m).alias("terms")).distinct()
+    context = staged(context, "contexts")
     pairs = context.select("entity", "window", "text_key", F.explode("terms").alias("term"))
     windows = pairs.select("entity", "term", "window").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n"))
     wide = staged(windows.where(F.col("n") >= support).select("entity", "term"), "supported")
@@ -142,10 +160,10 @@ def disclosing_terms(docs: DataFrame, matches: DataFrame, support: int = SUPPORT
     spoken = docs.select(F.xxhash64(text).alias("text_key"), F.explode(F.array_distinct(
         F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))).alias("term"))
     n_t = spoken.join(small(wanted), "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n_e = context.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    n_e = staged(context.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "entities")
     total = float(docs.select(F.xxhash64(text).alias("text_key")).distinct().count())
     pmi = F.log2(F.col("n_et") * total / (F.col("n_e") * F.col("n_t")))
-    return (together.join(n_e, "entity").join(n_t, "term").where(F.col("n_e") < total)
+    return (together.join(small(n_e), "entity").join(n_t, "term").where(F.col("n_e") < total)
             .select("entity", "term", (pmi / F.log2(total / F.col("n_e"))).alias("share")).where(F.col("share") >= disclosure))
 
 
@@ -153,14 +171,21 @@ def find_personal(docs: DataFrame, support: int = SUPPORT, disclosure: float = D
     """`doc_id, text_key, spans` of every row: base spans by kind and start, then revealing terms.
 
     A span is `kind, start, end` in code points, the end exclusive. A term is
-    marked in every document that holds an entity it reveals. Null and empty texts
+    marked in every document that holds an entity it reveals, and one that reveals a
+    class where it stands in the window of an entity of that class. Null and empty texts
     have no spans; rows equal in doc_id and text get equal spans.
     """
     matches = staged(base_matches(docs), "matches")
     some = matches.where(F.size("matches") > 0)
     revealing = staged(disclosing_terms(docs, some, support, disclosure), "revealing")
-    held = some.select("doc_id", "text_key", F.explode("matches").alias("m")).select("doc_id", "text_key", _entity(F.col("m")).alias("entity"))
-    marks = held.distinct().join(small(revealing), "entity").groupBy("doc_id", "text_key").agg(F.collect_set("term").alias("terms"))
+    each, m = some.select("doc_id", "text_key", F.explode("matches").alias("m")), F.col("m")
+    held = each.select("doc_id", "text_key", _entity(m).alias("entity")).distinct()
+    near = each.select("doc_id", "text_key", F.explode(_classes(m)).alias("entity"), _nearby(m).alias("terms"))
+    near = near.select("doc_id", "text_key", "entity", F.explode("terms").alias("term")).distinct()
+    of_one = revealing.where(~_is_class())
+    marks = held.join(small(of_one), "entity").select("doc_id", "text_key", "term").union(
+        near.join(small(revealing.where(_is_class())), ["entity", "term"]).select("doc_id", "text_key", "term"))
+    marks = marks.groupBy("doc_id", "text_key").agg(F.collect_set("term").alias("terms"))
     marks = staged(marks.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), "terms"), "marks")
     same = F.col("text_key").eqNullSafe(F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
