@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, line_dedup, mixing, neighbours, perplexity, pii, quality_rules, secrets, simhash
+from . import bpe, html_text, line_dedup, mixing, neighbours, perplexity, pii, quality_rules, secrets, simhash, vector_dedup
 from .common import documents, shipping
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -91,6 +91,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.dedup_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).select(
+        "vec_id", "n_links", "component_id", "kept")
+
+
 def _stop_sql() -> str:
     return " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in listed)}]"
                     for lang, listed in quality_rules.STOP_WORDS.items())
@@ -140,5 +145,6 @@ QUERIES = {
     "op8_html_text": (op8_html_text, None),
     "op9_pii": (op9_pii, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "op11_vector_dedup": (op11_vector_dedup, None),
 }
 QUERIES = {name: (shipping(run), sql) for name, (run, sql) in QUERIES.items()}
