@@ -41,8 +41,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f8").reshape(len(column), -1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, so that squares of very large or small components stay finite."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _units(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components stay finite
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -232,7 +237,7 @@ def compare(x: np.ndarray, n: np.ndarray, first: np.ndarray, second: np.ndarray,
 
     Products are made a strip at a time; of each strip only links that join groups not yet joined are kept.
     """
-    units = _units(x)
+    units, x = _units(x), _scaled(x)
     counts, group, links = np.zeros(len(x), np.int64), np.arange(len(x)), []
     itself = first is second
     for at in range(0, len(first), _STRIP):

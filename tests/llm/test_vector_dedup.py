@@ -13,7 +13,7 @@ def plain(rows, similarity=0.9):
         return v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v)
 
     good = [i for i, (_, v) in enumerate(rows) if usable(v)]
-    vec = {i: np.array(rows[i][1], float) / np.abs(np.array(rows[i][1], float)).max() for i in good}
+    vec = {i: np.ldexp(v := np.array(rows[i][1], float), -np.frexp(np.abs(v).max())[1]) for i in good}
     linked = {i: set() for i in range(len(rows))}
     for a, i in enumerate(good):
         for j in good[a + 1:]:
