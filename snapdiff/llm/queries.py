@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, line_dedup, mixing, neighbours, perplexity, pii, quality_rules, secrets, simhash, vector_dedup
-from .common import documents, shipping
+from . import (
+    bpe, html_text, line_dedup, mixing, neighbours, periodic_runs, perplexity, pii, quality_rules, secrets, simhash, vector_dedup)
+from .common import documents, let, shipping, words
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
 
@@ -96,6 +97,33 @@ def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "n_links", "component_id", "kept")
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts, by doc_id, repeat some of their words up to their end; rows without doc_id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10).cast("long")
+
+    def planted(w: Column) -> Column:
+        n = F.size(w)
+        at = F.pmod(g, n)
+        place = F.struct(at.alias("a"), (1 + F.floor((n - at) / (3 + g % 8))).cast("int").alias("p"))
+        return let(place, lambda x: F.array_join(F.transform(w, lambda word, i: F.when(i < x["a"], word).otherwise(
+            F.get(w, (x["a"] + (i - x["a"]) % x["p"]).cast("int")))), " "))
+
+    text = F.when(h % 10 == 0, let(words(F.col("text")), lambda w: F.when(F.size(w) > 0, planted(w)).otherwise("")))
+    return docs.withColumn("text", text.otherwise(F.col("text")))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(looped(documents(spark, sf_dir)))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def _stop_sql() -> str:
     return " ".join(f"WHEN '{lang}' THEN [{', '.join(repr(w) for w in listed)}]"
                     for lang, listed in quality_rules.STOP_WORDS.items())
@@ -146,5 +174,6 @@ QUERIES = {
     "op9_pii": (op9_pii, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
     "op11_vector_dedup": (op11_vector_dedup, None),
+    "op13_periodic_runs": (op13_periodic_runs, None),
 }
 QUERIES = {name: (shipping(run), sql) for name, (run, sql) in QUERIES.items()}

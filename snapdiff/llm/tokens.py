@@ -16,6 +16,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _UNDO = np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
 _OF_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_OF_CASED_BYTE = _OF_BYTE.copy()
 _OF_BYTE[ord("A"):ord("Z") + 1] = _OF_BYTE[ord("a"):ord("z") + 1]
 _IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
@@ -38,7 +39,7 @@ class Words(NamedTuple):
 
     row: np.ndarray    # its text's row in the batch
     line: np.ndarray   # its line in the text, from 0
-    hash: np.ndarray   # equal for equal words, A-Z read as a-z
+    hash: np.ndarray   # equal for equal words, A-Z read as a-z unless cased
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
@@ -47,7 +48,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def words(texts: pa.StringArray) -> Iterator[Words]:
+def words(texts: pa.StringArray, cased: bool = False) -> Iterator[Words]:
     """The words of a text column, chunk by chunk; a null text has none."""
     if texts.null_count:
         texts = texts.fill_null("")
@@ -59,18 +60,18 @@ def words(texts: pa.StringArray) -> Iterator[Words]:
         to = min(to, len(texts))
         part, starts = data[cuts[at]:cuts[to]], cuts[at:to + 1] - cuts[at]
         if len(part):
-            yield _chunk(part, starts, at)
+            yield _chunk(part, starts, at, _OF_CASED_BYTE if cased else _OF_BYTE)
         at = to
 
 
-def _chunk(part: np.ndarray, starts: np.ndarray, at: int) -> Words:
+def _chunk(part: np.ndarray, starts: np.ndarray, at: int, of_byte: np.ndarray) -> Words:
     space = _IS_SPACE[part]
     edge = np.zeros(len(part) + 1, bool)
     edge[starts] = True
     first = np.flatnonzero(~space & (np.r_[True, space[:-1]] | edge[:-1]))
     last = np.flatnonzero(~space & (np.r_[space[1:], True] | edge[1:])) + 1
     total = np.zeros(len(part) + 1, np.uint64)
-    np.cumsum(_OF_BYTE[part] * _powers(_BASE, len(part)), out=total[1:])
+    np.cumsum(of_byte[part] * _powers(_BASE, len(part)), out=total[1:])
     found = mix((total[last] - total[first]) * _powers(_INVERSE, len(part))[first])
     breaks = np.r_[0, np.cumsum(part == 0x0A)]
     row = np.searchsorted(starts, first, "right") - 1
