@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, html_text, line_dedup, mixing, neighbours, periodic_runs, perplexity, pii, quality_rules, secrets, simhash, vector_dedup)
+    bpe, conversation_repair, html_text, line_dedup, mixing, neighbours, periodic_runs, perplexity, pii, quality_rules, secrets, simhash, vector_dedup)
 from .common import documents, let, shipping, words
 
 WORD_SQL = r"[^\x20\x09-\x0D]+"
@@ -97,6 +97,95 @@ def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", "n_links", "component_id", "kept")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """A fifth of the turns lose or change something, by conv_id and turn; `copies` says how often a turn is there."""
+    def named(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(named("conv_id"), F.lit(":"), named("turn"))) % 20
+    return conversations.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(named("role")).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(named("text"), "[.!?]", "")).otherwise(named("text")).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversation_repair.repair(damaged(conversations), F.col("copies"))
+
+
+def _least(*states: str) -> str:
+    return f"list_min([{', '.join(states)}])"
+
+
+def _after(state: str, edits: str, cost: str, line: str = "''") -> str:
+    return f"CASE WHEN {state} IS NOT NULL THEN {{c: {state}.c + {cost}, a: {state}.a || '{edits}', t: {state}.t || {line}}} END"
+
+
+def _if(condition: str, state: str) -> str:
+    return f"CASE WHEN {condition} THEN {state} END"
+
+
+_LINE = "chr(10) || role || ':' || text"
+_AS = {"u": "chr(10) || 'user:' || text", "a": "chr(10) || 'assistant:' || text"}
+_PUT = {"u": "chr(10) || 'user:'", "a": "chr(10) || 'assistant:'"}
+# States by the last role initial so far (n: nothing); b* are those after insertions in front of a row.
+OP12_SQL = rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+hashed AS (
+  SELECT * EXCLUDE (name), xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda i: CAST(ord(substr(name, CAST(i AS BIGINT), 1)) AS BIGINT))),
+      lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1]))) % 20 AS fault
+  FROM named, crc_table),
+kept AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE fault WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM kept),
+judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         left(role, 1) AS initial,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal FROM ordered),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (illegal) AS illegal, max(i) AS last FROM judged GROUP BY conv_id),
+search AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{c: CAST(0 AS BIGINT), a: '', t: ''}} AS n,
+         CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS s, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS u,
+         CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR)) AS a FROM counted
+  UNION ALL
+  SELECT conv_id, i, dn,
+         CASE WHEN must THEN ds ELSE {_least("ds", _if("initial = 's'", _after("n", "K", "more", _LINE)))} END,
+         CASE WHEN must THEN du ELSE {_least("du", *(x for b in ("n", "s", "ba") for x in (
+             _if("initial = 'u'", _after(b, "K", "more", _LINE)), _after(b, "R", "more + 1", _AS["u"]))))} END,
+         CASE WHEN must THEN da ELSE {_least("da", _if("initial = 'a'", _after("bu", "K", "more", _LINE)), _after("bu", "R", "more + 1", _AS["a"]))} END
+  FROM (
+    SELECT *, {_least("u", *(_after(x, "I", "5", _PUT["u"]) for x in ("n", "s", "a")))} AS bu,
+           {_least("a", _after("u", "I", "5", _PUT["a"]), _after("n", "II", "10", _PUT["u"] + " || " + _PUT["a"]), _after("s", "II", "10", _PUT["u"] + " || " + _PUT["a"]))} AS ba,
+           {", ".join(f"{_after(x, 'D', '2')} AS d{x}" for x in "nsua")}
+    FROM (SELECT search.conv_id, judged.i, n, s, u, a, role, text, initial, judged.fault IN ('blank', 'duplicate') AS must,
+                 CASE WHEN judged.fault = 'truncated' THEN 5 ELSE 0 END AS more
+          FROM search JOIN judged ON search.conv_id IS NOT DISTINCT FROM judged.conv_id AND judged.i = search.i + 1))),
+solved AS (
+  SELECT search.conv_id, {_least("n", "a", _after("u", "I", "5", _PUT["a"]), _after("s", "II", "10", _PUT["u"] + " || " + _PUT["a"]))} AS best
+  FROM search JOIN counted ON search.conv_id IS NOT DISTINCT FROM counted.conv_id AND search.i = counted.last)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c LEFT JOIN counted ON c.conv_id IS NOT DISTINCT FROM counted.conv_id
+LEFT JOIN solved ON c.conv_id IS NOT DISTINCT FROM solved.conv_id
+"""
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """A tenth of the texts, by doc_id, repeat some of their words up to their end; rows without doc_id stay as they are."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -174,6 +263,7 @@ QUERIES = {
     "op9_pii": (op9_pii, None),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
     "op11_vector_dedup": (op11_vector_dedup, None),
+    "op12_conversation_repair": (op12_conversation_repair, OP12_SQL),
     "op13_periodic_runs": (op13_periodic_runs, None),
 }
 QUERIES = {name: (shipping(run), sql) for name, (run, sql) in QUERIES.items()}
