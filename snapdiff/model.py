@@ -222,6 +222,8 @@ class FeedSpec:
     output_files: int = 1       # files per output; 0: as many as tasks write
     rows_per_file: int = 0      # most rows in a file; 0: no limit
     comparison: str = "record"  # or "fingerprint", for records much wider than one
+    kept_path: str = ""         # folder of kept fingerprints, for comparison by fingerprint
+    kept_buckets: int = 200     # best as many as shuffle partitions; the same every day
     on_failure: str = "CONTINUE"  # what a run over several feeds does after this one fails
 
     def __post_init__(self) -> None:
@@ -229,6 +231,10 @@ class FeedSpec:
             raise ConfigError(f"comparison must be one of {COMPARISONS}: {self.comparison!r}")
         if self.output_files < 0 or self.rows_per_file < 0:
             raise ConfigError("numbers of files and rows must not be negative")
+        if self.kept_buckets < 1:
+            raise ConfigError("kept fingerprints need a bucket at least")
+        if self.kept_path and self.comparison != "fingerprint":
+            raise ConfigError("only a comparison by fingerprint keeps fingerprints")
 
     @classmethod
     def from_args(cls, args: Sequence[str]) -> "FeedSpec":

@@ -8,13 +8,17 @@ The first two are one hash aggregation over both snapshots. Each snapshot is
 scanned once, a record crosses the network once per map task that holds it
 however many copies there are, and nothing is joined, sorted or broadcast.
 The wide forms aggregate 16-byte fingerprints instead, again once per map task,
-and read the text of the few records that are written in a second scan.
+stage the wanted ones, and read the text of the records that are written in a
+second scan. A Bloom filter over the wanted fingerprints is tested in that scan, so
+that no more than their text, and that of a hundredth of the others, is shuffled.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import scratch_path
+from .membership import bloom_filter, might_hold
 from .records import fingerprint, with_fingerprint
 from .validation import Quality, status
 
@@ -40,26 +44,47 @@ def snapshot_delta(left: DataFrame, right: DataFrame, quality: Quality, delimite
         "record", "hash", F.lit(str(bad)).alias("bad"))
 
 
-def _keyed(df: DataFrame, *more: Column) -> DataFrame:
+def keyed(df: DataFrame, *more: Column) -> DataFrame:
     return df.select(F.unhex(fingerprint(F.col("record"))).alias("key"), *more)
 
 
-def _texts(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """`key, record`, once each, for the given keys, by a second scan."""
-    found = _keyed(df, F.col("record")).join(keys, "key", "left_semi")
-    return found.groupBy("key").agg(F.first("record").alias("record"))
+def staged_keys(keys: DataFrame) -> DataFrame:
+    """Wanted keys written to the shared folder, so that counting and reading them compares nothing again."""
+    path = scratch_path(keys.sparkSession, "wanted")
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
+def texts_of(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """`key, record`, once each, for the given staged keys, by a second scan.
+
+    Records outside the keys' Bloom filter end in the task that reads them. More
+    than some 33 million keys, for which no filter is made, are joined without.
+    """
+    rows = keys.count()
+    if not rows:
+        return keyed(df, F.col("record")).where(F.lit(False))
+    wanted = bloom_filter(keys, rows)
+    found = keyed(df if wanted is None else df.where(might_hold(df, F.unhex(fingerprint(F.col("record"))), wanted)), F.col("record"))
+    return found.join(keys, "key", "left_semi").groupBy("key").agg(F.first("record").alias("record"))
+
+
+def keys_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Fingerprints of the records of `left` that `right` lacks."""
+    both = keyed(left, F.lit(False).alias("known")).unionAll(keyed(right, F.lit(True).alias("known")))
+    present = both.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("known").alias("known"))
+    return present.where(~F.col("known")).select("key")
 
 
 def snapshot_delta_wide(left: DataFrame, right: DataFrame, quality: Quality, delimiter: str,
                         bad: bool = False) -> DataFrame:
-    """`snapshot_delta` by fingerprints: no text crosses the network but that of the result.
+    """`snapshot_delta` by fingerprints; compares when it is called, and stages the wanted fingerprints.
 
     Copies collapse to one row per fingerprint and task below the only exchange
-    of the first step, whatever the other side's size. Quality is judged last.
+    of the comparison, whatever the other side's size. Of the text only that of the
+    result crosses the network, and of a hundredth of the other records. Quality is judged last.
     """
-    both = _keyed(left, F.lit(False).alias("known")).unionAll(_keyed(right, F.lit(True).alias("known")))
-    only_left = both.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("known").alias("known")).where(~F.col("known"))
-    records = _texts(left, only_left.select("key")).select("record")
+    records = texts_of(left, staged_keys(keys_only_in(left, right))).select("record")
     return with_fingerprint(_of_quality(records, quality, delimiter, bad)).select(
         "record", "hash", F.lit(str(bad)).alias("bad"))
 
@@ -72,25 +97,34 @@ def compare_wide(previous: DataFrame, current: DataFrame, quality: Quality, deli
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
     def side(df: DataFrame, p: Column, c: Column) -> DataFrame:
-        return _keyed(quality.mark(df.select("record"), delimiter), p.alias("p"), c.alias("c"), F.col("is_bad"))
+        return keyed(quality.mark(df.select("record"), delimiter), p.alias("p"), c.alias("c"), F.col("is_bad"))
 
     both = side(previous, one, none).unionAll(side(current, none, one))
     present = both.groupBy("key").agg(
         F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"), F.max("is_bad").alias("is_bad"))
-    return present.withColumn("op", _op())
+    return present.withColumn("op", op_of())
+
+
+def wanted_of(compared: DataFrame) -> DataFrame:
+    """The fingerprints of a comparison whose records are written somewhere."""
+    return compared.where(F.col("op").isNotNull()).select("key", "op", "is_bad")
 
 
 def changes_wide(compared: DataFrame, previous: DataFrame, current: DataFrame) -> DataFrame:
-    """`changes` of a comparison by fingerprints, whose texts are read again."""
-    wanted = compared.where(F.col("op").isNotNull()).select("key", "op", "is_bad")
+    """`changes` of a comparison by fingerprints, which runs when this is called."""
+    return changed_texts(staged_keys(wanted_of(compared)), previous, current)
+
+
+def changed_texts(wanted: DataFrame, previous: DataFrame, current: DataFrame) -> DataFrame:
+    """The changed rows of staged, wanted fingerprints, whose texts are read again."""
     of_previous = F.col("op") == DELETE
     gone, here = wanted.where(of_previous), wanted.where(~of_previous)
-    found = [w.join(_texts(df, w.select("key")), "key") for w, df in ((gone, previous), (here, current))]
+    found = [w.join(texts_of(df, w.select("key")), "key") for w, df in ((gone, previous), (here, current))]
     return found[0].unionAll(found[1]).select(
         "op", "record", F.lower(F.hex("key")).alias("hash"), status(F.col("is_bad")).alias("bad"))
 
 
-def _op() -> Column:
+def op_of() -> Column:
     in_previous, in_current = F.col("previous_rows") > 0, F.col("current_rows") > 0
     return (
         F.when(F.col("is_bad"), F.when(in_current, BAD))
@@ -112,7 +146,7 @@ def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter
         current.select("record", none.alias("p"), one.alias("c")))
     present = both.groupBy("record").agg(
         F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"))
-    return quality.mark(present, delimiter).withColumn("op", _op())
+    return quality.mark(present, delimiter).withColumn("op", op_of())
 
 
 def changes(compared: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.dates import run_timestamp
 from ..model import ConfigError, FeedSpec
-from ..operators import audit as au, delta as dl
+from ..operators import audit as au, delta as dl, kept as kp
 from ..operators.formatting import Cleaning
 from ..operators.validation import Quality
 from ..session import remove_path, scratch_path
@@ -90,7 +91,7 @@ def _check_paths(spec: FeedSpec) -> None:
     outputs = [spec.inserts_path, spec.deletes_path, spec.bad_path]
     if not all(outputs):
         raise ConfigError("inserts, deletes and bad paths are required")
-    paths = [_plain(p) for p in (*outputs, spec.audit_path) if p]
+    paths = [_plain(p) for p in (*outputs, spec.audit_path, spec.kept_path) if p]
     inputs = [_plain(p) for p in (spec.previous_path, spec.current_path, spec.config_path) if p]
     for i, out in enumerate(paths):
         others = inputs + paths[:i] + paths[i + 1:]
@@ -99,6 +100,30 @@ def _check_paths(spec: FeedSpec) -> None:
             raise ConfigError(f"output path {out} overlaps {clash}")
 
 
+def kept_folder(spec: FeedSpec, snapshot: str) -> str:
+    """Where a snapshot's fingerprints are kept; another reading or other rules give another folder."""
+    read = (snapshot, spec.source_type, spec.csv_header, sorted(spec.csv_options.items()), spec.record_char, spec.output_char,
+            repr(Quality.of(spec)), spec.kept_buckets)
+    return f"{spec.kept_path.rstrip('/')}/{hashlib.md5(repr(read).encode()).hexdigest()}"
+
+
+def compared_with_kept(spark: SparkSession, spec: FeedSpec, previous: DataFrame, current: DataFrame) -> DataFrame:
+    """The comparison of two kept tables; the current snapshot's is always made, the previous one's if it is not there."""
+    quality = Quality.of(spec)
+
+    def fingerprints(snapshot: DataFrame, path: str, again: bool) -> DataFrame:
+        folder = kept_folder(spec, path)
+        found = None if again else kp.kept(spark, folder, spec.kept_buckets)
+        if found is None:
+            kp.keep(kp.fingerprints(snapshot, quality, spec.record_char), folder, spec.kept_buckets)
+        return kp.kept(spark, folder, spec.kept_buckets)
+
+    here = fingerprints(current, spec.current_path, True)
+    if spec.reseed:
+        return kp.compare_kept(here.where(F.lit(False)), here)
+    return kp.compare_kept(fingerprints(previous, spec.previous_path, False), here)
+
+
 def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) -> dict[str, int]:
     """Write the changed rows below `path`, one folder per op, and return the counts.
 
@@ -106,14 +131,19 @@ def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) ->
     counts are observed in its last stage, whose tasks each count once however
     often they are retried, and the sinks read the staged rows, so a lost
     executor never brings the comparison back. Compared by fingerprint, the
-    comparison itself is staged first, and the texts of its changes are read after.
+    wanted fingerprints are staged first, and the texts of the changes are read after.
     """
-    seen = Observation()
-    observed = compared_by(spec, previous, current).observe(seen, *au.count_columns())
+    seen, spark = Observation(), previous.sparkSession
+    keeping = spec.comparison == "fingerprint" and spec.kept_path
+    compared = compared_with_kept(spark, spec, previous, current) if keeping else compared_by(spec, previous, current)
+    observed = compared.observe(seen, *au.count_columns())
     if spec.comparison == "fingerprint":
-        observed.write.parquet(f"{path}/compared")
-        observed = previous.sparkSession.read.schema(observed.schema).parquet(f"{path}/compared")
-    changed_by(spec, observed, previous, current).write.partitionBy("op").parquet(f"{path}/changed")
+        wanted = dl.wanted_of(observed)
+        wanted.write.parquet(f"{path}/wanted")
+        changed = dl.changed_texts(spark.read.schema(wanted.schema).parquet(f"{path}/wanted"), previous, current)
+    else:
+        changed = changed_by(spec, observed, previous, current)
+    changed.write.partitionBy("op").parquet(f"{path}/changed")
     return seen.get
 
 

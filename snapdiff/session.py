@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import uuid
 
@@ -32,11 +33,24 @@ def build_session(app_name: str = "snapdiff", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+_made: list[tuple] = []  # file systems and paths of this process's staged data
+
+
+@atexit.register
+def _remove_made() -> None:
+    """Staged data serves one process; what was not removed before goes when it ends."""
+    for fs, target in _made:
+        try:
+            fs.delete(target, True)
+        except Exception:  # the session's JVM is gone, or the folder
+            pass
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder named by `spark.checkpoint.dir`.
 
     Staged data must outlive any one executor, so a cluster has to name the
-    folder. Only a local session (one process, not `local-cluster`) may fall
+    folder. What is left of it is removed when the process ends. Only a local session (one process, not `local-cluster`) may fall
     back to the warehouse folder, which every session has.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -44,7 +58,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ConfigError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/snapdiff-{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/snapdiff-{label}-{uuid.uuid4().hex}"
+    _made.append(_file_system(spark, path))
+    return path
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -66,3 +82,8 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     """Delete `path` on whatever file system it names; False if it was not there."""
     fs, target = _file_system(spark, path)
     return fs.delete(target, True) if fs.exists(target) else False
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)

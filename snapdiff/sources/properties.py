@@ -44,6 +44,8 @@ _MORE = {
     "output_files": ("sparkOutputFiles", int),
     "rows_per_file": ("sparkRowsPerFile", int),
     "comparison": ("sparkComparison", str),
+    "kept_path": ("sparkKeptPath", str),
+    "kept_buckets": ("sparkKeptBuckets", int),
 }
 _FOLDERS = (
     "sparkBasePath", "sparkRawPreviousPath", "sparkRawCurrentPath", "sparkDeltaDataPath",

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import audit, delta, records
+from ..operators import audit, delta, kept, records
 from ..operators.validation import Quality, quarantine, tag
 from ..plans.delta_job import delta_of
+from ..session import scratch_path
 from ..sources.snapshots import empty_snapshot
 from . import fixtures as fx
 from .registry import query
@@ -77,6 +78,20 @@ def delta_changes(spark: SparkSession, sf: str) -> DataFrame:
     return delta.changes(delta.compare(previous, current, PRICES, "|"))
 
 
+@query(f"""with {fx.SQL_PAIR}
+select 'insert' as op, record, md5(record) as hash, 'False' as bad from ins
+union all select 'delete', record, md5(record), 'False' from del
+union all select 'bad', record, md5(record), 'True' from bad""")
+def delta_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Two days in a row: the first keeps its fingerprints, the second joins them bucket to bucket."""
+    tables = []
+    for snapshot in fx.order_pair(spark, sf):
+        path = scratch_path(spark, "kept")
+        kept.keep(kept.fingerprints(snapshot, PRICES, "|"), path, 8)
+        tables.append(kept.kept(spark, path, 8))
+    return delta.changes_wide(kept.compare_kept(*tables), *fx.order_pair(spark, sf))
+
+
 @query(f"with {fx.SQL_PRICED} select record, md5(record) as hash, 'False' as bad from judged where not is_bad")
 def reseed(spark: SparkSession, sf: str) -> DataFrame:
     result = delta_of(empty_snapshot(spark), fx.priced_orders(spark, sf), fx.PRICE_FEED, fx.RUN_TS)

@@ -6,7 +6,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from snapdiff.model import FeedSpec
-from snapdiff.operators import audit, delta
+from snapdiff.operators import audit, delta, kept, membership
+from snapdiff.operators.membership import bloom_filter, filter_bits, might_hold
 from snapdiff.operators.validation import Quality
 from snapdiff.plans.delta_job import delta_of
 from snapdiff.workload import QUERIES, fixtures as fx
@@ -143,7 +144,7 @@ def test_wide_plan(spark, sf):
     """The reduction to fingerprints lies below every exchange, however small the other side is."""
     previous, current = fx.order_pair(spark, sf)
     for other in (previous, previous.limit(10)):
-        text, nodes = plan_of(delta.snapshot_delta_wide(current, other, QUALITY, "|"))
+        text, nodes = plan_of(delta.keys_only_in(current, other))
         at = text.index("max(known")
         assert "partial_max(known" in text and "LeftAnti" not in text and text.index("Exchange") > 0 and at
 
@@ -173,3 +174,61 @@ def test_no_query_runs_python_or_crosses(spark, sf):
             continue  # these write files first
         _, nodes = plan_of(query.run(spark, sf))
         assert not [n for n in nodes if "Python" in n or "Cartesian" in n or "NestedLoop" in n], name
+
+
+def test_wide_texts_pass_a_filter_below_the_exchange(spark, sf):
+    """With broadcasting off, only wanted records and a few others of their snapshot are shuffled."""
+    previous, current = fx.document_lines(spark, sf)
+    compared = delta.compare_wide(previous, current, Quality(), "|")
+    wanted = delta.staged_keys(delta.wanted_of(compared).where("op = 'insert'").limit(20).select("key"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text, nodes = plan_of(delta.texts_of(current, wanted))
+        assert "might_contain" in text and not any(n.startswith("Broadcast") for n in nodes)
+        scan, shuffle = text.index("might_contain"), text.index("Exchange", text.index("(1) "))
+        assert scan and shuffle
+        assert sorted(r.key for r in delta.texts_of(current, wanted).select("key").collect()) == sorted(r.key for r in wanted.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = bloom_filter(wanted, wanted.count())
+    passing = delta.keyed(current).where(might_hold(current, F.col("key"), found)).count()
+    copies = delta.keyed(current).join(wanted, "key", "left_semi").count()
+    assert copies <= passing <= copies + 0.05 * current.count()
+
+
+def test_sizes_of_filters():
+    assert filter_bits(0) == 64 and filter_bits(1000) == 9586
+    assert filter_bits(20_000_000) == 1 << 26 and filter_bits(100_000_000) is None
+
+
+def test_without_a_filter(spark, sf, monkeypatch):
+    """Too many keys for a filter are joined without one."""
+    monkeypatch.setattr(membership, "MOST_BITS", 64)
+    previous, current = fx.order_pair(spark, sf)
+    wide = delta.snapshot_delta_wide(current, previous, QUALITY, "|").select("record")
+    plain = delta.snapshot_delta(current, previous, QUALITY, "|").select("record")
+    assert sorted(map(tuple, wide.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_kept_sides_are_not_shuffled(spark, sf, tmp_path):
+    previous, current = fx.order_pair(spark, sf)
+    tables = []
+    for name, snapshot in (("p", previous), ("c", current)):
+        kept.keep(kept.fingerprints(snapshot, QUALITY, "|"), str(tmp_path / name), 8)
+        tables.append(kept.kept(spark, str(tmp_path / name), 8))
+    compared = kept.compare_kept(*tables)
+    text, nodes = plan_of(compared)
+    assert "Exchange" not in nodes and "record" not in text and "SelectedBucketsCount: 8 out of 8" in text
+    plain = delta.compare_wide(previous, current, QUALITY, "|").select(*compared.columns)
+    assert sorted(map(tuple, compared.collect())) == sorted(map(tuple, plain.collect()))
+    assert len(list((tmp_path / "p").glob("part-*"))) <= 8
+    assert kept.kept(spark, str(tmp_path / "none"), 8) is None
+
+
+def test_kept_copies_and_nothing(spark, records, tmp_path):
+    for name, snapshot in (("p", records("a|1", "a|1", "b|x")), ("c", records("x").where("false"))):
+        kept.keep(kept.fingerprints(snapshot, QUALITY, "|"), str(tmp_path / name), 3)
+    p, c = (kept.kept(spark, str(tmp_path / n), 3) for n in "pc")
+    rows = {(r.previous_rows, r.current_rows, r.is_bad, r.op) for r in kept.compare_kept(p, c).collect()}
+    assert rows == {(2, 0, False, "delete"), (1, 0, True, None)}

@@ -247,3 +247,24 @@ def test_run_feeds(spark, feed, tmp_path):
 def test_scratch_paths_are_new(spark):
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_fingerprints_kept_from_day_to_day(spark, feed, tmp_path):
+    """The second day compares with what the first kept, and reads the text of yesterday's records only for deletes."""
+    days = [["a|1", "b|2", "c|3", "z|x"], ["a|1", "b|2.5", "b|2.5", "é|y"], ["a|1", "b|2.5", "é|y", "n|9"], []]
+    paths = [write(tmp_path / f"day{n}", *day) for n, day in enumerate(days)]
+    own = dict(comparison="fingerprint", kept_path=str(tmp_path / "kept"), kept_buckets=4)
+    for n in range(1, len(days)):
+        spec = replace(feed, previous_path=paths[n - 1], current_path=paths[n])
+        by_record = run_job(spark, spec, TS)
+        before = {f: lines_of(tmp_path / "out" / f) for f in ("inserts", "deletes", "bad")}
+        assert run_job(spark, replace(spec, **own), TS) == by_record
+        assert {f: lines_of(tmp_path / "out" / f) for f in before} == before
+        if n == 1:  # changed behind the job's back: only what was kept counts
+            (tmp_path / "day1" / "part.txt").write_text("")
+            kept_only = replace(spec, previous_path=paths[1], current_path=paths[2], **own)
+            assert run_job(spark, kept_only, TS)["raw_previous"] == 4
+            (tmp_path / "day1" / "part.txt").write_text("".join(x + "\n" for x in days[1]), encoding="utf-8")
+    assert run_job(spark, replace(spec, reseed=True, current_path=paths[2], **own), TS)["deleted"] == 0
+    with pytest.raises(ConfigError, match="keeps"):
+        replace(feed, kept_path="x")
