@@ -45,7 +45,8 @@ def snapshot_delta(left: DataFrame, right: DataFrame, quality: Quality, delimite
 
 
 def keyed(df: DataFrame, *more: Column) -> DataFrame:
-    return df.select(F.unhex(fingerprint(F.col("record"))).alias("key"), *more)
+    """16-byte fingerprints, never null: a test for null would be pushed down and make each record a second time."""
+    return df.select(F.coalesce(F.unhex(fingerprint(F.col("record"))), F.lit(b"")).alias("key"), *more)
 
 
 def staged_keys(keys: DataFrame) -> DataFrame:
@@ -65,14 +66,16 @@ def texts_of(df: DataFrame, keys: DataFrame) -> DataFrame:
     if not rows:
         return keyed(df, F.col("record")).where(F.lit(False))
     wanted = bloom_filter(keys, rows)
-    found = keyed(df if wanted is None else df.where(might_hold(df, F.unhex(fingerprint(F.col("record"))), wanted)), F.col("record"))
+    found = keyed(df, F.col("record"))
+    if wanted is not None:  # as in Quality.is_bad, the partition id keeps the test above the projection that makes the record
+        found = found.withColumn("maybe", might_hold(df, F.col("key"), wanted) & (F.spark_partition_id() >= 0)).where("maybe").drop("maybe")
     return found.join(keys, "key", "left_semi").groupBy("key").agg(F.first("record").alias("record"))
 
 
 def keys_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
     """Fingerprints of the records of `left` that `right` lacks."""
     both = keyed(left, F.lit(False).alias("known")).unionAll(keyed(right, F.lit(True).alias("known")))
-    present = both.where(F.col("key").isNotNull()).groupBy("key").agg(F.max("known").alias("known"))
+    present = both.groupBy("key").agg(F.max("known").alias("known"))
     return present.where(~F.col("known")).select("key")
 
 

@@ -30,8 +30,8 @@ def _expressions(df: DataFrame):
     return jvm.org.apache.spark.sql.catalyst.expressions, jvm.org.apache.spark.sql.classic.ExpressionUtils
 
 
-def bloom_filter(keys: DataFrame, rows: int, false_positives: float = FALSE_POSITIVES) -> bytes | None:
-    """The filter over the column `key` of counted, staged rows; at most 8 MB reach the driver."""
+def bloom_filter(keys: DataFrame, rows: int, false_positives: float = FALSE_POSITIVES) -> Column | None:
+    """The filter over the column `key` of counted, staged rows: a scalar subquery of at most 8 MB."""
     bits = filter_bits(rows, false_positives)
     if bits is None:
         return None
@@ -39,12 +39,11 @@ def bloom_filter(keys: DataFrame, rows: int, false_positives: float = FALSE_POSI
     parts = [utils.expression(_to_java_column(c)) for c in (
         F.xxhash64("key"), F.lit(max(rows, 1)).cast("bigint"), F.lit(bits).cast("bigint"))]
     aggregate = made.aggregate.BloomFilterAggregate(*parts).toAggregateExpression()
-    found = keys.coalesce(_TASKS).agg(Column(utils.column(aggregate)).alias("filter")).first()["filter"]
-    return None if found is None else bytes(found)
+    return keys.coalesce(_TASKS).agg(Column(utils.column(aggregate)).alias("filter")).scalar()
 
 
-def might_hold(df: DataFrame, key: Column, found: bytes) -> Column:
+def might_hold(df: DataFrame, key: Column, found: Column) -> Column:
     """False only where `key` is none of the filter's keys."""
     made, utils = _expressions(df)
-    parts = [utils.expression(_to_java_column(c)) for c in (F.lit(found), F.xxhash64(key))]
+    parts = [utils.expression(_to_java_column(c)) for c in (found, F.xxhash64(key))]
     return Column(utils.column(made.BloomFilterMightContain(*parts)))

@@ -186,8 +186,7 @@ def test_wide_texts_pass_a_filter_below_the_exchange(spark, sf):
     try:
         text, nodes = plan_of(delta.texts_of(current, wanted))
         assert "might_contain" in text and not any(n.startswith("Broadcast") for n in nodes)
-        scan, shuffle = text.index("might_contain"), text.index("Exchange", text.index("(1) "))
-        assert scan and shuffle
+        assert text.count("regexp_replace(") == 1  # the record is made once, below the test
         assert sorted(r.key for r in delta.texts_of(current, wanted).select("key").collect()) == sorted(r.key for r in wanted.collect())
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
