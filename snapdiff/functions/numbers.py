@@ -28,9 +28,16 @@ _PLAIN = rf"\A{WS_CLASS}*(?:\+|(-))?(?!0+\.0{{6}})0*(\d+)(\.\d+)?\.?{WS_CLASS}*\
 _WORKING = "decimal(38,18)"
 _FITS = r"\A[+-]?(?:\d{1,20}(?:\.\d{0,18})?|\.\d{1,18})\z"
 
+# Text that fits this type with six decimals; of those beyond, it only matters whether any is not zero.
+_WIDER = "decimal(38,7)"
+_FITS_CUT = r"\A[+-]?\d{1,31}\.\d{7,}+\z"
+
+# Any other text without an exponent holds all its digits.
+_DIGITS = rf"\A{WS_CLASS}*+[+-]?(?:\d++(?:\.\d*+)?|\.\d++){WS_CLASS}*+\z"
+
 # An exponent of any text is computed in this type; one beyond it counts as no number.
 _EXPONENT = "decimal(38,0)"
-# Whole digits a printed number may have: 1e2147483647 is a number, but no text can hold it.
+# Whole digits an exponent may give a printed number: 1e2147483647 is a number, but no text can hold it.
 MOST_DIGITS = 10_000
 
 
@@ -140,6 +147,33 @@ def _printed(parts: Column, prefix: str, least: int, most: int) -> Column:
     return F.when(zero | (point <= MOST_DIGITS), _let(_let(near, rounded), shown))
 
 
+def _printed_digits(number: Column, prefix: str, least: int, most: int) -> Column:
+    """`_printed` of a text that holds all its digits, of any length: cut, rounded once, grouped in one pass."""
+    def rounded(x: Column) -> Column:
+        kept = F.concat(x["whole"], F.rpad(F.left(x["decimals"], F.lit(most)), F.lit(most), F.lit("0")))
+        rest = F.rtrim(F.substring(x["decimals"], F.lit(most + 1), F.length(x["decimals"])), F.lit("0"))
+        up = (rest > "5") | ((rest == "5") & (F.ascii(F.right(kept, F.lit(1))) % 2 == 1))
+        return F.struct(x["sign"].alias("sign"), F.when((F.length(x["decimals"]) > most) & up, _increased(kept)).otherwise(kept).alias("kept"))
+
+    def shown(x: Column) -> Column:
+        size = F.length(x["kept"]) - most
+        filled = F.lpad(F.left(x["kept"], size), size + 2 - (size + 2) % 3, F.lit(" "))
+        grouped = F.concat(x["sign"], F.lit(prefix), F.ltrim(F.array_join(F.regexp_extract_all(filled, F.lit("..."), F.lit(0)), ",")))
+        if not most:
+            return grouped
+        decimals = F.right(x["kept"], F.lit(most))
+        if least < most:
+            decimals = F.concat(F.left(decimals, F.lit(least)), F.rtrim(F.substring(decimals, F.lit(least + 1), F.lit(most)), F.lit("0")))
+        return F.concat(grouped, F.rtrim(F.concat(F.lit("."), decimals), F.lit(".")))
+
+    def parts(text: Column) -> Column:
+        whole = F.ltrim(F.substring_index(text, ".", 1), F.lit("+-0"))
+        return F.struct(_sign(text).alias("sign"), F.when(whole == "", "0").otherwise(whole).alias("whole"), F.when(
+            F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).otherwise("").alias("decimals"))
+
+    return _let(_let(_let(_stripped(number), parts), rounded), shown)
+
+
 def parse_decimal(text: Column) -> Column:
     """Dollar signs and grouping commas removed, as canonical decimal text."""
     return decimal_text(without_commas(without_dollar(text)))
@@ -168,8 +202,17 @@ def _grouped(bare: Column, prefix: str, least: int, most: int) -> Column:
 
     value = bare.try_cast(_WORKING)
     short = F.when(bare.startswith("-"), F.concat(F.lit("-"), shown(F.abs(value)))).otherwise(shown(value))
-    long = _let(_parts(_stripped(bare)), lambda parts: _printed(parts, prefix, least, most))
-    return F.when(bare.rlike(_FITS), short).when(bare.rlike(_NUMBER), long)
+
+    def cut(text: Column) -> Column:
+        point = F.instr(text, ".")
+        beyond = F.rtrim(F.substring(text, point + 7, F.length(text)), F.lit("0"))
+        return shown(F.abs(F.concat(F.substring(text, F.lit(1), point + 6), F.when(beyond == "", "0").otherwise("1")).try_cast(_WIDER)))
+
+    def long(text: Column) -> Column:
+        return F.when(text.rlike(_FITS_CUT), F.concat(_sign(text), cut(text))).when(text.rlike(_DIGITS), _printed_digits(text, prefix, least, most)).when(
+            text.rlike(_NUMBER), _let(_parts(_stripped(text)), lambda parts: _printed(parts, prefix, least, most)))
+
+    return F.when(bare.rlike(_FITS), short).otherwise(_let(bare, long))
 
 
 def format_decimal(text: Column) -> Column:

@@ -12,7 +12,7 @@ from ..operators import audit, delta, records, validation as va
 from ..plans.delta_job import delta_of
 from ..session import scratch_path
 from ..sinks import text as sink
-from ..sources import config, properties, snapshots
+from ..sources import config, csv_records, properties, snapshots
 from . import fixtures as fx
 from .registry import query
 
@@ -45,6 +45,15 @@ def csv_roundtrip_header(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.read_snapshot(spark, path, CSV_FEED)
 
 
+@query(f"select {fx.sql_canonical()} as record from documents")
+def csv_split_records(spark: SparkSession, sf: str) -> DataFrame:
+    """One file with newlines in cells, cut into records at the splits of a text scan."""
+    cells = fx.document_cells(spark, sf)
+    path = write_csv(spark, cells.coalesce(1), True, "csv")
+    rows = csv_records.read_csv_split(spark, path, True, csv_records.Dialect(escape='"'), cells.columns, {})
+    return records.canonical_records(rows, "|")
+
+
 @query(f"""select {fx.sql_canonical(("c_custkey", "c_name", "c_nationkey",
        "cast(c_acctbal as decimal(18,2))", "c_mktsegment"))} as record from customer""")
 def csv_roundtrip_noheader(spark: SparkSession, sf: str) -> DataFrame:

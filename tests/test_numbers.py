@@ -1,7 +1,7 @@
 from decimal import MAX_EMAX, MIN_EMIN, ROUND_HALF_EVEN, Context, Decimal, localcontext
 
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from snapdiff.functions import numbers as nm, typed
@@ -160,3 +160,32 @@ def test_json_text(spark):
     df = spark.createDataFrame([('{"a": 1, "b": "x"}',), ("broken",)], "t string")
     got = [r.v for r in df.select(typed.json_encode(typed.json_decode(F.col("t"), schema)).alias("v")).collect()]
     assert got == ['{"a":1,"b":"x"}', "{}"]
+
+
+WIDE_TEXTS = st.tuples(st.sampled_from(["", "-", "+", " -"]), st.text("0123456789", max_size=60), st.text("0123456789", max_size=30) | st.sampled_from(
+    ["5", "05", "0005", "00050", "00051", "9995", "99949", "9" * 25, "125", "0"])).filter(lambda x: x[1] or x[2])
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.large_base_example, HealthCheck.data_too_large, HealthCheck.too_slow])
+@given(st.lists(WIDE_TEXTS, min_size=120, max_size=120))
+def test_wide_texts_print_as_decimals(values, numbers):
+    """Numbers that hold all their digits, against exact arithmetic, for each number of decimals."""
+    texts = [f"{sign}{whole}.{frac} " for sign, whole, frac in numbers]
+    with localcontext(Context(prec=300, rounding=ROUND_HALF_EVEN)):
+        def want(text, prefix, least, most):
+            value = Decimal(text.strip()).quantize(Decimal(1).scaleb(-most))
+            whole, _, frac = f"{abs(value):,f}".partition(".")
+            held = frac[:least] + frac[least:].rstrip("0")
+            return ("-" if text.strip().startswith("-") else "") + prefix + whole + ("." + held if held else "")
+
+        for prefix, least, most in (("", 0, 3), ("$", 2, 2), ("", 0, 0)):
+            for shown in (nm._printed_digits, nm._grouped):
+                assert values(lambda c: shown(c, prefix, least, most), *texts) == [want(t, prefix, least, most) for t in texts]
+                bare = [t.strip() for t in texts]
+                assert values(lambda c: shown(c, prefix, least, most), *bare) == [want(t, prefix, least, most) for t in texts]
+
+
+def test_texts_of_any_length_are_printed(values):
+    digits = "1" + "234567890" * 3000
+    shown = values(nm.format_decimal, digits + ".1255")[0]
+    assert shown.replace(",", "") == digits + ".126" and all(len(p) == 3 for p in shown[:-4].split(",")[1:])
