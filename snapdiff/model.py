@@ -224,6 +224,8 @@ class FeedSpec:
     comparison: str = "record"  # or "fingerprint", for records much wider than one
     kept_path: str = ""         # folder of kept fingerprints, for comparison by fingerprint
     kept_buckets: int = 200     # best as many as shuffle partitions; the same every day
+    manifest_path: str = ""     # folder of manifests; with one, outputs are versions published together
+    keep_versions: int = 2      # published versions that stay
     on_failure: str = "CONTINUE"  # what a run over several feeds does after this one fails
 
     def __post_init__(self) -> None:
@@ -231,6 +233,8 @@ class FeedSpec:
             raise ConfigError(f"comparison must be one of {COMPARISONS}: {self.comparison!r}")
         if self.output_files < 0 or self.rows_per_file < 0:
             raise ConfigError("numbers of files and rows must not be negative")
+        if self.keep_versions < 1:
+            raise ConfigError("a published version at least must stay")
         if self.kept_buckets < 1:
             raise ConfigError("kept fingerprints need a bucket at least")
         if self.kept_path and self.comparison != "fingerprint":

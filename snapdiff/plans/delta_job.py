@@ -17,6 +17,7 @@ from ..session import remove_path, scratch_path
 from ..sinks import text as sink
 from ..sources.config import resolve_rules
 from ..sources.snapshots import read_pair
+from . import publish as pb
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,7 @@ def _check_paths(spec: FeedSpec) -> None:
     outputs = [spec.inserts_path, spec.deletes_path, spec.bad_path]
     if not all(outputs):
         raise ConfigError("inserts, deletes and bad paths are required")
-    paths = [_plain(p) for p in (*outputs, spec.audit_path, spec.kept_path) if p]
+    paths = [_plain(p) for p in (*outputs, spec.audit_path, spec.kept_path, spec.manifest_path) if p]
     inputs = [_plain(p) for p in (spec.previous_path, spec.current_path, spec.config_path) if p]
     for i, out in enumerate(paths):
         others = inputs + paths[:i] + paths[i + 1:]
@@ -150,19 +151,23 @@ def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) ->
 STAGED = "record string, hash string, bad string, op string"
 
 
-def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) -> dict[str, int]:
+def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None, run_key: str | None = None) -> dict[str, int]:
     """Run a feed end to end and return its counts.
 
     Outputs are written only after the comparison has succeeded, so a failed
-    run leaves the previous outputs in place. `format_failures` counts the written
-    rows that kept a field which no format could be applied to.
+    run leaves the previous outputs in place. With a manifest path they go to new
+    folders, and become the current ones together, when all are written. `format_failures`
+    counts the written rows that kept a field which no format could be applied to.
+    A run with a `run_key` that is repeated replaces its audit line.
     """
     _check_paths(spec)
-    spec = resolve_rules(spark, spec)
+    feed, spec = spec, resolve_rules(spark, spec)
     run_ts = run_ts or run_timestamp()
     previous, current = read_pair(spark, spec)
     staged = scratch_path(spark, "changes")
-    failures = []
+    version = pb.new_version(spark, spec.manifest_path) if spec.manifest_path else None
+    out = pb.versioned(spec, version) if version else spec
+    failures, written = [], {"inserts", "deletes"}
 
     def counted(rows: DataFrame) -> DataFrame:
         failures.append(Observation())
@@ -171,16 +176,21 @@ def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None) -> d
     try:
         counts = stage(spec, previous, current, staged)
         changed = spark.read.schema(STAGED).parquet(f"{staged}/changed")
-        result = results(changed, au.counts_frame(spark, counts), spec, run_ts)
-        sink.write_delta(counted(result.inserts), spec.inserts_path, spec)
-        sink.write_delta(counted(result.deletes), spec.deletes_path, spec)
+        result = results(changed, au.counts_frame(spark, counts), out, run_ts)
+        sink.write_delta(counted(result.inserts), out.inserts_path, out)
+        sink.write_delta(counted(result.deletes), out.deletes_path, out)
         if counts["bad"]:
-            sink.write_bad(result.bad, spec.bad_path, spec)
-        elif spec.delete_before_write:
-            remove_path(spark, spec.bad_path)
-        if spec.audit_path:
-            sink.append_audit(au.audit_line(result.audit), spec.audit_path)
+            sink.write_bad(result.bad, out.bad_path, out)
+            written.add("bad")
+        elif out.delete_before_write:
+            remove_path(spark, out.bad_path)
+        if out.audit_path:
+            line = au.audit_line(result.audit)
+            sink.put_audit(line, out.audit_path, run_key) if run_key else sink.append_audit(line, out.audit_path)
+            written.add("audit")
+        counts = {**counts, "changed": counts["inserted"] + counts["deleted"], "format_failures": sum(f.get["rows"] for f in failures)}
+        if version:
+            pb.publish(spark, feed, version, run_ts, counts, written)
     finally:
         remove_path(spark, staged)
-    return {**counts, "changed": counts["inserted"] + counts["deleted"],
-            "format_failures": sum(f.get["rows"] for f in failures)}
+    return counts

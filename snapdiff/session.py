@@ -68,10 +68,10 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
-def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
-    """Write one new file on whatever file system `path` names."""
+def write_bytes(spark: SparkSession, path: str, content: bytes, overwrite: bool = False) -> None:
+    """Write one file, new unless `overwrite`, on whatever file system `path` names."""
     fs, target = _file_system(spark, path)
-    out = fs.create(target, False)
+    out = fs.create(target, overwrite)
     try:
         out.write(content)
     finally:
@@ -87,3 +87,30 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _file_system(spark, path)
     return fs.exists(target)
+
+
+def publish_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A file that is there whole or not at all: written beside its place, then renamed."""
+    folder, _, name = path.rpartition("/")
+    draft = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    write_bytes(spark, draft, content)
+    fs, source = _file_system(spark, draft)
+    if not fs.rename(source, _file_system(spark, path)[1]):
+        fs.delete(source, True)
+        raise OSError(f"{path} could not be put in place")
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """The content of one small file."""
+    fs, target = _file_system(spark, path)
+    source = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source))
+    finally:
+        source.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    fs, target = _file_system(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []

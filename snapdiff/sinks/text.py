@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..model import FeedSpec
+from ..session import write_bytes
 
 DELTA_COLUMNS = ("record", "hash", "bad", "op", "run_ts", "additional")
 BAD_COLUMNS = ("record", "hash", "bad")
@@ -35,3 +36,9 @@ def write_bad(rows: DataFrame, path: str, spec: FeedSpec) -> None:
 
 def append_audit(lines: DataFrame, path: str) -> None:
     lines.coalesce(1).write.mode("append").text(path)  # one row
+
+
+def put_audit(lines: DataFrame, path: str, key: str) -> None:
+    """The audit line of one run in a file named after it: written again, it takes its own place."""
+    line = lines.first()["value"]
+    write_bytes(lines.sparkSession, f"{path.rstrip('/')}/audit-{key}.txt", (line + "\n").encode(), overwrite=True)

@@ -44,6 +44,8 @@ _MORE = {
     "output_files": ("sparkOutputFiles", int),
     "rows_per_file": ("sparkRowsPerFile", int),
     "comparison": ("sparkComparison", str),
+    "manifest_path": ("sparkManifestPath", str),
+    "keep_versions": ("sparkKeepVersions", int),
     "kept_path": ("sparkKeptPath", str),
     "kept_buckets": ("sparkKeptBuckets", int),
 }

@@ -11,6 +11,7 @@ from ..functions.dates import snapshot_path
 from ..model import FeedSpec
 from ..plans.delta_job import delta_of, run_delta, run_job
 from ..plans.feeds import combined, run_workflow
+from ..plans.publish import read_published
 from ..session import scratch_path
 from ..sinks.text import DELTA_COLUMNS
 from ..sources.properties import PROPERTY_SCHEMA
@@ -86,6 +87,24 @@ def full_job_files(spark: SparkSession, sf: str) -> DataFrame:
         _lines_of(spark, f"{out}/deletes", "delete")).unionAll(_lines_of(spark, f"{out}/bad", "bad"))
 
 
+@query(f"""with {fx.SQL_PAIR} {_sql_line('insert', 'ins', fx.sql_cleaned())}
+union all {_sql_line('delete', 'del', fx.sql_cleaned())}
+union all select 'bad', concat_ws('|', record, md5(record), 'True') from bad""")
+def published_job(spark: SparkSession, sf: str) -> DataFrame:
+    """A reseed, then a day's comparison: what the last manifest names is that day's outputs alone."""
+    previous, current = (write_snapshot(spark, s, "day") for s in fx.order_pair(spark, sf))
+    out = scratch_path(spark, "out")
+    spec = replace(
+        fx.CLEANED_FEED, regex_validation=True, record_regex=r"^(?:[^|]*\|){3}-?\d", inserts_path=f"{out}/inserts",
+        deletes_path=f"{out}/deletes", bad_path=f"{out}/bad", audit_path=f"{out}/audit", manifest_path=f"{out}/manifests")
+    run_job(spark, replace(spec, reseed=True, current_path=previous), fx.RUN_TS)
+    run_job(spark, replace(spec, previous_path=previous, current_path=current), fx.RUN_TS)
+    found = read_published(spark, spec.manifest_path)
+    lines = [found[name].select(F.lit(op).alias("op"), F.col("value").alias("line"))
+             for name, op in (("inserts", "insert"), ("deletes", "delete"), ("bad", "bad"))]
+    return lines[0].unionAll(lines[1]).unionAll(lines[2])
+
+
 @query(f"with {SQL_DOCS} {_sql_job()}")
 def full_delta_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents compared by fingerprint: every row a run writes."""
@@ -204,3 +223,41 @@ def workflow_files(spark: SparkSession, sf: str) -> DataFrame:
     return first
 
 
+
+
+def _sql_audit(feed: str, flag: str, *rows: str) -> str:
+    counts = ", ".join(f"(select count(*) from {r})" for r in rows)
+    changed = f"(select count(*) from {rows[1]}) + (select count(*) from {rows[2]})"
+    return f"select '{feed}' as feed, concat_ws('|', '{flag}', {counts}, {'' if len(rows) == 4 else '0, '}{changed}, '{fx.RUN_TS}') as line"
+
+
+@query(f"""with {fx.SQL_PAIR}, {SQL_CUSTOMERS}
+{_sql_audit('orders', 'True', 'cur', 'ins', 'del', 'bad')} union all {_sql_audit('customer', 'False', '(select distinct * from ccur)', 'cins', 'cdel')}""")
+def workflow_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """One feed's snapshot comes late: the second run does that feed alone, and each has one audit line, here without its paths."""
+    base, late = scratch_path(spark, "workflow"), []
+    for feed, pair in {"orders": fx.order_pair(spark, sf), "customer": customer_pair(spark, sf)}.items():
+        for day, snapshot in zip((date(2018, 9, 9), RUN_DATE), pair):
+            path = snapshot_path(base + "/", f"raw/{feed}/", day)
+            if (feed, day) == ("customer", RUN_DATE):
+                late.append((snapshot, path))
+            else:
+                snapshot.write.text(path)
+    properties = spark.createDataFrame(
+        [_property_row(base, "a1", "customer", "TILDE", ""),
+         _property_row(base, "a1", "orders", "PIPE", r"^(?:[^|]*\|){3}-?\d")], PROPERTY_SCHEMA)
+
+    def run() -> list[tuple[bool, bool]]:
+        runs = run_workflow(spark, properties, "daily", "UNIT", RUN_DATE, run_ts=fx.RUN_TS, ledger_path=f"{base}/ledger")
+        return [(r.error is None, r.earlier) for r in runs]
+
+    first = run()
+    for snapshot, path in late:
+        snapshot.write.text(path)
+    found = (first, run(), run())
+    if found != ([(False, False), (True, False)], [(True, False), (True, True)], [(True, True), (True, True)]):
+        raise RuntimeError(f"unexpected results: {found}")
+    lines = spark.read.text([snapshot_path(base + "/", f"audit/{feed}/", RUN_DATE) for feed in ("orders", "customer")])
+    cells = F.split("value", r"\|")
+    return lines.select(F.when(F.contains("value", F.lit("raw/orders/")), "orders").otherwise("customer").alias("feed"),
+                        F.concat_ws("|", F.slice(cells, 1, 6), F.element_at(cells, -1)).alias("line"))

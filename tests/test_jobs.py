@@ -5,6 +5,9 @@ import pytest
 
 from snapdiff import ConfigError, FeedSpec, run_feeds, run_job
 from snapdiff.model import ARGUMENTS
+from snapdiff.plans import publish
+from snapdiff.plans.publish import read_published
+from snapdiff.sinks import text as sink
 from snapdiff.sinks.text import write_lines
 from snapdiff.session import scratch_path
 from snapdiff.sources import config, properties, snapshots
@@ -268,3 +271,62 @@ def test_fingerprints_kept_from_day_to_day(spark, feed, tmp_path):
     assert run_job(spark, replace(spec, reseed=True, current_path=paths[2], **own), TS)["deleted"] == 0
     with pytest.raises(ConfigError, match="keeps"):
         replace(feed, kept_path="x")
+
+
+def published_lines(spark, path):
+    return {name: sorted(r.value for r in df.collect()) for name, df in read_published(spark, path).items()}
+
+
+@pytest.mark.parametrize("stopped_at", ["write_bad", "append_audit", "publish"])
+def test_outputs_appear_together(spark, feed, tmp_path, monkeypatch, stopped_at):
+    """A run that stops between two sinks leaves all of the last one's outputs, and the next run clears what it left."""
+    spec = replace(feed, manifest_path=str(tmp_path / "manifests"), delete_before_write=False)
+    assert published_lines(spark, spec.manifest_path) == {}
+    first = run_job(spark, spec, TS)
+    before = published_lines(spark, spec.manifest_path)
+    assert set(before) == {"inserts", "deletes", "bad", "audit"} and len(before["audit"]) == 1 and len(before["deletes"]) == first["deleted"]
+
+    def fail(*args):
+        raise OSError("stopped")
+
+    next_day = replace(spec, previous_path=spec.current_path, current_path=write(tmp_path / "next", "a|1", "n|7", "q|x"))
+    with monkeypatch.context() as patch:
+        patch.setattr(publish if stopped_at == "publish" else sink, "publish_bytes" if stopped_at == "publish" else stopped_at, fail)
+        with pytest.raises(OSError, match="stopped"):
+            run_job(spark, next_day, TS)
+    assert published_lines(spark, spec.manifest_path) == before
+    second = run_job(spark, next_day, TS)
+    after = published_lines(spark, spec.manifest_path)
+    assert after["inserts"] != before["inserts"] and len(after["inserts"]) == second["inserted"] == 1
+    last = run_job(spark, replace(next_day, validate=False), TS)
+    assert "bad" not in published_lines(spark, spec.manifest_path) and last["bad"] == 0
+    versions = publish.published_versions(spark, spec.manifest_path)
+    assert len(versions) == spec.keep_versions == 2
+    assert sorted(p.name for p in (tmp_path / "out/inserts").iterdir()) == versions
+
+
+def test_a_ledger_skips_what_is_done(spark, feed, tmp_path, monkeypatch):
+    """A feed that stopped after its first sink is done again, even where it may not replace outputs, with one audit line."""
+    ledger = str(tmp_path / "ledger")
+    other = replace(feed, feed="f2", config_path="", validate=False, format_data=False, inserts_path=str(tmp_path / "o2/inserts"),
+                    deletes_path=str(tmp_path / "o2/deletes"), bad_path=str(tmp_path / "o2/bad"), audit_path=str(tmp_path / "o2/audit"))
+    specs = [replace(feed, delete_before_write=False), other]
+    real, stops = sink.write_bad, [True]
+
+    def fail_once(*args):
+        if stops.pop() if stops else False:
+            raise OSError("stopped")
+        real(*args)
+
+    monkeypatch.setattr(sink, "write_bad", fail_once)
+    first = run_feeds(spark, specs, TS, ledger_path=ledger)
+    assert [(r.error is None, r.earlier) for r in first] == [(False, False), (True, False)]
+    second = run_feeds(spark, specs, TS, ledger_path=ledger)
+    assert [(r.error is None, r.earlier) for r in second] == [(True, False), (True, True)] and second[1].counts == first[1].counts
+    third = run_feeds(spark, specs, TS, ledger_path=ledger)
+    assert [r.earlier for r in third] == [True, True] and third[0].counts == second[0].counts
+    for out in ("out", "o2"):
+        assert [len(f.read_text().splitlines()) for f in (tmp_path / out / "audit").glob("audit-*")] == [1]
+    assert len(lines_of(tmp_path / "out/inserts")) == second[0].counts["inserted"]
+    moved = run_feeds(spark, [replace(other, current_path=feed.previous_path, inserts_path=str(tmp_path / "o3"))], TS, ledger_path=ledger)
+    assert not moved[0].earlier  # another input is another run
