@@ -23,6 +23,7 @@ from .records import fingerprint, with_fingerprint
 from .validation import Quality, status
 
 INSERT, DELETE, BAD = "insert", "delete", "bad"
+JUDGED = ("is_bad", "failed", "n_fields")  # what a record's text says of it; a plan that needs less computes less
 
 
 def _of_quality(df: DataFrame, quality: Quality, delimiter: str, bad: bool) -> DataFrame:
@@ -93,18 +94,18 @@ def snapshot_delta_wide(left: DataFrame, right: DataFrame, quality: Quality, del
 
 
 def compare_wide(previous: DataFrame, current: DataFrame, quality: Quality, delimiter: str) -> DataFrame:
-    """`compare` by fingerprints: (key, previous_rows, current_rows, is_bad, op).
+    """`compare` by fingerprints, with `key` in place of `record`.
 
     A record is judged where it is read, since its text goes no further.
     """
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
     def side(df: DataFrame, p: Column, c: Column) -> DataFrame:
-        return keyed(quality.mark(df.select("record"), delimiter), p.alias("p"), c.alias("c"), F.col("is_bad"))
+        return keyed(quality.profile(df.select("record"), delimiter), p.alias("p"), c.alias("c"), *map(F.col, JUDGED))
 
     both = side(previous, one, none).unionAll(side(current, none, one))
     present = both.groupBy("key").agg(
-        F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"), F.max("is_bad").alias("is_bad"))
+        F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"), *[F.max(c).alias(c) for c in JUDGED])
     return present.withColumn("op", op_of())
 
 
@@ -137,7 +138,7 @@ def op_of() -> Column:
 
 
 def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter: str) -> DataFrame:
-    """One row per distinct record: (record, previous_rows, current_rows, is_bad, op).
+    """One row per distinct record: (record, previous_rows, current_rows, is_bad, failed, n_fields, op).
 
     `op` is `insert`, `delete`, `bad` or null (unchanged, or a bad record that
     only the previous snapshot holds). Grouping by the record itself keeps the
@@ -149,7 +150,7 @@ def compare(previous: DataFrame, current: DataFrame, quality: Quality, delimiter
         current.select("record", none.alias("p"), one.alias("c")))
     present = both.groupBy("record").agg(
         F.sum("p").alias("previous_rows"), F.sum("c").alias("current_rows"))
-    return quality.mark(present, delimiter).withColumn("op", op_of())
+    return quality.profile(present, delimiter).withColumn("op", op_of())
 
 
 def changes(compared: DataFrame) -> DataFrame:

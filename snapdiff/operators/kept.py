@@ -1,7 +1,7 @@
 """Fingerprints of a snapshot, kept in buckets for the next day's comparison.
 
 A kept table holds one row per different record: its 16-byte fingerprint, how often
-it occurs and whether it is bad. Two kept tables are joined bucket to bucket, so a
+it occurs, whether it is bad, the rules it breaks and its number of fields. Two kept tables are joined bucket to bucket, so a
 comparison shuffles nothing, and reads no text of the snapshot that was kept before.
 """
 
@@ -12,16 +12,16 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import path_exists
-from .delta import keyed, op_of
+from .delta import JUDGED, keyed, op_of
 from .validation import Quality
 
-SCHEMA = "key binary, rows bigint, is_bad boolean"
+SCHEMA = "key binary, rows bigint, is_bad boolean, failed array<string>, n_fields int"
 
 
 def fingerprints(df: DataFrame, quality: Quality, delimiter: str) -> DataFrame:
-    """`key, rows, is_bad` of every different record; copies collapse in the task that reads them."""
-    return keyed(quality.mark(df.select("record"), delimiter), F.col("is_bad")).groupBy("key").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("is_bad").alias("is_bad"))
+    """`key, rows` and what its text says of every different record; copies collapse in the task that reads them."""
+    return keyed(quality.profile(df.select("record"), delimiter), *map(F.col, JUDGED)).groupBy("key").agg(
+        F.count(F.lit(1)).alias("rows"), *[F.max(c).alias(c) for c in JUDGED])
 
 
 def _table(path: str) -> str:
@@ -48,10 +48,10 @@ def kept(spark: SparkSession, path: str, buckets: int) -> DataFrame | None:
 
 
 def compare_kept(previous: DataFrame, current: DataFrame) -> DataFrame:
-    """The comparison of two kept tables: (key, previous_rows, current_rows, is_bad, op)."""
-    p = previous.select("key", F.col("rows").alias("previous_rows"), F.col("is_bad").alias("was_bad"))
-    c = current.select("key", F.col("rows").alias("current_rows"), "is_bad")
+    """The comparison of two kept tables: (key, previous_rows, current_rows, is_bad, failed, n_fields, op)."""
+    p = previous.select("key", F.col("rows").alias("previous_rows"), *[F.col(j).alias(f"_{j}") for j in JUDGED])
+    c = current.select("key", F.col("rows").alias("current_rows"), *JUDGED)
     none = F.lit(0).cast("bigint")
     return p.join(c, "key", "full").select(
         "key", F.coalesce("previous_rows", none).alias("previous_rows"), F.coalesce("current_rows", none).alias("current_rows"),
-        F.coalesce("is_bad", "was_bad").alias("is_bad")).withColumn("op", op_of())
+        *[F.coalesce(j, f"_{j}").alias(j) for j in JUDGED]).withColumn("op", op_of())

@@ -96,6 +96,17 @@ class Quality:
             return with_fields(df, delimiter).withColumn("is_bad", self.is_bad()).drop("fields")
         return df.withColumn("is_bad", self.is_bad())
 
+    def rule_ids(self) -> list[str]:
+        """Names of the rules, each once."""
+        return list(dict.fromkeys(["record_regex"] if self.record_regex is not None else [r.rule_id for r in self.rules]))
+
+    def profile(self, df: DataFrame, delimiter: str) -> DataFrame:
+        """As `mark`, with `n_fields` and, for bad records, `failed`: the rules they break."""
+        size = F.length("record") - F.length(F.replace(F.col("record"), F.lit(delimiter), F.lit(""))) + 1
+        marked = (with_fields(df, delimiter) if self.rules else df).withColumn("is_bad", self.is_bad())
+        marked = marked.withColumn("failed", F.when(F.col("is_bad"), F.array_distinct(self.failed_rules()))).withColumn("n_fields", size)
+        return marked.drop("fields")
+
     def explain_bad(self, df: DataFrame, delimiter: str) -> DataFrame:
         """Add `failed_rules`."""
         return with_fields(df, delimiter).withColumn("failed_rules", self.failed_rules()).drop("fields")

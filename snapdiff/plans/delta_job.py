@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -31,7 +32,7 @@ class DeltaResult:
     inserts: DataFrame  # the rows of one op
     deletes: DataFrame
     bad: DataFrame      # untouched records: record, hash, bad
-    audit: DataFrame    # one row
+    audit: DataFrame    # one row: counts, and the profile of both snapshots
 
 
 def results(changed: DataFrame, counts: DataFrame, spec: FeedSpec, run_ts: str) -> DeltaResult:
@@ -62,7 +63,7 @@ def results(changed: DataFrame, counts: DataFrame, spec: FeedSpec, run_ts: str)
 def delta_of(previous: DataFrame, current: DataFrame, spec: FeedSpec, run_ts: str | None = None) -> DeltaResult:
     """The delta between two record frames; rules must already be in the spec."""
     compared = compared_by(spec, previous, current)
-    return results(changed_by(spec, compared, previous, current), au.audit_counts(compared), spec, run_ts or run_timestamp())
+    return results(changed_by(spec, compared, previous, current), au.audit_counts(compared, Quality.of(spec)), spec, run_ts or run_timestamp())
 
 
 def compared_by(spec: FeedSpec, previous: DataFrame, current: DataFrame) -> DataFrame:
@@ -125,8 +126,8 @@ def compared_with_kept(spark: SparkSession, spec: FeedSpec, previous: DataFrame,
     return kp.compare_kept(fingerprints(previous, spec.previous_path, False), here)
 
 
-def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) -> dict[str, int]:
-    """Write the changed rows below `path`, one folder per op, and return the counts.
+def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) -> dict[str, Any]:
+    """Write the changed rows below `path`, one folder per op, and return the counts and the profile.
 
     Compared by record, this one job is the only pass over the snapshots. The
     counts are observed in its last stage, whose tasks each count once however
@@ -137,7 +138,7 @@ def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) ->
     seen, spark = Observation(), previous.sparkSession
     keeping = spec.comparison == "fingerprint" and spec.kept_path
     compared = compared_with_kept(spark, spec, previous, current) if keeping else compared_by(spec, previous, current)
-    observed = compared.observe(seen, *au.count_columns())
+    observed = compared.observe(seen, *au.count_columns(), *au.profile_columns(Quality.of(spec)))
     if spec.comparison == "fingerprint":
         wanted = dl.wanted_of(observed)
         wanted.write.parquet(f"{path}/wanted")
@@ -188,9 +189,11 @@ def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None, run_
             line = au.audit_line(result.audit)
             sink.put_audit(line, out.audit_path, run_key) if run_key else sink.append_audit(line, out.audit_path)
             written.add("audit")
-        counts = {**counts, "changed": counts["inserted"] + counts["deleted"], "format_failures": sum(f.get["rows"] for f in failures)}
+        found = {name: counts[name] for name in au.COUNTS}
+        found |= {"changed": counts["inserted"] + counts["deleted"], "format_failures": sum(f.get["rows"] for f in failures)}
         if version:
-            pb.publish(spark, feed, version, run_ts, counts, written)
+            profile = {name: counts[name] for name in (*au.FIELDS, "rule_failures")}
+            pb.publish(spark, feed, version, run_ts, found, profile, written)
     finally:
         remove_path(spark, staged)
-    return counts
+    return found

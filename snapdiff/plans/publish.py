@@ -11,6 +11,7 @@ import json
 import re
 import uuid
 from dataclasses import asdict, dataclass, field, replace
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,7 @@ class Manifest:
     current_path: str
     outputs: dict[str, str] = field(default_factory=dict)
     counts: dict[str, int] = field(default_factory=dict)
+    profile: dict[str, Any] = field(default_factory=dict)  # numbers of fields by snapshot, failures by rule
 
 
 def _number(version: str) -> int:
@@ -70,10 +72,11 @@ def versioned(spec: FeedSpec, version: str) -> FeedSpec:
     return replace(spec, **{f"{name}_path": f"{path.rstrip('/')}/{version}" for name, path in _paths(spec).items()})
 
 
-def publish(spark: SparkSession, spec: FeedSpec, version: str, run_ts: str, counts: dict[str, int], written: set[str]) -> Manifest:
+def publish(spark: SparkSession, spec: FeedSpec, version: str, run_ts: str, counts: dict[str, int], profile: dict[str, Any],
+            written: set[str]) -> Manifest:
     """Put the manifest in place, then drop all versions but the last `keep_versions`."""
     outputs = {name: path for name, path in _paths(versioned(spec, version)).items() if name in written}
-    manifest = Manifest(version, spec.feed, run_ts, spec.current_path, outputs, counts)
+    manifest = Manifest(version, spec.feed, run_ts, spec.current_path, outputs, counts, profile)
     publish_bytes(spark, f"{spec.manifest_path.rstrip('/')}/{version}.json", json.dumps(asdict(manifest), indent=1).encode())
     _prune(spark, spec)
     return manifest

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..model import FeedSpec
 from ..operators import audit, delta, kept, records
 from ..operators.validation import Quality, quarantine, tag
 from ..plans.delta_job import delta_of
@@ -114,6 +115,25 @@ def audit_counts(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_counts(delta.compare(previous, current, PRICES, "|"))
 
 
+FAULTS = Quality.of(FeedSpec(validate=True, validations_json=(
+    '{"validates":[{"validation_type":"record","column_count":6},{"validation_type":"field","column_index":1,"data_type":"integer"},'
+    '{"validation_type":"field","column_index":3,"data_type":"decimal"},{"validation_type":"field","column_index":5,"data_type":"string","length":20}]}')))
+
+
+@query(f"""with {fx.SQL_FAULTY}, {fx.SQL_PAIR}, now as (select distinct record, f from faulty_fields)
+select cast((select min(len(string_split(record, '|'))) from prev) as integer) as least_fields_previous,
+  cast((select max(len(string_split(record, '|'))) from prev) as integer) as most_fields_previous,
+  cast((select min(len(f)) from now) as integer) as least_fields_current, cast((select max(len(f)) from now) as integer) as most_fields_current,
+  (select count(*) from now where len(f) <> 6) as arity, (select count(*) from now where f[2] = 'x1') as customer,
+  (select count(*) from now where f[4] = 'n/a') as price, (select count(*) from now where length(f[6]) > 20) as priority""")
+def audit_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot with faults after one without: fields of both, and failures by rule, from the pass that counts."""
+    compared = delta.compare(fx.order_pair(spark, sf)[0], fx.faulty_orders(spark, sf), FAULTS, "|")
+    found = audit.audit_counts(compared, FAULTS)
+    failures = {"arity": "record", "customer": "1:integer", "price": "3:decimal", "priority": "5:string"}
+    return found.select(*audit.FIELDS, *[F.col("rule_failures")[rule].alias(name) for name, rule in failures.items()])
+
+
 @query(f"with {fx.SQL_PRICED} select count(*) as bad from judged where is_bad")
 def bad_count(spark: SparkSession, sf: str) -> DataFrame:
     return quarantine(records.distinct_records(fx.priced_orders(spark, sf)), PRICES, "|").agg(F.count("*").alias("bad"))
