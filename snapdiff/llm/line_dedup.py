@@ -299,9 +299,9 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, ranked: int =
     sets = staged(lines.groupBy(*SET).agg(F.min(place).alias("at"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"))
                   .select(*SET, "at.*", "size", "prefix"), "sets")
     later = staged(similar_sets(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST))), sets, similarity).distinct(), "later")
-    first = sets.select(*SET, F.col("doc_id").alias("_id"), F.col("line").alias("_line"))
+    first = sets.select(*SET, F.col("doc_id").alias("_id"), F.col("line").alias("_line"), F.col("text_key").alias("_text"))
     first = first.join(later.withColumn("_later", F.lit(True)), SET, "left")
-    again = ~(F.coalesce("doc_id", F.lit(_LAST)).eqNullSafe(F.col("_id")) & (F.col("line") == F.col("_line")))
+    again = ~(F.coalesce("doc_id", F.lit(_LAST)).eqNullSafe(F.col("_id")) & (F.col("line") == F.col("_line")) & (F.col("text_key") == F.col("_text")))
     gone = lines.drop("prefix").join(first, SET).where(again | F.col("_later").isNotNull())
     return gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines"))
 
@@ -313,17 +313,20 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, ranked: int = R
     """`docs` with `text` freed of lines that match an earlier line, and `n_removed`.
 
     Lines are cut at \\n; their tokens are distinct words, A-Z in lower case.
-    Lines are ordered by doc_id (null last), then by number. A line goes if any
-    earlier line, kept or not, has a Jaccard similarity of `similarity` or more.
+    Lines are ordered by doc_id (null last), then by number, then by their text's hash. A line
+    goes if any earlier line, kept or not, has a Jaccard similarity of `similarity` or more.
     Blank lines stay. Null texts stay null. Rows equal in doc_id and text are one
-    document and keep the same lines; so do equal lines of one number in rows that
-    share a doc_id. Other columns stay, and existing `n_removed` is replaced.
+    document and keep the same lines; different texts that share a doc_id, or have none, are
+    different documents. Other columns stay, and existing `n_removed` is replaced.
     """
     gone = staged(removed_lines(docs, similarity, ranked), "removed").toDF("_id", "_text", "_gone")
-    own = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in ("text", "n_removed")]
-    joined = docs.join(small(gone), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).eqNullSafe(F.col("_text"))
-                       & docs["doc_id"].eqNullSafe(F.col("_id")), "left")
-    kept = let(F.split(docs["text"], "\n"), lambda x: F.array_join(F.transform(
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    text = F.col("_row.text")
+    joined = rows.join(small(gone), F.xxhash64(F.coalesce(text, F.lit(""))).eqNullSafe(F.col("_text"))
+                       & F.col("_row.doc_id").eqNullSafe(F.col("_id")), "left")
+    kept = let(F.split(text, "\n"), lambda x: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("_gone")), lambda i: F.get(x, i)), "\n"))
-    return joined.select(*own, F.when(F.col("_gone").isNull(), docs["text"]).otherwise(kept).alias("text"),
-                         F.coalesce(F.size("_gone"), F.lit(0)).cast("int").alias("n_removed"))
+    freed = joined.select("_row", F.when(F.col("_gone").isNull(), text).otherwise(kept).alias("_kept"),
+                          F.coalesce(F.size("_gone"), F.lit(0)).cast("int").alias("_n"))
+    own = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c.lower() not in ("text", "n_removed")]
+    return freed.toDF("_row", "_kept", "_n").select(*own, F.col("_kept").alias("text"), F.col("_n").alias("n_removed"))

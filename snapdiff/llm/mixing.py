@@ -83,8 +83,9 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
     size = docs.select("source", word_count(docs["text"]).alias("size"))
     rates = staged(targets(size.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
                    .toDF("_source", "_source_size", "_target"), "mix-rates")
-    joined = docs.join(small(rates), docs["source"].eqNullSafe(F.col("_source")))
-    identity = F.coalesce(docs["doc_id"].cast("string"), F.lit("null"))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    joined = rows.join(small(rates), F.col("_row.source").eqNullSafe(F.col("_source")))
+    identity = F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null"))
     n = copies(F.col("_target"), F.col("_source_size"), identity, seed).cast("int")
     repeated = joined.withColumn("_copy", F.explode(F.when(n > 0, F.sequence(F.lit(1), n))))
-    return repeated.select(*[repeated[f"`{c}`"] for c in docs.columns])
+    return repeated.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

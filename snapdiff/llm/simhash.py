@@ -128,16 +128,16 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of `docs`, all columns, of every component: the smallest doc_id, else a row without one.
 
-    Rows of a component with equal doc_id are told apart by their text. Components
-    whose first rows have one doc_id count as one document; those without doc_id do not.
+    Rows of a component with equal doc_id are told apart by their text. Every component
+    keeps a row, also if its first row shares its doc_id with that of another.
     """
     marked = staged(_labelled(docs, shingle, radius), "components")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")))
     firsts = marked.groupBy("root").agg(first.alias("_first")).select("_first._id", "_first._text")
-    firsts = firsts.groupBy("_id", F.when(F.col("_id").isNull(), F.col("_text"))).agg(F.min("_text").alias("_text")).select("_id", "_text")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text"))
     copies = marked.join(small(staged(firsts, "firsts")), same).groupBy("_id", "_text").agg((F.count(F.lit(1)) > 1).alias("_repeated"))
-    stay = docs.join(small(staged(copies, "stay")), docs["doc_id"].eqNullSafe(F.col("_id")) & (_text_key(docs) == F.col("_text")))
-    own = [stay[f"`{c}`"] for c in docs.columns]
-    return stay.where(~F.col("_repeated")).select(*own).union(
-        stay.where("_repeated").dropDuplicates(["_id", "_text"]).select(*own))
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs["doc_id"].alias("_doc"), _text_key(docs).alias("_key"))
+    stay = rows.join(small(staged(copies, "stay")), F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_text")))
+    once = stay.where(~F.col("_repeated")).select("_row").union(
+        stay.where("_repeated").dropDuplicates(["_id", "_text"]).select("_row"))
+    return once.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -214,7 +214,7 @@ def test_simhash(odd, empty):
     assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.fp % (1 << 64), r.component_id)) for r in rows)
     kept = simhash.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(dict(zip(groups, (c for _, _, c in want))).values())
     assert simhash.simhash_components(empty).count() == simhash.one_of_each(empty).count() == 0
 
 
@@ -225,6 +225,26 @@ def test_one_row_of_each_component_stays(spark):
     assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [rows[0], rows[1], rows[3], rows[5]]))
 
 
+def test_documents_that_share_an_id_are_different(spark):
+    """Three different texts, two with one id: all stay; of five without an id that begin alike, one keeps the line."""
+    texts = [" ".join(f"{w}{n}" for n in range(60)) for w in ("red", "blue", "green", "gold", "grey")]
+    shared = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[2])], "doc_id long, text string")
+    assert simhash.one_of_each(shared).count() == 3
+    heads = [(None, "the same header line of all\n" + t) for t in texts]
+    freed = line_dedup.dedup_lines(spark.createDataFrame(heads, "doc_id long, text string")).collect()
+    assert sorted(r.n_removed for r in freed) == [0, 1, 1, 1, 1]
+    assert sorted(r.text.split("\n")[-1] for r in freed) == sorted(texts)
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    names = ("_source", "_copy", "_id", "_text", "_gone", "_repeated", "_row", "_key", "_doc", "_target", "_kept", "_n")
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names)
+    docs = spark.createDataFrame([(i, PROSE + f"word{i}\nline of {i}", "a", *range(len(names))) for i in range(3)], schema)
+    for made in (mixing.mix_sources(docs), line_dedup.dedup_lines(docs).drop("n_removed"), simhash.one_of_each(docs)):
+        assert set(made.columns) == set(docs.columns)
+        assert all([r[n] for n in names] == list(range(len(names))) for r in made.collect())
+
+
 def test_simhash_links_by_blocks(spark):
     """Chains of fingerprints, and a dense group, in buckets far above the block size."""
     rng = np.random.default_rng(5)
@@ -259,19 +279,21 @@ def test_simhash_on_a_table(spark, sf_small):
 # line dedup ---------------------------------------------------------------------------------------------------
 
 def plain_dedup(docs, similarity=0.8):
-    """Kept lines of each document, in order of doc_id (null last)."""
-    seen, out = [], {}
-    for i, text in sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0)):
+    """Kept lines of each document; lines come by doc_id (null last), number and hash of the text."""
+    def order(doc_id, number, text):
+        return (doc_id is None, doc_id or 0, number, xxhash.xxh64_intdigest(text, 42) ^ 1 << 63)
+
+    out = {}
+    every = [(order(i, n, t), line_dedup.tokens(line)) for i, t in set(docs) if t is not None for n, line in enumerate(t.split("\n"))]
+    for i, text in set(docs):
         if text is None:
             out[i, text] = None
             continue
         kept = []
         for n, line in enumerate(text.split("\n")):
             own = line_dedup.tokens(line)
-            match = own and any(len(own & s) >= similarity * len(own | s) - 1e-9 and (j, m) != (i, n) for j, m, s in seen)
-            if own:
-                seen.append((i, n, own))
-            if not match:
+            place = order(i, n, text)
+            if not own or not any(at < place and len(own & s) >= similarity * len(own | s) - 1e-9 for at, s in every):
                 kept.append(line)
         out[i, text] = "\n".join(kept)
     return out
