@@ -28,16 +28,16 @@ _PARSE = {
     "p": r"((?i:am|pm))",
     "b": "((?i:" + "|".join(m[:3] for m in _MONTHS) + "))",
     "B": "((?i:" + "|".join(_MONTHS) + "))",
-    "a": "(?i:" + "|".join(d[:3] for d in _DAYS) + ")",
-    "A": "(?i:" + "|".join(_DAYS) + ")",
+    "a": "((?i:" + "|".join(d[:3] for d in _DAYS) + "))",
+    "A": "((?i:" + "|".join(_DAYS) + "))",
     "j": r"(36[0-6]|3[0-5]\d|[12]\d\d|0[1-9]\d|00[1-9]|[1-9]\d|0[1-9]|[1-9])",
-    "w": "[0-6]",
-    "U": r"(?:5[0-3]|[0-4]\d|\d)",
-    "W": r"(?:5[0-3]|[0-4]\d|\d)",
-    "z": r"(?:[+-]\d\d:?[0-5]\d(?::?[0-5]\d(?:\.\d{1,6})?)?|(?-i:Z))",
-    "%": "%",
+    "w": "([0-6])",
+    "U": r"(5[0-3]|[0-4]\d|\d)",
+    "W": r"(5[0-3]|[0-4]\d|\d)",
+    "z": (r"([+-](?:[01]\d|2[0-3])(?::[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?"
+          r"|[0-5]\d(?:[0-5]\d(?:\.\d{1,6})?)?)|(?-i:Z))"),
 }
-_SILENT = {"a", "A", "w", "U", "W", "z", "%"}  # matched, but carry no part of the date
+_WEEKDAYS, _WEEKS = ("w", "a", "A"), ("U", "W")
 # What the composed directives stand for.
 _COMPOSED = {"x": "%m/%d/%y", "X": "%H:%M:%S", "c": "%a %b %e %H:%M:%S %Y"}
 
@@ -76,13 +76,15 @@ def _pattern(expression: str, **override: str) -> tuple[str, dict[str, int]]:
             pattern.append("".join(r"\s+" if p.isspace() else re.escape(p) for p in parts if p))
             continue
         token = "d" if token == "e" else token
+        if token == "%":
+            pattern.append("%")
+            continue
         if token not in _PARSE:
             raise ConfigError(f"date directive %{token} is not supported: {expression!r}")
         if token in groups:
             raise ConfigError(f"date directive %{token} is repeated: {expression!r}")
         pattern.append(override.get(token, _PARSE[token]))
-        if token not in _SILENT:
-            groups[token] = len(groups) + 1
+        groups[token] = len(groups) + 1
     return "".join(pattern), groups
 
 
@@ -94,7 +96,8 @@ def parse_date(text: Column, expression: str) -> Column:
     branch, leaves every group empty and so fails the cast.
 
     Two-digit years: 69-99 are 19yy and the rest 20yy, except that `%m/%d/%y`
-    reads 50-68 as 19yy too.
+    reads 50-68 as 19yy too. A day of the year decides alone; a week and a weekday
+    decide against month and day; the last of several weeks or weekdays counts.
     """
     pattern, groups = _pattern(expression)
 
@@ -102,18 +105,18 @@ def parse_date(text: Column, expression: str) -> Column:
         return next((f"${groups[n]}" for n in names if n in groups), default)
 
     year = part("20" + part("", "y") if "y" in groups else "1900", "Y")
-    of_year = "j" in groups  # goes before a month or day
-    weekday = re.search("%[aAw]", expression) and re.search("%[UW]", expression)
-    if weekday and not groups.keys() & {"j", "m", "d", "b", "B"}:
-        raise ConfigError(f"a date from its week is not supported: {expression!r}")
-    month_day = "1-1" if of_year else f"{part('1', 'm', 'b', 'B')}-{part('1', 'd')}"
+    of_year = "j" in groups  # goes before a week, month or day
+    week = None if of_year else next((n for n in reversed(groups) if n in _WEEKS), None)
+    weekday = week and next((n for n in reversed(groups) if n in _WEEKDAYS), None)
+    shifted = of_year or weekday
+    month_day = "1-1" if shifted else f"{part('1', 'm', 'b', 'B')}-{part('1', 'd')}"
     template = (f"{year}-{month_day} "
                 f"{part('0', 'H', 'I')}:{part('0', 'M')}:{part('0', 'S')}.{part('0', 'f')}")
     clock12 = "I" in groups and "H" not in groups
     if clock12:
         template += f"|{part('am', 'p')}"
-    if of_year:
-        template += f"#{part('1', 'j')}"
+    if shifted:
+        template += f"#{part('1', 'j')}" if of_year else f"#${groups[weekday]}#${groups[week]}"
     iso = F.regexp_replace(text, rf"\A(?:{pattern})\z|\A(?s:.*)\z", template)
     if "y" in groups and "Y" not in groups:
         late = r"[5-9]\d" if expression == "%m/%d/%y" else r"69|[7-9]\d"
@@ -121,11 +124,14 @@ def parse_date(text: Column, expression: str) -> Column:
     if "m" not in groups and ("b" in groups or "B" in groups):
         iso = reduce(lambda acc, m: F.regexp_replace(acc, f"(?i)-{m[1][:3]}[a-z]*-", f"-{m[0]}-"),
                      enumerate(_MONTHS, 1), iso)
-    days = F.coalesce(F.substring_index(iso, "#", -1).try_cast("int"), F.lit(1)) - 1
-    iso = F.substring_index(iso, "#", 1) if of_year else iso
+    last = F.substring_index(iso, "#", -1).try_cast("int")  # day of the year, or week
+    named = F.substring_index(F.substring_index(iso, "#", 2), "#", -1)
+    iso = F.substring_index(iso, "#", 1) if shifted else iso
     moment = (F.substring_index(iso, "|", 1) if clock12 else iso).try_cast("timestamp_ntz")
-    if of_year:
+    if shifted:
+        days = F.coalesce(last, F.lit(1)) - 1 if of_year else _days_of_week(moment, named, last, week == "W")
         moment = moment + F.make_dt_interval(days)
+        moment = F.when(F.year(moment).between(1, 9999), moment)
     if clock12:
         half_day = F.expr("interval '12' hour")
         moment = F.when(F.hour(moment) == 12, moment - half_day).otherwise(moment)
@@ -133,6 +139,21 @@ def parse_date(text: Column, expression: str) -> Column:
     return moment
 
 
+def _days_of_week(new_year: Column, weekday: Column, week: Column, from_monday: bool) -> Column:
+    """Days from January 1 to a weekday (a digit from Sunday, or a name) of a week of the year.
+
+    Week 1 begins with the year's first Sunday or Monday; week 0 may begin in the year before.
+    """
+    names = "".join(d[:3] for d in _DAYS[-1:] + _DAYS[:-1])
+    day = F.when(weekday.rlike(r"\A\d\z"), weekday.try_cast("int")).otherwise(
+        F.floor((F.instr(F.lit(names), F.lower(F.substring(weekday, 1, 3))) - 1) / 3))
+    first = F.dayofweek(new_year) - 1
+    if from_monday:
+        day, first = F.pmod(day + 6, F.lit(7)), F.pmod(first + 6, F.lit(7))
+    whole = F.pmod(7 - first, F.lit(7)) + 7 * (week - 1) + day
+    return F.when(week == 0, day - first).otherwise(whole).cast("int")
+
+
 def _week(moment: Column, first: int) -> Column:
     """Week of the year, counted from its first Sunday (0) or Monday (1)."""
     weekday = F.pmod(F.dayofweek(moment) - 1 - first, F.lit(7))
@@ -149,15 +170,15 @@ _COMPUTED = {
 }
 
 
-def format_moment(moment: Column, expression: str) -> Column:
-    """A timestamp printed with a strftime expression."""
+def format_moment(moment: Column, expression: str, zone: Column | None = None) -> Column:
+    """A timestamp printed with a strftime expression; `zone` is what %z prints."""
     parts: list[Column] = []
     pattern = ""
     for is_directive, token in _tokens(expression):
         piece = ("%" + token) if is_directive else token.replace("%", "%%")
         if is_directive and token in _COMPUTED:
             parts += [F.date_format(moment, spark_date_pattern(pattern))] if pattern else []
-            parts.append(_COMPUTED[token](moment))
+            parts.append(zone if token == "z" and zone is not None else _COMPUTED[token](moment))
             pattern = ""
         else:
             pattern += piece
@@ -189,17 +210,30 @@ def spark_date_pattern(expression: str) -> str:
 def is_date(text: Column, expression: str) -> Column:
     """True when the text parses with the expression.
 
-    Every month has 28 days, so up to there the pattern alone decides.
+    Every month has 28 days, so up to there the pattern alone decides, unless the
+    day is counted from the start of the year.
     """
-    early, _ = _pattern(expression, d=r"(?: (?=[1-9](?:\D|\z)))?(2[0-8]|1\d|0?[1-9])")
-    return text.rlike(rf"\A(?:{early})\z") | parse_date(text, expression).isNotNull()
+    early, groups = _pattern(expression, d=r"(?: (?=[1-9](?:\D|\z)))?(2[0-8]|1\d|0?[1-9])")
+    read = parse_date(text, expression).isNotNull()
+    counted = "j" in groups or (groups.keys() & set(_WEEKS) and groups.keys() & set(_WEEKDAYS))
+    return read if counted else text.rlike(rf"\A(?:{early})\z") | read
+
+
+def _zone_text(text: Column, expression: str) -> Column | None:
+    """The zone that %z of the expression reads, as strftime prints it; None without %z."""
+    pattern, groups = _pattern(expression)
+    if "z" not in groups:
+        return None
+    read = F.nullif(F.regexp_replace(text, rf"\A(?:{pattern})\z|\A(?s:.*)\z", f"${groups['z']}"), F.lit(""))
+    plain = F.regexp_replace(F.regexp_replace(read, r"\AZ\z", "+0000"), ":", "")
+    padded = F.when(plain.contains("."), F.rpad(plain, 14, "0")).otherwise(plain)
+    short = F.regexp_replace(F.regexp_replace(padded, r"\.0+\z", ""), r"\A(.\d{4})00\z", "$1")
+    return F.when(short == "-0000", "+0000").otherwise(short)
 
 
 def reformat_date(text: Column, in_expression: str, out_expression: str) -> Column:
-    """Date text from one expression to another; null if the text does not parse."""
-    if "%z" in in_expression and "%z" in out_expression:
-        raise ConfigError(f"a zone read with %z cannot be printed: {out_expression!r}")
-    return format_moment(parse_date(text, in_expression), out_expression)
+    """Date text from one expression to another, with its zone; null if the text does not parse."""
+    return format_moment(parse_date(text, in_expression), out_expression, _zone_text(text, in_expression))
 
 
 RUN_TIMESTAMP = "%Y-%m-%d %H:%M:%S"

@@ -35,6 +35,14 @@ def _checked(expression: str) -> re.Pattern[str]:
         raise ConfigError(f"invalid regular expression {expression!r}: {err}") from err
 
 
+def can_be_empty(expression: str) -> bool:
+    """Whether a match of the expression may hold no character."""
+    _checked(expression)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore", FutureWarning)
+        return re._parser.parse(expression).getwidth()[0] == 0
+
+
 def java_regex(expression: str) -> str:
     """`expression` for `rlike`, `regexp_replace` and friends.
 

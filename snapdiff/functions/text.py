@@ -6,10 +6,11 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from ..model import DEFAULT_DELIMITER, DELIMITERS, Replacement
-from .patterns import WHITESPACE, WS_CLASS, java_regex, java_replacement
+from .patterns import WHITESPACE, WS_CLASS, can_be_empty, java_regex, java_replacement
 
 _NON_ASCII = r"[^\x00-\x7F]"
 
@@ -92,15 +93,36 @@ def delimiter_of(keyword: Column) -> Column:
     return pick.otherwise(DEFAULT_DELIMITER)
 
 
+def _by_python(text: Column, expression: str, replacement: str | None) -> Column:
+    """Replace or join the matches of a pattern that can match empty text, in Arrow batches.
+
+    Java goes on one character after an empty match; Python first looks for a longer match
+    at the same place. No built-in function starts a search at a place with the text before it in view.
+    """
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        found = re.compile(expression, re.ASCII)
+        if replacement is not None:
+            return texts.map(lambda t: found.sub(replacement, t), na_action="ignore")
+        return texts.map(lambda t: "".join(m.group() for m in found.finditer(t)), na_action="ignore")
+
+    return run(text)
+
+
 def regex_replace(text: Column, expression: str, replacement: str) -> Column:
     """Replace every match after dropping trailing white space."""
-    return F.regexp_replace(rstrip(text), F.lit(java_regex(expression)),
-                            F.lit(java_replacement(replacement, expression)))
+    translated, template = java_regex(expression), java_replacement(replacement, expression)
+    if can_be_empty(expression):
+        return _by_python(rstrip(text), expression, replacement)
+    return F.regexp_replace(rstrip(text), F.lit(translated), F.lit(template))
 
 
 def regex_extract(text: Column, expression: str) -> Column:
     """All matches, joined without a separator."""
-    return F.array_join(F.regexp_extract_all(text, F.lit(java_regex(expression)), F.lit(0)), "")
+    translated = java_regex(expression)
+    if can_be_empty(expression):
+        return _by_python(text, expression, None)
+    return F.array_join(F.regexp_extract_all(text, F.lit(translated), F.lit(0)), "")
 
 
 def regex_search(text: Column, expression: str) -> Column:

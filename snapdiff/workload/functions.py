@@ -230,6 +230,32 @@ def format_day_of_year(spark, sf):
         "shown", dt.reformat_date(F.col("text"), "%Y%j", "%a %U %d.%m.%Y %W %j"))
 
 
+@query("""select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as from_sunday, strftime(o_orderdate, '%d.%m.%Y') as from_monday
+from orders""")
+def format_week_date(spark, sf):
+    """Dates given by year, week and weekday only."""
+    day = F.col("o_orderdate")
+    sunday = dt.format_moment(day, "%Y %U %w")
+    monday = dt.format_moment(day, "%a, %W of %Y")
+    return _orders(spark, sf, from_sunday=dt.reformat_date(sunday, "%Y %U %w", "%Y-%m-%d"),
+                   from_monday=dt.reformat_date(monday, "%a, %W of %Y", "%d.%m.%Y"))
+
+
+@query("""select o_orderkey, strftime(o_orderdate, '%d.%m.%Y') || ' 10:30 '
+  || case when o_orderkey % 3 = 0 then '+0000' when o_orderkey % 3 = 1 then '+0530' else '-093015' end as moment from orders""")
+def format_zone(spark, sf):
+    zone = F.when(F.col("o_orderkey") % 3 == 0, "Z").when(F.col("o_orderkey") % 3 == 1, "+05:30").otherwise("-09:30:15")
+    text = F.concat_ws(" ", dt.format_moment(F.col("o_orderdate"), "%Y-%m-%d"), F.lit("10:30"), zone)
+    return _orders(spark, sf, moment=dt.reformat_date(text, "%Y-%m-%d %H:%M %z", "%d.%m.%Y %H:%M %z"))
+
+
+@query(r"""select doc_id, regexp_replace(regexp_replace(regexp_replace(text, '\s+$', ''), '([^0-9])', '#\1', 'g'), '[0-9]', '##', 'g')
+  || '#' as text from documents""")
+def regex_replace_empty(spark, sf):
+    """A pattern that matches empty text at every place, and then a digit there."""
+    return fx.table(spark, sf, "documents").select("doc_id", tx.regex_replace(F.col("text"), r"|[0-9]", "#").alias("text"))
+
+
 @query("""select o_orderkey, not (o_orderkey % 7 = 0) as ok from orders""")
 def validate_day_of_year(spark, sf):
     """Every seventh date has a day past the end of any year."""

@@ -117,8 +117,33 @@ def test_directives_as_python_prints_them(spark, expression):
     assert [r[0] for r in rows] == [m.strftime(expression) for m in MOMENTS]
 
 
-def test_unreadable_combinations():
-    with pytest.raises(ConfigError, match="week"):
-        dt.parse_date(F.lit(""), "%Y %U %a")
-    with pytest.raises(ConfigError, match="zone"):
-        dt.reformat_date(F.lit(""), "%Y %z", "%z")
+def _strptime(text, expression):
+    try:
+        return datetime.strptime(text, expression)
+    except ValueError:
+        return None
+
+
+@pytest.mark.parametrize("expression", [
+    "%Y %U %w", "%Y %W %a", "%A %U %y", "%Y-%m-%d %U %a", "%W %w %U %a %Y", "%I%p %Y %W %A", "%Y%j %U %w", "%%a %%U %Y", "%Y %U"])
+def test_weeks_and_weekdays_as_python_reads_them(spark, expression):
+    days = [date(y, 1, 1) + timedelta(days=n) for y in (1, 1900, 2000, 2015, 2017, 2018, 2024, 9999) for n in (0, 1, 5, 6, 7, 58, 59, 200, 358, 364)]
+    texts = [datetime(d.year, d.month, d.day, 13).strftime(expression.replace("%Y", f"{d.year:04}")) for d in days]
+    texts += ["2018 00 0", "2018 0 6", "2018 53 6", "2018 54 1", "0001 00 0", "9999 53 6", "2018 1 Mon", "2018 12 fri", "2018-02-30 10 Tue", "x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(
+        dt.parse_date(F.col("t"), expression), dt.is_date(F.col("t"), expression)).collect()
+    want = [_strptime(t, expression) for t in texts]
+    assert [tuple(r) for r in rows] == [(w, w is not None) for w in want]
+
+
+ZONES = ["+0000", "-0000", "Z", "+0130", "-01:30", "+23:59:59", "-235959.5", "+01:00:00.000100", "+0000:30", "+01:0030",
+         "+2400", "-99:00", "+00:00:00.0", "-00:00:01", "z", "", "+010000"]
+
+
+@pytest.mark.parametrize("wanted", ["%z", "%d%z|%%z", "%H:%M"])
+def test_zones_are_printed_as_python_does(spark, wanted):
+    texts = [f"2018-09-03 15:04 {z}" for z in ZONES]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(
+        dt.reformat_date(F.col("t"), "%Y-%m-%d %H:%M %z", wanted)).collect()
+    want = [_strptime(t, "%Y-%m-%d %H:%M %z") for t in texts]
+    assert [r[0] for r in rows] == [w and w.strftime(wanted) for w in want]

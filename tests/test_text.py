@@ -1,6 +1,9 @@
 import hashlib
+import re
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from snapdiff.functions import text as tx
@@ -144,3 +147,24 @@ def test_replacement_groups():
 
 def test_regex_extract(values):
     assert values(lambda c: tx.regex_extract(c, r"\d+"), "a1b22c", "none", "") == ["122", "", ""]
+
+
+@pytest.mark.parametrize("expression", ["x*", "x*?", "|x", "x|", r"\b", "(?=x)|a+", "(a)|(x*)", "x??b?", r"(?m)^|$", r"\s*", "()"])
+def test_matches_of_empty_text(spark, expression):
+    texts = ["", "x", "abxd", "xx", "xxaxx", "a b", "baax\nx", "é x", "  x  "]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(
+        tx.regex_replace(F.col("t"), expression, r"<\g<0>>"), tx.regex_extract(F.col("t"), expression)).collect()
+    assert [tuple(r) for r in rows] == [
+        (re.sub(expression, r"<\g<0>>", t.rstrip(), flags=re.ASCII), "".join(m.group() for m in re.finditer(expression, t, re.ASCII)))
+        for t in texts]
+    assert spark.range(1).select(tx.regex_replace(F.lit(None).cast("string"), expression, "")).first()[0] is None
+
+
+@given(st.lists(st.sampled_from(["x", "a", "x*", "x?", "x*?", "x??", "a+", "|", r"\b", "(?=a)", "[ax]"]), min_size=1, max_size=5),
+       st.lists(st.text("xab ", max_size=8), min_size=1, max_size=5))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+def test_replacement_is_that_of_python(spark, parts, texts):
+    expression = "".join(parts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(
+        tx.regex_replace(F.col("t"), expression, "-")).collect()
+    assert [r[0] for r in rows] == [re.sub(expression, "-", t.rstrip()) for t in texts]
