@@ -155,16 +155,27 @@ def disclosing_terms(docs: DataFrame, matches: DataFrame, support: int = SUPPORT
     wide = staged(windows.where(F.col("n") >= support).select("entity", "term"), "supported")
     together = (pairs.select("entity", "term", "text_key").distinct().join(small(wide), ["entity", "term"])
                 .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")))
-    wanted = staged(wide.select("term").distinct(), "terms")
-    text = F.coalesce("text", F.lit(""))
-    spoken = docs.select(F.xxhash64(text).alias("text_key"), F.explode(F.array_distinct(
-        F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))).alias("term"))
-    n_t = spoken.join(small(wanted), "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    near = pairs.select("term", "text_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
     n_e = staged(context.select("entity", "text_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")), "entities")
-    total = float(docs.select(F.xxhash64(text).alias("text_key")).distinct().count())
-    pmi = F.log2(F.col("n_et") * total / (F.col("n_e") * F.col("n_t")))
-    return (together.join(small(n_e), "entity").join(n_t, "term").where(F.col("n_e") < total)
-            .select("entity", "term", (pmi / F.log2(total / F.col("n_e"))).alias("share")).where(F.col("share") >= disclosure))
+    text = F.coalesce("text", F.lit(""))
+    copies = docs.select(F.xxhash64(text).alias("_text")).groupBy("_text").agg(F.count(F.lit(1)).alias("_copies"))
+    copies = staged(copies, "copies")
+    total = float(copies.count())
+
+    def share(n_t: str) -> Column:
+        return F.log2(F.col("n_et") * total / (F.col("n_e") * F.col(n_t))) / F.log2(total / F.col("n_e"))
+
+    # A term stands in at least the texts where it is near any entity, so its share is at most that of n_near.
+    possible = together.join(small(n_e), "entity").where(F.col("n_e") < total).join(near, "term").where(share("n_near") >= disclosure)
+    possible = staged(possible.select("entity", "term", "n_e", "n_et"), "possible")
+    wanted = staged(possible.select("term").distinct(), "terms")
+    spoken = docs.select(text.alias("text")).join(small(staged(copies.where("_copies > 1"), "repeated")), F.xxhash64("text") == F.col("_text"), "left")
+    spoken = spoken.select(F.coalesce("_copies", F.lit(1)).alias("_copies"), F.explode(F.array_distinct(
+        F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term")).join(small(wanted), "term")
+    # A text with c copies gives a term c rows, so every class of c divides evenly and no text has to be told apart.
+    n_t = (spoken.groupBy("term", "_copies").agg(F.count(F.lit(1)).alias("_n"))
+           .groupBy("term").agg(F.sum(F.expr("_n div _copies")).alias("n_t")))
+    return possible.join(n_t, "term").select("entity", "term", share("n_t").alias("share")).where(F.col("share") >= disclosure)
 
 
 def find_personal(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
