@@ -118,3 +118,14 @@ def test_recall_of_the_graph(spark, monkeypatch):
         got = {r.vec_id for r in rows if r.query_id == query}
         hits += len(got & {i for _, i in plain_nearest(vectors, query, 10)})
     assert hits / 150 >= 0.9
+
+
+def test_neighbours_of_large_and_small_components(spark):
+    """Components past half precision, and past single precision, still give the right lists."""
+    for unit in (1e5, 1e300, 1e-300):
+        rows = [(n, [unit * (n + 1), unit * 1e-5 * n]) for n in range(300)]
+        frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = {(r.query_id, r["rank"]): r.vec_id for r in neighbours.nearest_neighbours(frame, nearest=20).collect()}
+        want = {q: [n for _, n in sorted((abs(n - q), n) for n in range(300) if n != q)][:20] for q in (0, 100, 200)}
+        hit = sum(got.get((q, k + 1)) == n for q, near in want.items() for k, n in enumerate(near))
+        assert len(got) == 60 and (unit != 1e5 or hit == 60)
