@@ -204,40 +204,56 @@ def candidates_in(c: dict[str, np.ndarray], group: np.ndarray, similarity: float
 
 
 def _search(postings: DataFrame, similarity: float, limit: int) -> DataFrame:
-    """Candidate pairs of sets that share a prefix token: the earlier, the later, and `more`."""
+    """Candidate pairs of sets that share a prefix token: the earlier, the later, and `token, size` where the later has more.
+
+    `size` is the later set's; both are null where its candidates of this token are all here.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("token", "lo", "hi")):
+        for table in whole_groups(batches, ("token", "pair")):
             c = {n: table[n].to_numpy() for n in table.column_names}
-            group = np.cumsum(np.r_[False, np.any([c[k][1:] != c[k][:-1] for k in ("token", "lo", "hi")], axis=0)])
+            group = np.cumsum(np.r_[False, (c["token"][1:] != c["token"][:-1]) | (c["pair"][1:] != c["pair"][:-1])])
             by = np.lexsort((c["key"], c["line"], c["doc_id"], group))
             c = {n: x[by] for n, x in c.items()}
-            c["size"], c["place"] = c["size"].astype(np.int64), c["place"].astype(np.int64)
+            shape = c.pop("shape")
+            c |= {"open": shape < 0, "place": shape >> _SIZE & _PLACE, "size": shape & ((1 << _SIZE) - 1)}
             plain = {n: c[n] for n in SET}
             c |= {f: c[f].view(np.uint64) for f in ("flip1", "flip2")}
             first, second, more = candidates_in(c, group[by], similarity, limit)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(plain[n][i]) for i in (first, second) for n in SET] + [pa.array(more)], [*_A, *_B, "more"])
+                [pa.array(plain[n][i]) for i in (first, second) for n in SET]
+                + [pa.array(c[n][second], mask=~more) for n in ("token", "size")], [*_A, *_B, "token", "size"])
 
-    return postings.mapInArrow(run, ", ".join(f"{n} long" for n in (*_A, *_B)) + ", more boolean")
+    return postings.mapInArrow(run, ", ".join(f"{n} long" for n in (*_A, *_B)) + ", token int, size long")
 
 
 _SMALL = 64
 _PAIRS = 1 << 21
 _A, _B = [f"{n}_a" for n in SET], [f"{n}_b" for n in SET]
+_SIZE = 32                # bits of a posting's `shape` that hold its set's size; its place lies above, its sign says open
+_PLACE = (1 << 31) - 1
 
 
-def _postings(sets: DataFrame, some: DataFrame | None) -> DataFrame:
+def _postings(sets: DataFrame, some: DataFrame | None, similarity: float) -> DataFrame:
     """A row per set and prefix token; tokens of many sets are dealt into pairs of blocks.
 
-    With `some`, only its tokens are looked at.
+    With `some` (`token, least, most`), only its tokens are looked at, and of these only
+    sets whose size lets them match one that still looks.
     """
+    if some is not None:
+        least, most = some.agg(F.min("least"), F.max("most")).first()
+        sets = sets.where(F.col("size").between(least, most))
+    shape = F.shiftleft(F.col("place").cast("long"), _SIZE).bitwiseOR(F.col("size").cast("long"))
+    shape = F.when(F.col("open"), shape.bitwiseOR(F.lit(-1 << 63))).otherwise(shape).alias("shape")
     rows = sets.select(*SET, "doc_id", "line", "size", "open", F.posexplode("prefix").alias("place", "token"))
     if some is not None:
-        rows = rows.join(small(some), "token")
+        of = small(some.withColumnRenamed("token", "_token"))
+        rows = rows.join(of, (F.col("token") == F.col("_token")) & F.col("size").between(F.col("least"), F.col("most")))
     held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
     hot = staged(held.where(F.col("_n") > BLOCK_LINES).select("token", F.ceil(F.col("_n") / BLOCK_LINES).cast("int").alias("_b")), "hot-tokens")
-    dealt = rows.join(small(hot), "token", "left").select("token", *SET, "doc_id", "line", "size", "open", "place", F.inline(block_pairs("key")))
-    return dealt.repartition("token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+    dealt = rows.join(small(hot), "token", "left").select("token", *SET, "doc_id", "line", shape, F.inline(block_pairs("key")))
+    pair = F.shiftleft(F.col("lo").cast("long"), 32).bitwiseOR(F.col("hi").cast("long")).alias("pair")
+    return (dealt.select("token", pair, *SET, "doc_id", "line", "shape").repartition("token", "pair")
+            .sortWithinPartitions("token", "pair"))
 
 
 def _tokens_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -269,40 +285,50 @@ def similar_sets(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARIT
 
     Each set first meets its earliest candidates only, so a group of near copies
     gives links to its first members and not all its pairs. A set whose candidates
-    fail comes again with more of them, in the end with all.
+    fail comes again with more of them, in the end with all, but only among the
+    tokens where it had more.
     """
     found, some, pending = None, None, sets.withColumn("open", F.lit(True))
+    more = F.struct("token", "size")
     for limit in (2, 32, 1 << 62):
-        pairs = staged(_search(_postings(pending, some), similarity, limit).groupBy(*_A, *_B).agg(F.max("more").alias("more")), "pairs")
+        pairs = staged(_search(_postings(pending, some, similarity), similarity, limit).groupBy(*_A, *_B).agg(
+            F.collect_set(F.when(F.col("token").isNotNull(), more)).alias("more")), "pairs")
         ends = pairs.select(*[F.col(n).alias(k) for n, k in zip(_A, SET)]).union(pairs.select(*_B)).distinct()
         needed = staged(sets.join(small(staged(ends, "ends")), SET).select(*SET, "doc_id", "text_key", "line"), "needed")
         texts = staged(_tokens_of(docs, needed), "tokens")
         both = pairs.join(texts.toDF(*_A, "tokens_a"), _A).join(texts.toDF(*_B, "tokens_b"), _B)
         shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
         alike = shared >= similarity * (F.size("tokens_a") + F.size("tokens_b") - shared) - 1e-9
-        judged = staged(both.groupBy(*_B).agg(F.max(alike).alias("alike"), F.max("more").alias("more")).toDF(*SET, "alike", "more"), "judged")
-        alike = judged.where("alike").select(*SET)
+        judged = staged(both.select(*[F.col(n).alias(k) for n, k in zip(_B, SET)], alike.alias("alike"), "more"), "judged")
+        alike = judged.where("alike").select(*SET).distinct()
         found = alike if found is None else found.union(alike)
-        rest = staged(judged.where("not alike and more").select(*SET), "open")
+        rest = judged.where("not alike").select(*SET, F.explode("more").alias("more")).select(*SET, "more.*")
+        rest = staged(rest.join(alike, SET, "left_anti").distinct(), "open")
         if not rest.count():
             break
-        some = staged(sets.join(small(rest), SET).select(F.explode("prefix").alias("token")).distinct(), "open-tokens")
-        marked = sets.join(small(rest.withColumn("_open", F.lit(True))), SET, "left")
+        some = staged(rest.groupBy("token").agg(F.floor(F.min("size") * similarity - 1e-9).alias("least"),
+                                                F.ceil(F.max("size") / similarity + 1e-9).alias("most")), "open-tokens")
+        marked = sets.join(small(rest.select(*SET).distinct().withColumn("_open", F.lit(True))), SET, "left")
         pending = marked.withColumn("open", F.coalesce("_open", F.lit(False))).drop("_open")
     return found
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, ranked: int = RANKED) -> DataFrame:
-    """`doc_id, text_key, lines`: the lines that an earlier line of the corpus matches."""
+    """`doc_id, text_key, lines`: the lines that an earlier line of the corpus matches.
+
+    Lines are joined only with sets that occur twice or match an earlier one. Both sides of that
+    join are plain tables, so that Spark can split a set which makes up a third of all lines.
+    """
     lines = staged(line_sets(docs, frequent_tokens(docs, ranked), similarity), "lines")
     place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "line", "text_key")
-    sets = staged(lines.groupBy(*SET).agg(F.min(place).alias("at"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"))
-                  .select(*SET, "at.*", "size", "prefix"), "sets")
-    later = staged(similar_sets(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST))), sets, similarity).distinct(), "later")
-    first = sets.select(*SET, F.col("doc_id").alias("_id"), F.col("line").alias("_line"), F.col("text_key").alias("_text"))
-    first = first.join(later.withColumn("_later", F.lit(True)), SET, "left")
+    sets = staged(lines.groupBy(*SET).agg(F.min(place).alias("at"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"),
+                                          F.count(F.lit(1)).alias("n")).select(*SET, "at.*", "size", "prefix", "n"), "sets")
+    later = staged(similar_sets(docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(_LAST))), sets.drop("n"), similarity).distinct(), "later")
+    first = sets.select(*SET, F.col("doc_id").alias("_id"), F.col("line").alias("_line"), F.col("text_key").alias("_text"), "n")
+    first = first.join(small(later.withColumn("_later", F.lit(True))), SET, "left").where("n > 1 or _later")
+    first = staged(first.drop("n"), "repeated")
     again = ~(F.coalesce("doc_id", F.lit(_LAST)).eqNullSafe(F.col("_id")) & (F.col("line") == F.col("_line")) & (F.col("text_key") == F.col("_text")))
-    gone = lines.drop("prefix").join(first, SET).where(again | F.col("_later").isNotNull())
+    gone = lines.drop("prefix").join(small(first), SET).where(again | F.col("_later").isNotNull())
     return gone.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("lines"))
 
 
