@@ -173,19 +173,25 @@ def candidates_in(c: dict[str, np.ndarray], group: np.ndarray, similarity: float
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     sizes = np.diff(np.r_[starts, len(group)])
     out = []
-    low = np.repeat(sizes <= _SMALL, sizes)
-    here = np.flatnonzero(low & c["open"])
-    before = here - np.repeat(starts, sizes)[here]
-    for part in np.array_split(np.arange(len(here)), 1 + int(before.sum()) // _PAIRS):
-        second = np.repeat(here[part], before[part])
-        first = second - 1 - (np.arange(len(second)) - np.repeat(np.cumsum(before[part]) - before[part], before[part]))
-        ok = _pairs(first, second, c, similarity)
-        out.append(_earliest(first[ok], second[ok], limit))
+    here = np.flatnonzero(np.repeat(sizes <= _SMALL, sizes))
+    here = here[np.lexsort((c["size"][here], group[here]))]  # by size, so that those which can match stand together
+    scale = int(c["size"].max() / similarity) + 2
+    rank = group[here] * scale + c["size"][here]
+    last = np.searchsorted(rank, group[here] * scale + np.floor(c["size"][here] / similarity + 1e-6).astype(np.int64), "right")
+    after, found = last - np.arange(len(here)) - 1, []
+    for part in np.array_split(np.arange(len(here)), 1 + int(after.sum()) // _PAIRS):
+        one = np.repeat(part, after[part])
+        other = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(after[part]) - after[part], after[part])
+        first, second = np.minimum(here[one], here[other]), np.maximum(here[one], here[other])
+        ok = np.flatnonzero(c["open"][second])
+        ok = ok[_pairs(first[ok], second[ok], c, similarity)]
+        found.append((first[ok], second[ok]))
+    out.append(_earliest(*(np.concatenate(x) for x in zip(*found)), limit))
     for start, size in zip(starts[sizes > _SMALL].tolist(), sizes[sizes > _SMALL].tolist()):
         waiting, had = start + np.flatnonzero(c["open"][start:start + size]), np.zeros(size, np.int64)
         found, more = [], np.zeros(size, bool)
-        for at in range(start, start + size, _SMALL):  # earlier postings by blocks, until all that wait have enough
-            block = np.arange(at, min(at + _SMALL, start + size))
+        for at in range(start, start + size, _BLOCK):  # earlier postings by blocks, until all that wait have enough
+            block = np.arange(at, min(at + _BLOCK, start + size))
             first, second = np.repeat(block, len(waiting)), np.tile(waiting, len(block))
             ok = first < second
             first, second = first[ok], second[ok]
@@ -226,7 +232,8 @@ def _search(postings: DataFrame, similarity: float, limit: int) -> DataFrame:
     return postings.mapInArrow(run, ", ".join(f"{n} long" for n in (*_A, *_B)) + ", token int, size long")
 
 
-_SMALL = 64
+_SMALL = 512   # postings of a group whose pairs of fitting sizes are all looked at; larger groups stop early, by blocks
+_BLOCK = 64
 _PAIRS = 1 << 21
 _A, _B = [f"{n}_a" for n in SET], [f"{n}_b" for n in SET]
 _SIZE = 32                # bits of a posting's `shape` that hold its set's size; its place lies above, its sign says open

@@ -316,6 +316,36 @@ def test_line_dedup_on_a_table(spark, sf_small, monkeypatch, ranked, block, smal
     assert {(r.doc_id, texts[r.doc_id]): r.text for r in rows} == want
 
 
+@pytest.mark.parametrize("small", [4, 40, 512])
+@pytest.mark.parametrize("limit", [2, 1 << 62])
+def test_pairs_of_postings(monkeypatch, small, limit):
+    """Small groups by size and large ones by blocks give every fitting pair, or say that there are more."""
+    monkeypatch.setattr(line_dedup, "_SMALL", small)
+    monkeypatch.setattr(line_dedup, "_BLOCK", 8)
+    monkeypatch.setattr(line_dedup, "_PAIRS", 100)
+    rng = np.random.default_rng(small)
+    group = np.sort(np.r_[rng.integers(0, 12, 60), np.full(90, 12), np.full(30, 13)])
+    base = np.uint64(0)
+    c = {"size": rng.integers(5, 40, 180), "open": rng.random(180) < 0.7, "key": rng.integers(0, 1 << 60, 180),
+         "flip1": base ^ (np.uint64(1) << rng.integers(0, 64, 180).astype(np.uint64)),
+         "flip2": base ^ (np.uint64(1) << rng.integers(0, 64, 180).astype(np.uint64))}
+    c["place"] = (c["size"] * rng.random(180) * 0.2).astype(np.int64)
+    first, second = (x.ravel() for x in np.meshgrid(np.arange(180), np.arange(180)))
+    fit = (first < second) & (group[first] == group[second]) & c["open"][second]
+    first, second = first[fit], second[fit]
+    ok = line_dedup._pairs(first, second, c, 0.8)
+    want = set(zip(first[ok].tolist(), second[ok].tolist()))
+    assert len(want) > 100
+    first, second, more = line_dedup.candidates_in(c, group, 0.8, limit)
+    got = set(zip(first.tolist(), second.tolist()))
+    assert got <= want and len(got) == len(first)
+    if limit > 180:
+        assert got == want and not more.any()
+    for later in {s for _, s in want}:
+        own, every = {f for f, s in got if s == later}, {f for f, s in want if s == later}
+        assert own == every or (len(own) >= limit and more[second == later].all())
+
+
 def test_near_copies_of_a_line(spark):
     """Many near copies, some only near to later ones: more candidates are asked for until all are judged."""
     rng = np.random.default_rng(2)
