@@ -75,13 +75,23 @@ def line_sets(docs: DataFrame, ranked: np.ndarray, similarity: float = SIMILARIT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_hash = np.argsort(order.value, kind="stable")
         sorted_hash = order.value[by_hash]
+        head = np.searchsorted(sorted_hash, np.arange(1 << _HEAD, dtype=np.uint64) << np.uint64(64 - _HEAD))
+        most = int(np.diff(np.r_[head, len(by_hash)]).max())  # hashes that share their first bits
 
         def rank(h: np.ndarray) -> np.ndarray:  # rare tokens by hash first, ranked ones after
             rare = (h >> np.uint64(64 - _RARE)).astype(np.int64)
             if not len(by_hash):
                 return rare
-            at = np.minimum(np.searchsorted(sorted_hash, h), len(by_hash) - 1)
-            return np.where(sorted_hash[at] == h, (1 << _RARE) + by_hash[at], rare)
+            at = head[h >> np.uint64(64 - _HEAD)]
+            left = np.arange(len(h))
+            for _ in range(most):
+                left = left[at[left] < len(by_hash)]
+                same = sorted_hash[at[left]] == h[left]
+                hit = left[same]
+                rare[hit] = (1 << _RARE) + by_hash[at[hit]]
+                left = left[~same]
+                at[left] += 1
+            return rare
 
         for batch in batches:
             for found in words(batch["text"]):
@@ -116,6 +126,7 @@ def line_sets(docs: DataFrame, ranked: np.ndarray, similarity: float = SIMILARIT
         run, "doc_id long, text_key long, line int, key long, flip1 long, flip2 long, size int, prefix array<int>")
 
 
+_HEAD = 18  # first bits by which a ranked hash is looked up
 _RARE = 40  # bits of a rare token's hash that order it
 
 
@@ -215,9 +226,10 @@ def _search(postings: DataFrame, similarity: float, limit: int) -> DataFrame:
     `size` is the later set's; both are null where its candidates of this token are all here.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("token", "pair")):
+        for table in whole_groups(batches, ("group",)):
             c = {n: table[n].to_numpy() for n in table.column_names}
-            group = np.cumsum(np.r_[False, (c["token"][1:] != c["token"][:-1]) | (c["pair"][1:] != c["pair"][:-1])])
+            group = c.pop("group")
+            group = np.cumsum(np.r_[False, group[1:] != group[:-1]])
             by = np.lexsort((c["key"], c["line"], c["doc_id"], group))
             c = {n: x[by] for n, x in c.items()}
             shape = c.pop("shape")
@@ -257,10 +269,10 @@ def _postings(sets: DataFrame, some: DataFrame | None, similarity: float) -> Dat
         rows = rows.join(of, (F.col("token") == F.col("_token")) & F.col("size").between(F.col("least"), F.col("most")))
     held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
     hot = staged(held.where(F.col("_n") > BLOCK_LINES).select("token", F.ceil(F.col("_n") / BLOCK_LINES).cast("int").alias("_b")), "hot-tokens")
-    dealt = rows.join(small(hot), "token", "left").select("token", *SET, "doc_id", "line", shape, F.inline(block_pairs("key")))
-    pair = F.shiftleft(F.col("lo").cast("long"), 32).bitwiseOR(F.col("hi").cast("long")).alias("pair")
-    return (dealt.select("token", pair, *SET, "doc_id", "line", "shape").repartition("token", "pair")
-            .sortWithinPartitions("token", "pair"))
+    dealt = rows.join(small(hot), "token", "left").select("token", "_b", *SET, "doc_id", "line", shape, F.inline(block_pairs("key")))
+    # One number names a token's pair of blocks, so that rows are sorted by its radix; two that share it only meet in vain.
+    group = F.when(F.col("_b").isNull(), F.col("token").cast("long")).otherwise(F.xxhash64("token", "lo", "hi")).alias("group")
+    return dealt.select(group, "token", *SET, "doc_id", "line", "shape").repartition("group").sortWithinPartitions("group")
 
 
 def _tokens_of(docs: DataFrame, needed: DataFrame) -> DataFrame:

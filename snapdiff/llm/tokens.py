@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -43,11 +44,27 @@ class Words(NamedTuple):
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The first n powers; those of two usual chunks are kept."""
+    if n <= 2 * CHUNK_BYTES:
+        return _kept_powers(base)[:n]
     out = np.full(n, base, np.uint64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+@lru_cache(maxsize=2)
+def _kept_powers(base: np.uint64) -> np.ndarray:
+    out = np.full(2 * CHUNK_BYTES, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _which(starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many of `starts` are at or before each of `places`; both ascend, and places are many."""
+    cuts = np.searchsorted(places, starts)
+    return np.repeat(np.arange(len(starts) + 1), np.diff(np.r_[0, cuts, len(places)]))
+
+
 def words(texts: pa.StringArray, cased: bool = False) -> Iterator[Words]:
     """The words of a text column, chunk by chunk; a null text has none."""
     if texts.null_count:
@@ -73,9 +90,9 @@ def _chunk(part: np.ndarray, starts: np.ndarray, at: int, of_byte: np.ndarray) -
     total = np.zeros(len(part) + 1, np.uint64)
     np.cumsum(of_byte[part] * _powers(_BASE, len(part)), out=total[1:])
     found = mix((total[last] - total[first]) * _powers(_INVERSE, len(part))[first])
-    breaks = np.r_[0, np.cumsum(part == 0x0A)]
-    row = np.searchsorted(starts, first, "right") - 1
-    return Words(at + row, breaks[first] - breaks[starts[row]], found)
+    breaks = np.flatnonzero(part == 0x0A)
+    row = _which(starts[1:], first)
+    return Words(at + row, _which(breaks, first) - np.searchsorted(breaks, starts)[row], found)
 
 
 def counts(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
