@@ -60,19 +60,28 @@ def copies(target: Column, source_size: Column, identity: Column, seed: str = SE
     return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
+def _identity(doc_id: Column, text_md5: Column) -> Column:
+    """What a document draws by: rows without an id, or that share one, draw apart if their texts differ."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), text_md5)
+
+
+def _text_md5(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 def mix_plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
     """`doc_id, source, size, source_size, target, copies, taken` of every document.
 
     A null source is a source of its own, sorted last; null and empty texts have
     size 0; a source of size 0 has target 0 and no copies. The draw depends on the
-    seed and doc_id alone, so reruns agree and repeated rows are drawn alike.
+    seed, doc_id and text alone, so reruns agree and rows equal in both are drawn alike.
     """
-    sized = staged(docs.select("doc_id", "source", word_count(docs["text"]).alias("size")), "mix-sizes")
+    sized = staged(docs.select("doc_id", "source", word_count(docs["text"]).alias("size"),
+                               _text_md5(docs["text"]).alias("text_md5")), "mix-sizes")
     by_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     rates = staged(by_source.withColumnRenamed("source", "_source"), "mix-rates")
     joined = sized.join(small(rates), F.col("source").eqNullSafe(F.col("_source")))
-    identity = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    n = copies(F.col("target"), F.col("source_size"), identity, seed)
+    n = copies(F.col("target"), F.col("source_size"), _identity(F.col("doc_id"), F.col("text_md5")), seed)
     return (joined.withColumn("copies", n)
             .select("doc_id", "source", "size", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
@@ -85,7 +94,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = M
                    .toDF("_source", "_source_size", "_target"), "mix-rates")
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
     joined = rows.join(small(rates), F.col("_row.source").eqNullSafe(F.col("_source")))
-    identity = F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null"))
+    identity = _identity(F.col("_row.doc_id"), _text_md5(F.col("_row.text")))
     n = copies(F.col("_target"), F.col("_source_size"), identity, seed).cast("int")
     repeated = joined.withColumn("_copy", F.explode(F.when(n > 0, F.sequence(F.lit(1), n))))
     return repeated.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

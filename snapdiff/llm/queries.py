@@ -24,7 +24,8 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The limited sources are those first by limit per weight; `level` is shared by the rest.
 MIX_SQL = rf"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD_SQL}')) AS BIGINT) AS size FROM {{docs}}),
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD_SQL}')) AS BIGINT) AS size,
+         md5(coalesce(text, '')) AS text_md5 FROM {{docs}}),
 by_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (
   SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
@@ -40,7 +41,7 @@ rates AS (
     SELECT level FROM filled WHERE weight * level <= most UNION ALL SELECT 0.0) AS l)) AS target FROM filled),
 drawn AS (
   SELECT s.*, r.source_size, r.target, coalesce(r.target / nullif(CAST(r.source_size AS DOUBLE), 0), 0.0) AS rate,
-         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT)
+         CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || text_md5), 1, 13) AS BIGINT)
            / 4503599627370496.0::DOUBLE AS draw
   FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source),
 copied AS (

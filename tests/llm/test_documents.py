@@ -124,6 +124,16 @@ def test_mixing(odd, empty):
     assert mixing.mix_plan(empty).count() == mixing.mix_sources(empty).count() == 0
 
 
+def test_documents_without_an_id_draw_apart(spark):
+    """Different texts that have no id, or share one, each have their own draw, so the mix comes near its targets."""
+    rows = [(None if n % 2 else 7, "ab"[n % 4 // 2], " ".join(f"w{n}x{k}" for k in range(10 + n % 5))) for n in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for r in mixing.mix_plan(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect():
+        assert abs(r.taken - r.target) < 0.15 * r.target
+    twice = docs.union(docs)
+    assert mixing.mix_plan(twice).groupBy("doc_id", "source", "size", "copies").count().where("count % 2 = 1").count() == 0
+
+
 def test_mixing_comes_near_its_targets(spark, sf):
     rows = mixing.mix_plan(documents(spark, sf)).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
     assert sum(r.taken for r in rows) == pytest.approx(sum(r.target for r in rows), rel=0.1)
