@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from ..functions.typed import typed_projection
 from ..model import FeedSpec
 from ..operators import audit, delta, records, validation as va
 from ..plans.delta_job import delta_of
-from ..session import scratch_path
+from ..session import scratch_path, stored_bytes
 from ..sinks import text as sink
 from ..sources import config, csv_records, properties, snapshots
 from . import fixtures as fx
@@ -45,11 +46,15 @@ def csv_roundtrip_header(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots.read_snapshot(spark, path, CSV_FEED)
 
 
+TABLE_BYTES = 1 << 28  # of a table, that one task writes to one file
+
+
 @query(f"select {fx.sql_canonical()} as record from documents")
 def csv_split_records(spark: SparkSession, sf: str) -> DataFrame:
-    """One file with newlines in cells, cut into records at the splits of a text scan."""
+    """Files of many splits with newlines in cells, one for every 256 MB of the table, cut into records at the splits of a text scan."""
     cells = fx.document_cells(spark, sf)
-    path = write_csv(spark, cells.coalesce(1), True, "csv")
+    files = math.ceil(stored_bytes(spark, f"{sf}/documents.parquet") / TABLE_BYTES)
+    path = write_csv(spark, cells.coalesce(max(files, 1)), True, "csv")
     rows = csv_records.read_csv_split(spark, path, True, csv_records.Dialect(escape='"'), cells.columns, {})
     return records.canonical_records(rows, "|")
 

@@ -2,12 +2,16 @@
 
 import csv
 import io
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from snapdiff.session import stored_bytes
 from snapdiff.sources import snapshots
 from snapdiff.sources.csv_records import Dialect, read_csv_split
+from snapdiff.workload import io as workload
+from snapdiff.workload.io import write_csv
 
 
 def both(spark, path, header, options, split_bytes):
@@ -91,3 +95,18 @@ def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert one.rdd.getNumPartitions() == 1 and one.count() == 4000
+
+
+def test_no_task_writes_the_whole_table(spark, tmp_path, monkeypatch):
+    """A large table becomes several files, each written by a task of its own and larger than a split."""
+    rows = [(i, f'line "{i}"\ntwo, é ' + f"{i * i * 7919:x}" * 40, "en", f"src{i % 3}", i) for i in range(2000)]
+    table = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(8).write.parquet(table)
+    size, paths = stored_bytes(spark, table), []
+    monkeypatch.setattr(workload, "write_csv", lambda *args: paths.append(write_csv(*args)) or paths[-1])
+    want = sorted(f"{i}|{t}|{lang}|{s}|{n}".replace("\n", "").replace("é", "") for i, t, lang, s, n in rows)
+    for limit, files in ((size // 3 + 1, 3), (size, 1)):
+        monkeypatch.setattr(workload, "TABLE_BYTES", limit, raising=False)
+        assert sorted(r.record for r in workload.csv_split_records(spark, str(tmp_path)).collect()) == want
+        written = [p.stat().st_size for p in Path(paths[-1].removeprefix("file:")).glob("part-*")]
+        assert len(written) == files and max(written) < 2 * sum(written) / files
