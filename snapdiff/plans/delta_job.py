@@ -127,7 +127,7 @@ def compared_with_kept(spark: SparkSession, spec: FeedSpec, previous: DataFrame,
 
 
 def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) -> dict[str, Any]:
-    """Write the changed rows below `path`, one folder per op, and return the counts and the profile.
+    """Write the changed rows below `path`, one folder per op, and return the counts, the profile and `<op>_bytes`, the records' bytes by op.
 
     Compared by record, this one job is the only pass over the snapshots. The
     counts are observed in its last stage, whose tasks each count once however
@@ -145,11 +145,14 @@ def stage(spec: FeedSpec, previous: DataFrame, current: DataFrame, path: str) ->
         changed = dl.changed_texts(spark.read.schema(wanted.schema).parquet(f"{path}/wanted"), previous, current)
     else:
         changed = changed_by(spec, observed, previous, current)
-    changed.write.partitionBy("op").parquet(f"{path}/changed")
-    return seen.get
+    sizes = Observation()
+    changed.observe(sizes, *[sink.text_bytes(F.when(F.col("op") == op, F.col("record"))).alias(f"{op}_bytes") for op in (dl.INSERT, dl.DELETE, dl.BAD)]
+                    ).write.partitionBy("op").parquet(f"{path}/changed")
+    return seen.get | sizes.get
 
 
 STAGED = "record string, hash string, bad string, op string"
+_BESIDE = 50  # bytes of a line besides its record, time and additional output: hash, flag, op and delimiters
 
 
 def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None, run_key: str | None = None) -> dict[str, int]:
@@ -178,10 +181,11 @@ def run_job(spark: SparkSession, spec: FeedSpec, run_ts: str | None = None, run_
         counts = stage(spec, previous, current, staged)
         changed = spark.read.schema(STAGED).parquet(f"{staged}/changed")
         result = results(changed, au.counts_frame(spark, counts), out, run_ts)
-        sink.write_delta(counted(result.inserts), out.inserts_path, out)
-        sink.write_delta(counted(result.deletes), out.deletes_path, out)
+        beside = len(f"{run_ts}{out.additional_output}".encode()) + _BESIDE  # the record, in bytes of a line
+        sink.write_delta(counted(result.inserts), out.inserts_path, out, counts["insert_bytes"] + counts["inserted"] * beside)
+        sink.write_delta(counted(result.deletes), out.deletes_path, out, counts["delete_bytes"] + counts["deleted"] * beside)
         if counts["bad"]:
-            sink.write_bad(result.bad, out.bad_path, out)
+            sink.write_bad(result.bad, out.bad_path, out, counts["bad_bytes"] + counts["bad"] * _BESIDE)
             written.add("bad")
         elif out.delete_before_write:
             remove_path(spark, out.bad_path)

@@ -1,12 +1,13 @@
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 
 from snapdiff import ConfigError, FeedSpec, run_feeds, run_job
 from snapdiff.model import ARGUMENTS
 from snapdiff.plans import publish
-from snapdiff.plans.publish import read_published
+from snapdiff.plans.publish import published, read_published
 from snapdiff.sinks import text as sink
 from snapdiff.sinks.text import write_lines
 from snapdiff.session import scratch_path
@@ -74,6 +75,37 @@ def test_output_files_are_a_parameter(spark, tmp_path):
         assert len(list(path.glob("part-*"))) == expected and len(lines_of(path)) == 100
 
 
+def test_large_outputs_are_several_files(spark, tmp_path, monkeypatch):
+    """Where the feed asks for no number, no task writes much more than `FILE_BYTES`."""
+    monkeypatch.setattr(sink, "FILE_BYTES", 2000, raising=False)
+    rows = spark.range(1000).selectExpr("cast(id + 1000 as string) as value")
+    for files, expected in ({}, 2), ({"output_files": 1}, 1), ({"output_files": 3}, 3):
+        path = tmp_path / f"lines-{len(files)}-{expected}"
+        write_lines(rows, str(path), FeedSpec(**files))
+        assert len(list(path.glob("part-*"))) == expected and lines_of(path) == sorted(str(i + 1000) for i in range(1000))
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir")).glob("snapdiff-lines-*"))
+
+
+@pytest.mark.parametrize("comparison", ["record", "fingerprint"])
+@pytest.mark.parametrize("manifest", [False, True])
+def test_large_outputs_of_a_job_are_several_files(spark, feed, tmp_path, monkeypatch, comparison, manifest):
+    monkeypatch.setattr(sink, "FILE_BYTES", 4000, raising=False)
+    previous = [f"{i}|1" for i in range(100)]
+    current = [f"{i}|2" for i in range(50, 150)] + [f"{i}|é{i}" for i in range(200)]
+    spec = replace(feed, comparison=comparison, previous_path=write(tmp_path / "p2", *previous), current_path=write(tmp_path / "c2", *current),
+                   manifest_path=str(tmp_path / "manifests") if manifest else "")
+    counts = run_job(spark, spec, TS)
+    assert (counts["inserted"], counts["deleted"], counts["bad"]) == (100, 100, 200)
+    found = published(spark, spec.manifest_path).outputs if manifest else {f: str(tmp_path / "out" / f) for f in ("inserts", "deletes", "bad", "audit")}
+    for name, raw in (("inserts", [c for c in current if "é" not in c]), ("deletes", previous), ("bad", [c for c in current if "é" in c])):
+        folder = Path(found[name])
+        files = [f.stat().st_size for f in folder.glob("part-*")]
+        assert len(files) > 1 and max(files) < 4400
+        assert sorted(line.split("|")[0 if name != "bad" else 2] for line in lines_of(folder)) == sorted(
+            r.split("|")[0] if name != "bad" else md5(r) for r in raw)
+    assert len(lines_of(Path(found["audit"]))) == 1
+
+
 def test_format_failures_are_counted(spark, feed, tmp_path):
     rules = '{"formats":[{"column_index":0,"format_type":"currency"}]}'
     counts = run_job(spark, replace(feed, formats_from_argument=True, formats_json=rules), TS)
