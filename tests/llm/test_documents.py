@@ -85,7 +85,8 @@ def test_quality_rules_keep_clean_documents(spark, sf):
 def test_same_rows_as_sql(spark, sf_small, name):
     run, sql = QUERIES[name]
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_small}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_small}/{table}.parquet'")
     want = con.sql(sql)
     got = run(spark, sf_small).select(*want.columns).collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
