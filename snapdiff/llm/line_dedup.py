@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_pairs, whole_groups
+from .blocks import whole_groups
 from .common import let, most_frequent, small, staged
 from .tokens import counts, mix, unmix, words
 
@@ -75,6 +75,7 @@ def line_sets(docs: DataFrame, ranked: np.ndarray, similarity: float = SIMILARIT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_hash = np.argsort(order.value, kind="stable")
         sorted_hash = order.value[by_hash]
+        place = np.r_[by_hash + (1 << _RARE), 0]
         head = np.searchsorted(sorted_hash, np.arange(1 << _HEAD, dtype=np.uint64) << np.uint64(64 - _HEAD))
         most = int(np.diff(np.r_[head, len(by_hash)]).max())  # hashes that share their first bits
 
@@ -83,15 +84,15 @@ def line_sets(docs: DataFrame, ranked: np.ndarray, similarity: float = SIMILARIT
             if not len(by_hash):
                 return rare
             at = head[h >> np.uint64(64 - _HEAD)]
-            left = np.arange(len(h))
-            for _ in range(most):
-                left = left[at[left] < len(by_hash)]
-                same = sorted_hash[at[left]] == h[left]
-                hit = left[same]
-                rare[hit] = (1 << _RARE) + by_hash[at[hit]]
+            hit = (sorted_hash.take(at, mode="clip") == h) & (at < len(by_hash))
+            ranks = np.where(hit, place[at], rare)
+            left = np.flatnonzero(~hit)
+            for n in range(1, most):
+                left = left[at[left] + n < len(by_hash)]
+                same = sorted_hash[at[left] + n] == h[left]
+                ranks[left[same]] = place[at[left[same]] + n]
                 left = left[~same]
-                at[left] += 1
-            return rare
+            return ranks
 
         for batch in batches:
             for found in words(batch["text"]):
@@ -175,6 +176,37 @@ def _earliest(first: np.ndarray, second: np.ndarray, limit: int) -> tuple[np.nda
     return first[keep], second[keep], np.repeat(size > limit, size)[keep]
 
 
+def _after(group: np.ndarray, size: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of the next sets of a group are not too large to match each; both sorted by `group + size`."""
+    last = np.searchsorted(group + size, group + np.floor(size / similarity + 1e-6).astype(np.int64), "right")
+    return last - np.arange(len(size)) - 1
+
+
+def _dense(x: np.ndarray) -> np.ndarray:
+    """The number of smaller values, equal ones counted once."""
+    by, out = np.argsort(x), np.empty(len(x), np.int64)
+    out[by] = np.cumsum(np.r_[False, x[by][1:] != x[by][:-1]]) if len(x) else 0
+    return out
+
+
+def _that_can_match(found: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The postings that share a group with one of a fitting size, by group and order of lines, and their groups' numbers."""
+    group = _dense(found["token"].astype(np.int64) << 32 | found["block"])
+    size = found["size"].astype(np.int64)
+    scale = int(size.max() / similarity) + 2
+    by = np.argsort(group * scale + size)
+    fits = _after(group[by] * scale, size[by], similarity) > 0
+    by = by[fits | np.r_[False, fits[:-1]]]
+    found, group = found[by], group[by]
+    number = group * (len(by) + 1) + _dense(found["doc_id"])
+    by = np.argsort(number)
+    tied = number[by][1:] == number[by][:-1]
+    tied = np.flatnonzero(np.r_[False, tied] | np.r_[tied, False]) if len(by) else by
+    more = by[tied]  # lines of one document
+    by[tied] = more[np.lexsort((found["key"][more], found["line"][more], number[more]))]
+    return found[by], group[by]
+
+
 def candidates_in(c: dict[str, np.ndarray], group: np.ndarray, similarity: float, limit: int) -> tuple[np.ndarray, ...]:
     """Earlier and later postings of every group, and whether a later one had more.
 
@@ -187,13 +219,15 @@ def candidates_in(c: dict[str, np.ndarray], group: np.ndarray, similarity: float
     here = np.flatnonzero(np.repeat(sizes <= _SMALL, sizes))
     here = here[np.lexsort((c["size"][here], group[here]))]  # by size, so that those which can match stand together
     scale = int(c["size"].max() / similarity) + 2
-    rank = group[here] * scale + c["size"][here]
-    last = np.searchsorted(rank, group[here] * scale + np.floor(c["size"][here] / similarity + 1e-6).astype(np.int64), "right")
-    after, found = last - np.arange(len(here)) - 1, []
+    after, found = _after(group[here] * scale, c["size"][here], similarity), []
+    flip = c["flip1"][here]
+    spare = np.minimum(c["size"][here] * (1 / similarity - 1) + 1e-6, 64).astype(np.uint8)  # as in _pairs, for the largest set that fits
     for part in np.array_split(np.arange(len(here)), 1 + int(after.sum()) // _PAIRS):
-        one = np.repeat(part, after[part])
-        other = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(after[part]) - after[part], after[part])
-        first, second = np.minimum(here[one], here[other]), np.maximum(here[one], here[other])
+        ends = np.cumsum(after[part])
+        other = np.arange(after[part].sum()) + np.repeat(part + 1 - ends + after[part], after[part])
+        near = np.flatnonzero(np.bitwise_count(np.repeat(flip[part], after[part]) ^ flip[other]) <= np.repeat(spare[part], after[part]))
+        one, other = here[part[np.searchsorted(ends, near, "right")]], here[other[near]]
+        first, second = np.minimum(one, other), np.maximum(one, other)
         ok = np.flatnonzero(c["open"][second])
         ok = ok[_pairs(first[ok], second[ok], c, similarity)]
         found.append((first[ok], second[ok]))
@@ -220,59 +254,156 @@ def candidates_in(c: dict[str, np.ndarray], group: np.ndarray, similarity: float
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _search(postings: DataFrame, similarity: float, limit: int) -> DataFrame:
+def _search(dealt: DataFrame, similarity: float, limit: int) -> DataFrame:
     """Candidate pairs of sets that share a prefix token: the earlier, the later, and `token, size` where the later has more.
 
     `size` is the later set's; both are null where its candidates of this token are all here.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, ("group",)):
-            c = {n: table[n].to_numpy() for n in table.column_names}
-            group = c.pop("group")
-            group = np.cumsum(np.r_[False, group[1:] != group[:-1]])
-            by = np.lexsort((c["key"], c["line"], c["doc_id"], group))
-            c = {n: x[by] for n, x in c.items()}
-            shape = c.pop("shape")
-            c |= {"open": shape < 0, "place": shape >> _SIZE & _PLACE, "size": shape & ((1 << _SIZE) - 1)}
+        for table in whole_groups(batches, ("bucket",)):
+            found, group = _that_can_match(_unpacked(table, _POSTING), similarity)
+            if not len(found):
+                continue
+            c = {n: np.ascontiguousarray(found[n]) for n in (*SET, "token", "place")}
             plain = {n: c[n] for n in SET}
             c |= {f: c[f].view(np.uint64) for f in ("flip1", "flip2")}
-            first, second, more = candidates_in(c, group[by], similarity, limit)
+            c |= {"open": c["place"] < 0, "place": (c["place"] & _PLACE).astype(np.int64), "size": found["size"].astype(np.int64)}
+            first, second, more = candidates_in(c, group, similarity, limit)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(plain[n][i]) for i in (first, second) for n in SET]
                 + [pa.array(c[n][second], mask=~more) for n in ("token", "size")], [*_A, *_B, "token", "size"])
 
-    return postings.mapInArrow(run, ", ".join(f"{n} long" for n in (*_A, *_B)) + ", token int, size long")
+    return dealt.mapInArrow(run, ", ".join(f"{n} long" for n in (*_A, *_B)) + ", token int, size long")
 
 
 _SMALL = 512   # postings of a group whose pairs of fitting sizes are all looked at; larger groups stop early, by blocks
 _BLOCK = 64
 _PAIRS = 1 << 21
 _A, _B = [f"{n}_a" for n in SET], [f"{n}_b" for n in SET]
-_SIZE = 32                # bits of a posting's `shape` that hold its set's size; its place lies above, its sign says open
+# Postings are dealt as records, those of a bucket of groups in one row, so that Spark moves and sorts a row for many of them.
+_POSTING = np.dtype([("token", np.int32), ("block", np.int32), ("line", np.int32), ("size", np.int32), ("place", np.int32),  # place: its sign says open
+                     ("doc_id", np.int64), *((n, np.int64) for n in SET)])
+_COUNT = np.dtype([("token", np.int32), ("n", np.int64)])
 _PLACE = (1 << 31) - 1
+_BUCKETS = 1 << 11
+_BUCKET_SETS = 1 << 14  # where _BUCKETS of so many sets do not hold all, there are more
+_DEALT = 1 << 20        # postings dealt at once
+
+
+def _packed(bucket: np.ndarray, records: np.ndarray) -> pa.RecordBatch:
+    """A row `bucket, records` for each bucket; both come sorted by bucket."""
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    cuts = (np.r_[starts, len(bucket)] * records.itemsize).astype(np.int32)
+    data = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(records)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), data], ["bucket", "records"])
+
+
+def _unpacked(table: pa.Table, kind: np.dtype) -> np.ndarray:
+    """The records of all rows of a table of `_packed` rows."""
+    parts = []
+    for chunk in table["records"].chunks:
+        if len(chunk):
+            cuts = np.frombuffer(chunk.buffers()[1], np.int32, len(chunk) + 1, 4 * chunk.offset)
+            parts.append(np.frombuffer(chunk.buffers()[2], kind, (cuts[-1] - cuts[0]) // kind.itemsize, cuts[0]))
+    return np.concatenate(parts)
+
 
+def _by_bucket(group: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that brings the groups of a bucket together, and their buckets in that order."""
+    bucket = (mix(group.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int32)
+    by = np.argsort(bucket, kind="stable")
+    return by, bucket[by]
 
-def _postings(sets: DataFrame, some: DataFrame | None, similarity: float) -> DataFrame:
-    """A row per set and prefix token; tokens of many sets are dealt into pairs of blocks.
 
-    With `some` (`token, least, most`), only its tokens are looked at, and of these only
-    sets whose size lets them match one that still looks.
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def _hot_tokens(parts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of more than BLOCK_LINES postings, in order, and the blocks of each; there is at most one for every BLOCK_LINES postings."""
+    bound = BLOCK_LINES
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            token, n = counts(batch["prefix"].flatten().to_numpy())
+            if len(token):
+                by, bucket = _by_bucket(token, buckets)
+                records = np.empty(len(by), _COUNT)
+                records["token"], records["n"] = token[by], n[by]
+                yield _packed(bucket, records)
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ("bucket",)):
+            found = _unpacked(table, _COUNT)
+            found = found[np.argsort(found["token"])]
+            starts = np.flatnonzero(np.r_[True, found["token"][1:] != found["token"][:-1]])
+            n, token = np.add.reduceat(found["n"], starts), found["token"][starts]
+            yield pa.RecordBatch.from_arrays([pa.array(token[n > bound]), pa.array(-(-n[n > bound] // bound))], ["token", "blocks"])
+
+    counted = _dealt(parts.select("prefix").mapInArrow(count, "bucket int, records binary"))
+    hot = counted.mapInArrow(total, "token int, blocks long").toArrow().sort_by("token")
+    return hot["token"].to_numpy(), hot["blocks"].to_numpy()
+
+
+def _still_open(parts: DataFrame, rest: DataFrame, similarity: float) -> DataFrame:
+    """The postings that sets of `rest` (`SET, token, size`) may still match, each as a part of its own.
+
+    Only their tokens are looked at, and of these only sets whose size lets them match one that
+    still looks. What is open later was open before, so each round reads what the one before left.
     """
-    if some is not None:
-        least, most = some.agg(F.min("least"), F.max("most")).first()
-        sets = sets.where(F.col("size").between(least, most))
-    shape = F.shiftleft(F.col("place").cast("long"), _SIZE).bitwiseOR(F.col("size").cast("long"))
-    shape = F.when(F.col("open"), shape.bitwiseOR(F.lit(-1 << 63))).otherwise(shape).alias("shape")
-    rows = sets.select(*SET, "doc_id", "line", "size", "open", F.posexplode("prefix").alias("place", "token"))
-    if some is not None:
-        of = small(some.withColumnRenamed("token", "_token"))
-        rows = rows.join(of, (F.col("token") == F.col("_token")) & F.col("size").between(F.col("least"), F.col("most")))
-    held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("_n"))
-    hot = staged(held.where(F.col("_n") > BLOCK_LINES).select("token", F.ceil(F.col("_n") / BLOCK_LINES).cast("int").alias("_b")), "hot-tokens")
-    dealt = rows.join(small(hot), "token", "left").select("token", "_b", *SET, "doc_id", "line", shape, F.inline(block_pairs("key")))
-    # One number names a token's pair of blocks, so that rows are sorted by its radix; two that share it only meet in vain.
-    group = F.when(F.col("_b").isNull(), F.col("token").cast("long")).otherwise(F.xxhash64("token", "lo", "hi")).alias("group")
-    return dealt.select(group, "token", *SET, "doc_id", "line", "shape").repartition("group").sortWithinPartitions("group")
+    some = staged(rest.groupBy("token").agg(F.floor(F.min("size") * similarity - 1e-9).alias("least"),
+                                            F.ceil(F.max("size") / similarity + 1e-9).alias("most")), "open-tokens")
+    least, most = some.agg(F.min("least"), F.max("most")).first()
+    rows = parts.where(F.col("size").between(least, most)).drop("open").withColumnRenamed("place", "_from").select(
+        "*", F.posexplode("prefix").alias("_at", "_token"))
+    near = (F.col("_token") == F.col("token")) & F.col("size").between(F.col("least"), F.col("most"))
+    rows = rows.join(small(some), near).withColumns({"place": F.col("_from") + F.col("_at"), "prefix": F.array("token")})
+    rows = staged(rows.drop("_from", "_at", "_token", "token", "least", "most"), "open-postings")
+    marked = small(staged(rest.select(*SET).distinct().withColumn("open", F.lit(True)), "open-sets"))
+    return rows.join(marked, SET, "left").withColumn("open", F.coalesce("open", F.lit(False)))
+
+
+def _postings(parts: DataFrame) -> DataFrame:
+    """The postings, one per set and prefix token, by buckets; tokens of many sets are dealt into pairs of blocks.
+
+    A part holds prefix tokens of a set that stand together, and the place of their first.
+    """
+    buckets = max(_BUCKETS, parts.count() // _BUCKET_SETS)
+    parts = parts.select(*SET, "doc_id", "line", "size", "open", "place", "prefix")
+    hot = parts.sparkSession.sparkContext.broadcast(_hot_tokens(parts, buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot_token, hot_blocks = hot.value
+        for batch in batches:
+            c = {n: batch[n].to_numpy(zero_copy_only=False) for n in batch.schema.names if n != "prefix"}
+            token, length = batch["prefix"].flatten().to_numpy(), np.diff(batch["prefix"].offsets.to_numpy())
+            row = np.repeat(np.arange(len(length)), length)
+            place = c["place"][row] + np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
+            blocks = np.ones(len(row), np.int64)
+            if len(hot_token):
+                at = np.minimum(np.searchsorted(hot_token, token), len(hot_token) - 1)
+                blocks = np.where(hot_token[at] == token, hot_blocks[at], blocks)
+            at = np.cumsum(blocks) // _DEALT
+            for part in np.split(np.arange(len(row)), np.flatnonzero(at[1:] != at[:-1]) + 1):
+                if not len(part):
+                    continue
+                every, block = part, np.zeros(len(part), np.int64)
+                b = blocks[part]
+                if b.max() > 1:  # a row for each pair of blocks that holds the set's own
+                    other = np.arange(b.sum()) - np.repeat(np.cumsum(b) - b, b)
+                    every, b = np.repeat(part, b), np.repeat(b, b)
+                    own = (mix(c["key"][row[every]].view(np.uint64)) % b.astype(np.uint64)).astype(np.int64)
+                    block = np.minimum(own, other) * b + np.maximum(own, other)
+                by, bucket = _by_bucket(token[every].astype(np.int64) << 32 | block, buckets)
+                every, records = every[by], np.empty(len(by), _POSTING)
+                of_set = row[every]
+                for n in ("doc_id", "line", "size", *SET):
+                    records[n] = c[n][of_set]
+                records["token"], records["block"] = token[every], block[by]
+                records["place"] = np.where(c["open"][of_set], place[every] | ~_PLACE, place[every])
+                yield _packed(bucket, records)
+
+    return _dealt(parts.mapInArrow(run, "bucket int, records binary"))
 
 
 def _tokens_of(docs: DataFrame, needed: DataFrame) -> DataFrame:
@@ -307,13 +438,14 @@ def similar_sets(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARIT
     fail comes again with more of them, in the end with all, but only among the
     tokens where it had more.
     """
-    found, some, pending = None, None, sets.withColumn("open", F.lit(True))
+    found, parts = None, sets.withColumns({"open": F.lit(True), "place": F.lit(0)})
     more = F.struct("token", "size")
     for limit in (2, 32, 1 << 62):
-        pairs = staged(_search(_postings(pending, some, similarity), similarity, limit).groupBy(*_A, *_B).agg(
+        pairs = staged(_search(_postings(parts), similarity, limit).groupBy(*_A, *_B).agg(
             F.collect_set(F.when(F.col("token").isNotNull(), more)).alias("more")), "pairs")
         ends = pairs.select(*[F.col(n).alias(k) for n, k in zip(_A, SET)]).union(pairs.select(*_B)).distinct()
-        needed = staged(sets.join(small(staged(ends, "ends")), SET).select(*SET, "doc_id", "text_key", "line"), "needed")
+        needed = parts.join(small(staged(ends, "ends")), SET).select(*SET, "doc_id", "text_key", "line")
+        needed = staged(needed if found is None else needed.distinct(), "needed")
         texts = staged(_tokens_of(docs, needed), "tokens")
         both = pairs.join(texts.toDF(*_A, "tokens_a"), _A).join(texts.toDF(*_B, "tokens_b"), _B)
         shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -325,10 +457,7 @@ def similar_sets(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARIT
         rest = staged(rest.join(alike, SET, "left_anti").distinct(), "open")
         if not rest.count():
             break
-        some = staged(rest.groupBy("token").agg(F.floor(F.min("size") * similarity - 1e-9).alias("least"),
-                                                F.ceil(F.max("size") / similarity + 1e-9).alias("most")), "open-tokens")
-        marked = sets.join(small(rest.select(*SET).distinct().withColumn("_open", F.lit(True))), SET, "left")
-        pending = marked.withColumn("open", F.coalesce("_open", F.lit(False))).drop("_open")
+        parts = _still_open(parts, rest, similarity)
     return found
 
 

@@ -19,7 +19,6 @@ _UNDO = np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
 _OF_BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _OF_CASED_BYTE = _OF_BYTE.copy()
 _OF_BYTE[ord("A"):ord("Z") + 1] = _OF_BYTE[ord("a"):ord("z") + 1]
-_IS_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -82,13 +81,16 @@ def words(texts: pa.StringArray, cased: bool = False) -> Iterator[Words]:
 
 
 def _chunk(part: np.ndarray, starts: np.ndarray, at: int, of_byte: np.ndarray) -> Words:
-    space = _IS_SPACE[part]
-    edge = np.zeros(len(part) + 1, bool)
+    word = (part != 0x20) & (part - np.uint8(0x09) > 4)
+    edge = np.zeros(len(part) + 1, bool)  # whether a word ends or begins before a byte, if it has one there
+    edge[0] = edge[-1] = True
+    np.not_equal(word[1:], word[:-1], out=edge[1:-1])
     edge[starts] = True
-    first = np.flatnonzero(~space & (np.r_[True, space[:-1]] | edge[:-1]))
-    last = np.flatnonzero(~space & (np.r_[space[1:], True] | edge[1:])) + 1
+    first = np.flatnonzero(word & edge[:-1])
+    last = np.flatnonzero(word & edge[1:]) + 1
     total = np.zeros(len(part) + 1, np.uint64)
-    np.cumsum(of_byte[part] * _powers(_BASE, len(part)), out=total[1:])
+    each = of_byte.take(part.astype(np.intp), mode="clip")
+    np.cumsum(np.multiply(each, _powers(_BASE, len(part)), out=each), out=total[1:])
     found = mix((total[last] - total[first]) * _powers(_INVERSE, len(part))[first])
     breaks = np.flatnonzero(part == 0x0A)
     row = _which(starts[1:], first)

@@ -372,6 +372,48 @@ def test_near_copies_of_a_line(spark):
     assert got == plain_dedup(lines)
 
 
+def test_postings_travel_by_buckets(spark, monkeypatch):
+    """Spark moves a row for many postings; every posting is there, and sets of one token meet, also where it is dealt into blocks."""
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", 200)
+    monkeypatch.setattr(line_dedup, "_BUCKETS", 16)
+    rng = np.random.default_rng(9)
+    sets = [(k, -k, 7 * k, k, k % 5, 20, k % 2 == 0, 3, [-1] * (k < 700) + [int(t) for t in rng.choice(60, 4, False)]) for k in range(1, 3001)]
+    schema = "key long, flip1 long, flip2 long, doc_id long, line int, size int, open boolean, place int, prefix array<int>"
+    rows = line_dedup._postings(spark.createDataFrame(sets, schema).coalesce(2)).toArrow()
+    got = line_dedup._unpacked(rows, line_dedup._POSTING)
+    assert len(rows) <= 2 * 16 and len(set(rows["bucket"].to_pylist())) <= 16
+    groups, found = {}, set()
+    for r in got:
+        groups.setdefault((int(r["token"]), int(r["block"])), set()).add(int(r["key"]))
+        found.add(tuple(int(r[n]) for n in ("key", "flip1", "flip2", "doc_id", "line", "size", "token")) + (int(r["place"]) & line_dedup._PLACE, r["place"] < 0))
+    assert found == {(*s[:6], t, s[7] + at, s[6]) for s in sets for at, t in enumerate(s[8])}
+    for token in {t for s in sets for t in s[8]}:
+        own = {s[0] for s in sets if token in s[8]}
+        dealt = [g for (t, _), g in groups.items() if t == token]
+        assert len(dealt) == 1 if len(own) <= 200 else len(dealt) > 1
+        assert len(own) <= 400 or max(map(len, dealt)) < len(own)  # of more than two blocks, none of the groups has all
+        met = {k: set().union(*(g for g in dealt if k in g)) for k in own}
+        assert all(m == own for m in met.values())
+
+
+def test_postings_that_can_match():
+    """Of each group those stay that have another of a fitting size, by order of lines."""
+    rng = np.random.default_rng(4)
+    found = np.zeros(3000, line_dedup._POSTING)
+    for name, most in (("token", 400), ("block", 2), ("line", 3), ("size", 200), ("doc_id", 40), ("key", 1 << 60)):
+        found[name] = rng.integers(0 if name != "size" else 1, most, 3000)
+    found["doc_id"][::7] = line_dedup._LAST
+    got, group = line_dedup._that_can_match(found, 0.8)
+    by_group = {}
+    for r in found.tolist():
+        by_group.setdefault(r[:2], []).append(dict(zip(found.dtype.names, r)))
+    want = [r for _, rows in sorted(by_group.items()) for r in sorted(rows, key=lambda r: (r["doc_id"], r["line"], r["key"]))
+            if sum(min(r["size"], o["size"]) >= 0.8 * max(r["size"], o["size"]) - 1e-9 for o in rows) > 1]
+    assert [dict(zip(found.dtype.names, r)) for r in got.tolist()] == want and 100 < len(want) < 3000
+    assert [(r["token"], r["block"]) for r in want] == [sorted(by_group)[g] for g in group.tolist()]
+    assert len(line_dedup._that_can_match(found[:1], 0.8)[0]) == 0
+
+
 # secrets and personal data -------------------------------------------------------------------------------------
 
 def plain_secrets(text):
