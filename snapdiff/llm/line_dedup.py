@@ -467,7 +467,7 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, ranked: int =
     Lines are joined only with sets that occur twice or match an earlier one. Both sides of that
     join are plain tables, so that Spark can split a set which makes up a third of all lines.
     """
-    lines = staged(line_sets(docs, frequent_tokens(docs, ranked), similarity), "lines")
+    lines = staged(line_sets(docs, frequent_tokens(docs, ranked), similarity), "line-sets")
     place = F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("doc_id"), "line", "text_key")
     sets = staged(lines.groupBy(*SET).agg(F.min(place).alias("at"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix"),
                                           F.count(F.lit(1)).alias("n")).select(*SET, "at.*", "size", "prefix", "n"), "sets")
